@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The application this package re-expresses reads and writes in batch only:
+a refresh is always a full recompute over the raw files, with no watermark,
+window, state or late-data handling. There is therefore no streaming
+operator to provide here; see README.md ("What is not built").
+"""
