@@ -78,11 +78,15 @@ def time_bucket(day: Column | str, hour: Column | str | None = None) -> Column:
 def with_time_parts(df: DataFrame) -> DataFrame:
     """PRJ-1 ... PRJ-5: ``timestamp_dt``, ``date``, year/month/day/hour, weekday.
 
+    Raw text is parsed once; a typed source that already carries
+    ``timestamp_dt`` (see :mod:`probelens.sources.events`) skips the parse.
+
     ``weekday`` keeps Sunday=1 ... Saturday=7 (``dayofweek``), the ETL's
     numbering; filters use :func:`iso_weekday` on the date instead (D4).
     """
-    ts = parse_timestamp("Timestamp")
-    return df.withColumns({"timestamp_dt": ts}).withColumns(
+    if "timestamp_dt" not in df.columns:
+        df = df.withColumns({"timestamp_dt": parse_timestamp("Timestamp")})
+    return df.withColumns(
         {
             "date": F.col("timestamp_dt").cast("date"),
             "year": F.year("timestamp_dt"),

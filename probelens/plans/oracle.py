@@ -25,7 +25,7 @@ def score(expr: str) -> str:
 _CTE = f"""
 WITH raw AS (
     SELECT
-        strftime(ts, '%Y.%m.%d_%H.%M.%S') AS "Timestamp",
+        ts AS timestamp_dt,
         CAST(-6.26 AS DOUBLE) AS "Longitude",
         CAST(53.35 AS DOUBLE) AS "Latitude",
         CAST(floor(value / 2) AS INTEGER) AS "Speed",
@@ -34,9 +34,9 @@ WITH raw AS (
     FROM events
 ),
 readings AS (
-    SELECT *, try_strptime("Timestamp", '%Y.%m.%d_%H.%M.%S') AS timestamp_dt
+    SELECT *
     FROM raw
-    WHERE "Timestamp" IS NOT NULL AND "Longitude" IS NOT NULL AND "Latitude" IS NOT NULL
+    WHERE timestamp_dt IS NOT NULL AND "Longitude" IS NOT NULL AND "Latitude" IS NOT NULL
       AND "Speed" IS NOT NULL AND "Operatorname" IS NOT NULL
 ),
 derived AS (

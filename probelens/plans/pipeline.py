@@ -25,14 +25,14 @@ from probelens.operators import aggregate as A
 from probelens.operators import summary as S
 from probelens.sources import csv_ingest as I
 from probelens.sources import tables as TB
-from probelens.sources.events import read_event_readings
+from probelens.sources.events import read_event_readings, required_columns
 
 log = logging.getLogger("probelens")
 
 
 def clean_readings(raw: DataFrame) -> DataFrame:
     """VAL-3 then PRJ-1 ... PRJ-9: the readings every aggregate starts from."""
-    return derive_readings(I.drop_incomplete(raw))
+    return derive_readings(I.drop_incomplete(raw, required_columns(raw)))
 
 
 def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: str) -> dict:
@@ -46,13 +46,14 @@ def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: st
 
     base_path = TB.table_path(out_root, C.HOURLY_BASE)
     A.hourly_cell_base(readings).write.mode("overwrite").parquet(base_path)
-    quality = dict(observed.quality.get)
 
     base = spark.read.parquet(base_path)
     cleaned = base.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).first()
     cleaned_rows = int(cleaned["n"] or 0)
     if cleaned_rows == 0:
+        # (an empty result also lets adaptive execution drop the observed stage)
         raise I.DataValidationError("no readings left after dropping rows with missing required values")
+    quality = dict(observed.quality.get)
 
     paths = {
         C.ROUTE_HOURLY: TB.write_curated(TB.conform(A.route_delay_by_hour(base), C.ROUTE_HOURLY), out_root, C.ROUTE_HOURLY),

@@ -4,8 +4,9 @@ The ``events`` table (event_id, ts, user_id, event_type, value, props)
 has a time, an entity and a measure, so it stands in for probe readings.
 The mapping below is fixed and is the same in the SQL oracle:
 
-* ``Timestamp``    = ``ts`` written as ``yyyy.MM.dd_HH.mm.ss`` text, so the
-  derivation parses raw text exactly as it does for CSV input
+* ``timestamp_dt`` = ``ts`` (a typed time, so no text is parsed); the raw
+  ``Timestamp`` text column is ``ts`` written as ``yyyy.MM.dd_HH.mm.ss`` and
+  is only computed if a query selects it
 * ``Speed``        = ``cast(floor(value / 2) as int)``
 * ``Operatorname`` = ``'A'`` for event types click and view, else ``'B'``
 * ``CellID``       = ``user_id % 25``, except residue 24 which becomes null
@@ -36,7 +37,7 @@ def events_path(sf_dir: str) -> str:
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows onto the raw probe schema (all 20 columns)."""
+    """Map ``events`` rows onto the raw probe schema (20 columns + ``timestamp_dt``)."""
     cell = F.col("user_id") % CELL_MODULUS
     mapped = {
         "Timestamp": format_timestamp("ts"),
@@ -52,9 +53,17 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         (mapped[f.name] if f.name in mapped else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in C.RAW_SCHEMA.fields
     ]
+    cols.append(F.col("ts").cast("timestamp").alias("timestamp_dt"))
     return events.select(*cols)
 
 
+def required_columns(df: DataFrame) -> tuple[str, ...]:
+    """VAL-3's columns; a typed time stands in for the raw time text."""
+    if "timestamp_dt" not in df.columns:
+        return C.REQUIRED_COLUMNS
+    return tuple("timestamp_dt" if c == "Timestamp" else c for c in C.REQUIRED_COLUMNS)
+
+
 def read_event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw probe readings from ``<sf_dir>/events.parquet``."""
     return readings_from_events(spark.read.parquet(events_path(sf_dir)))
