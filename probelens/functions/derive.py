@@ -75,44 +75,57 @@ def time_bucket(day: Column | str, hour: Column | str | None = None) -> Column:
     return F.concat(d, F.lit("-"), F.lpad(_col(hour).cast("string"), 2, "0"))
 
 
-def with_time_parts(df: DataFrame) -> DataFrame:
-    """PRJ-1 ... PRJ-5: ``timestamp_dt``, ``date``, year/month/day/hour, weekday.
-
-    Raw text is parsed once; a typed source that already carries
-    ``timestamp_dt`` (see :mod:`probelens.sources.events`) skips the parse.
+def time_part_columns(ts: Column | str = "timestamp_dt") -> dict[str, Column]:
+    """PRJ-2 ... PRJ-5: ``date``, year/month/day/hour, weekday of a timestamp.
 
     ``weekday`` keeps Sunday=1 ... Saturday=7 (``dayofweek``), the ETL's
     numbering; filters use :func:`iso_weekday` on the date instead (D4).
     """
-    if "timestamp_dt" not in df.columns:
-        df = df.withColumns({"timestamp_dt": parse_timestamp("Timestamp")})
-    return df.withColumns(
-        {
-            "date": F.col("timestamp_dt").cast("date"),
-            "year": F.year("timestamp_dt"),
-            "month": F.month("timestamp_dt"),
-            "day": F.dayofmonth("timestamp_dt"),
-            "hour": F.hour("timestamp_dt"),
-            "weekday": F.dayofweek("timestamp_dt"),
-        }
-    )
+    t = _col(ts)
+    return {
+        "date": t.cast("date"),
+        "year": F.year(t),
+        "month": F.month(t),
+        "day": F.dayofmonth(t),
+        "hour": F.hour(t),
+        "weekday": F.dayofweek(t),
+    }
+
+
+def measure_columns() -> dict[str, Column]:
+    """PRJ-6 ... PRJ-9: congestion flag, delay, route and stop keys."""
+    return {
+        "Congestion": congestion_flag("Speed"),
+        "Delay": delay_estimate("Speed"),
+        "Journey_Pattern_ID": route_key("Operatorname", "CellID"),
+        "Stop_ID": stop_key("CellID"),
+    }
+
+
+def with_time_parts(df: DataFrame) -> DataFrame:
+    """PRJ-1 ... PRJ-5 as one projection (text parsed once, see below)."""
+    return _with_timestamp(df).withColumns(time_part_columns())
 
 
 def with_measures(df: DataFrame) -> DataFrame:
-    """PRJ-6 ... PRJ-9: congestion flag, delay, route and stop keys."""
-    return df.withColumns(
-        {
-            "Congestion": congestion_flag("Speed"),
-            "Delay": delay_estimate("Speed"),
-            "Journey_Pattern_ID": route_key("Operatorname", "CellID"),
-            "Stop_ID": stop_key("CellID"),
-        }
-    )
+    """PRJ-6 ... PRJ-9 as one projection."""
+    return df.withColumns(measure_columns())
 
 
 def derive_readings(df: DataFrame) -> DataFrame:
-    """All per-row derivations of the ETL, in one projection."""
-    return with_measures(with_time_parts(df))
+    """All per-row derivations of the ETL.
+
+    Raw text is parsed once into ``timestamp_dt``; a typed source that
+    already carries ``timestamp_dt`` (see :mod:`probelens.sources.events`)
+    skips the parse. The other derived columns are one further projection.
+    """
+    return _with_timestamp(df).withColumns({**time_part_columns(), **measure_columns()})
+
+
+def _with_timestamp(df: DataFrame) -> DataFrame:
+    if "timestamp_dt" in df.columns:
+        return df
+    return df.withColumns({"timestamp_dt": parse_timestamp("Timestamp")})
 
 
 def _col(c: Column | str) -> Column:

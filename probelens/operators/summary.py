@@ -67,29 +67,24 @@ def valid_item() -> Column:
     return F.col("route_id").isNotNull() & F.col("time_bucket").isNotNull() & F.col("operator").isNotNull()
 
 
-def upsert(current: DataFrame | None, new_items: DataFrame, observation: Observation | None = None) -> DataFrame:
+def _merge(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
+    """New rows (flagged ``_new``) plus the stored rows whose key is not new."""
+    merged = new_items.withColumn("_new", F.lit(True))
+    if current is None:
+        return merged
+    new_keys = new_items.where(valid_item()).select(*KEY)
+    kept = current.join(new_keys, on=KEY, how="left_anti").withColumn("_new", F.lit(False))
+    return merged.unionByName(kept)
+
+
+def upsert(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
     """SNK-3: new rows replace stored rows with the same key; others stay.
 
     ``new_items`` must be unique per key (``summary_items`` is, by
-    construction: each source table has one row per group). With an
-    ``observation``, the load report (SNK-4) is collected by the write job
-    itself: rows of ``new_items`` that can and cannot be stored.
+    construction: each source table has one row per group). Rows that
+    cannot be stored are dropped here and counted by :func:`write_upsert`.
     """
-    ok = valid_item()
-    merged = new_items.withColumn("_new", F.lit(True))
-    if current is not None:
-        new_keys = new_items.where(ok).select(*KEY)
-        kept = current.join(new_keys, on=KEY, how="left_anti").withColumn("_new", F.lit(False))
-        merged = merged.unionByName(kept)
-    if observation is not None:
-        is_new = F.col("_new")
-        merged = merged.observe(
-            observation,
-            F.count_if(is_new & ok).alias("success"),
-            F.count_if(is_new & ~ok).alias("failed"),
-            F.count_if(is_new).alias("total"),
-        )
-    return merged.where(ok).drop("_new")
+    return _merge(current, new_items).where(valid_item()).drop("_new")
 
 
 def load_report(items: DataFrame) -> DataFrame:
@@ -102,20 +97,35 @@ def load_report(items: DataFrame) -> DataFrame:
     )
 
 
-def report_counts(observation: Observation) -> dict[str, int]:
-    """The SNK-4 counts from an observation filled by :func:`upsert`'s write."""
-    m = observation.get
-    return {k: int(m.get(k) or 0) for k in ("success", "failed", "total")}
-
+def write_upsert(
+    current: DataFrame | None,
+    new_items: DataFrame,
+    path: str,
+    source_paths: tuple[str, ...] = (),
+) -> dict[str, int]:
+    """SNK-3 + SNK-4: write the upserted table to ``path``; return the load report.
 
-def write_summary(df: DataFrame, path: str, source_paths: tuple[str, ...] = ()) -> str:
-    """Write a summary version to ``path``; refuses to overwrite an input."""
+    Rows are range-partitioned on the key (each file then holds a disjoint
+    key range, so a lookup by route reads few files). The report is an
+    observation placed **above** that exchange: the range partitioner's
+    sampling job does not pass through it, the write job passes every row
+    through it exactly once, and no separate counting job runs.
+    """
     norm = path.rstrip("/")
     if any(norm == p.rstrip("/") for p in source_paths):
         raise ValueError(f"summary target {path} is also an input; write to a new version")
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *KEY).sortWithinPartitions(*KEY).write.mode("overwrite").parquet(path)
-    return path
+    ok, is_new = valid_item(), F.col("_new")
+    obs = Observation("summary_load")
+    n = int(new_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = _merge(current, new_items).repartitionByRange(n, *KEY).observe(
+        obs,
+        F.count_if(is_new & ok).alias("success"),
+        F.count_if(is_new & ~ok).alias("failed"),
+        F.count_if(is_new).alias("total"),
+    )
+    laid_out.where(ok).drop("_new").sortWithinPartitions(*KEY).write.mode("overwrite").parquet(path)
+    m = obs.get
+    return {k: int(m.get(k) or 0) for k in ("success", "failed", "total")}
 
 
 def read_summary(spark, path: str) -> DataFrame:

@@ -15,6 +15,7 @@ import datetime as dt
 import json
 import logging
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,37 +36,60 @@ def clean_readings(raw: DataFrame) -> DataFrame:
     return derive_readings(I.drop_incomplete(raw, required_columns(raw)))
 
 
+def _observed(obs: Observation) -> dict | None:
+    """An observation's metrics, or None if no executed stage reported them
+    (adaptive execution drops a stage whose input turned out empty)."""
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - py4j surfaces this as a generic error
+        return None
+
+
 def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: str) -> dict:
     """PIPE-1: raw readings -> three curated tables under ``out_root``.
 
-    Returns a report with the table paths, raw and cleaned row counts and
-    the per-column null counts of the raw input.
+    Jobs: one over the raw input (scan, derive, aggregate, write the base,
+    with the input quality and base size observed on the way), then the
+    three table writes over the small base, submitted together so that
+    their few tasks share the executors. Returns a report with the table
+    paths, raw and cleaned row counts and per-column null counts.
     """
     observed = raw if isinstance(raw, I.RawInput) else I.observe_quality(raw)
     readings = clean_readings(observed.df)
 
     base_path = TB.table_path(out_root, C.HOURLY_BASE)
-    A.hourly_cell_base(readings).write.mode("overwrite").parquet(base_path)
-
+    base_obs = Observation("hourly_base")
+    base_df = A.hourly_cell_base(readings).observe(
+        base_obs, F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")
+    )
+    base_df.write.mode("overwrite").parquet(base_path)
     base = spark.read.parquet(base_path)
-    cleaned = base.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).first()
-    cleaned_rows = int(cleaned["n"] or 0)
+
+    sizes = _observed(base_obs)
+    if sizes is None:
+        sizes = base.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).first().asDict()
+    cleaned_rows = int(sizes["n"] or 0)
     if cleaned_rows == 0:
-        # (an empty result also lets adaptive execution drop the observed stage)
         raise I.DataValidationError("no readings left after dropping rows with missing required values")
-    quality = dict(observed.quality.get)
+    quality = _observed(observed.quality) or {}
 
-    paths = {
-        C.ROUTE_HOURLY: TB.write_curated(TB.conform(A.route_delay_by_hour(base), C.ROUTE_HOURLY), out_root, C.ROUTE_HOURLY),
-        C.ROUTE_DAILY: TB.write_curated(TB.conform(A.route_delay_daily(base), C.ROUTE_DAILY), out_root, C.ROUTE_DAILY),
-        C.STOP_HOURLY: TB.write_curated(TB.conform(A.stop_congestion_hourly(base), C.STOP_HOURLY), out_root, C.STOP_HOURLY),
+    builders = {
+        C.ROUTE_HOURLY: A.route_delay_by_hour,
+        C.ROUTE_DAILY: A.route_delay_daily,
+        C.STOP_HOURLY: A.stop_congestion_hourly,
     }
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {
+            name: pool.submit(TB.write_curated, TB.conform(build(base), name), out_root, name)
+            for name, build in builders.items()
+        }
+        paths = {name: f.result() for name, f in futures.items()}
     return {
         "paths": paths,
         "base_path": base_path,
-        "raw_rows": int(quality.get("rows", 0)),
+        "raw_rows": int(quality.get("rows", cleaned_rows)),
         "cleaned_rows": cleaned_rows,
-        "hourly_groups": int(cleaned["groups"]),
+        "hourly_groups": int(sizes["groups"]),
         "null_counts": {k[5:]: int(v) for k, v in quality.items() if k.startswith("null_")},
     }
 
@@ -77,9 +101,8 @@ def build_from_csv(spark: SparkSession, raw_path: str | list[str], out_root: str
 
 def build_from_events(spark: SparkSession, sf_dir: str, out_root: str) -> dict:
     """PIPE-1 over the ``events`` table, mapped to readings."""
-    raw = read_event_readings(spark, sf_dir)
-    I.check_not_empty(raw, f"events at {sf_dir}")
-    return build_curated(spark, raw, out_root)
+    # An empty table surfaces as "no readings left" after the one raw job.
+    return build_curated(spark, read_event_readings(spark, sf_dir), out_root)
 
 
 def utc_stamp() -> str:
@@ -102,10 +125,8 @@ def load_summary(
     items = S.summary_items(TB.read_route_daily(spark, curated_root), TB.read_route_hourly(spark, curated_root), stamp)
     existing = S.read_summary(spark, current) if current else None
 
-    obs = Observation("summary_load")
-    merged = S.upsert(existing, items, obs)
-    S.write_summary(merged, target, source_paths=(current,) if current else ())
-    return {**S.report_counts(obs), "path": target, "updated_at": stamp}
+    counts = S.write_upsert(existing, items, target, source_paths=(current,) if current else ())
+    return {**counts, "path": target, "updated_at": stamp}
 
 
 def refresh(

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probelens import config as C
 from probelens.functions.derive import format_timestamp
@@ -37,7 +38,11 @@ def events_path(sf_dir: str) -> str:
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
-    """Map ``events`` rows onto the raw probe schema (20 columns + ``timestamp_dt``)."""
+    """Map ``events`` rows onto the raw probe columns the adapter can fill.
+
+    Raw columns the events cannot supply (radio measurements) are left out
+    rather than filled with nulls; no operator reads them.
+    """
     cell = F.col("user_id") % CELL_MODULUS
     mapped = {
         "Timestamp": format_timestamp("ts"),
@@ -49,10 +54,8 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         ),
         "CellID": F.when(cell == NULL_CELL_RESIDUE, F.lit(None)).otherwise(cell).cast("int"),
     }
-    cols = [
-        (mapped[f.name] if f.name in mapped else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in C.RAW_SCHEMA.fields
-    ]
+    types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
+    cols = [mapped[name].cast(types[name]).alias(name) for name in types if name in mapped]
     cols.append(F.col("ts").cast("timestamp").alias("timestamp_dt"))
     return events.select(*cols)
 
@@ -64,6 +67,21 @@ def required_columns(df: DataFrame) -> tuple[str, ...]:
     return tuple("timestamp_dt" if c == "Timestamp" else c for c in C.REQUIRED_COLUMNS)
 
 
+# The columns of ``events`` the adapter reads, with their stored types.
+EVENTS_SCHEMA = T.StructType(
+    [
+        T.StructField("ts", T.TimestampNTZType(), True),
+        T.StructField("user_id", T.LongType(), True),
+        T.StructField("event_type", T.StringType(), True),
+        T.StructField("value", T.DoubleType(), True),
+    ]
+)
+
+
 def read_event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw probe readings from ``<sf_dir>/events.parquet``."""
-    return readings_from_events(spark.read.parquet(events_path(sf_dir)))
+    """Raw probe readings from ``<sf_dir>/events.parquet``.
+
+    The declared read schema skips footer-based schema inference and
+    limits the scan to the four columns the mapping uses.
+    """
+    return readings_from_events(spark.read.schema(EVENTS_SCHEMA).parquet(events_path(sf_dir)))

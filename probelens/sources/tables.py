@@ -2,9 +2,9 @@
 
 Curated tables are written partitioned by ``aggregation_date`` so that the
 dashboard's date-range predicate prunes whole directories. Before writing,
-rows are range-partitioned on the date and grouping keys: a date that
-holds a third of all groups is then split over several tasks instead of
-one, yet each task writes few files, each sorted for tight row-group stats.
+rows are rebalanced on the date (see :func:`write_curated`): few files per
+date, and a date that holds a third of all groups is split over several
+tasks instead of one.
 Output roots are parameters: a local path in tests, a shared URI
 (``s3a://...``, ``hdfs://...``) on a cluster.
 """
@@ -60,18 +60,20 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def write_curated(df: DataFrame, root: str, name: str, partitions: int | None = None) -> str:
+def write_curated(df: DataFrame, root: str, name: str) -> str:
     """SNK-1/SNK-2: overwrite one curated table under ``root``.
 
-    ``partitions`` (default: the session's shuffle partition count) bounds
-    the number of writer tasks; the range partitioner samples the keys so
-    each task gets a similar share of rows.
+    The ``rebalance`` hint hashes rows on the date so that each date lands
+    in one writer task (one file per date, not one per task and date);
+    adaptive execution then merges small dates into fewer tasks and splits
+    a date that holds a large share of the rows over several tasks, so file
+    sizes follow the advisory partition size whatever the skew. Rows are
+    sorted within each file for tight row-group statistics.
     """
     path = table_path(root, name)
     keys = _SORT_KEYS[name]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(n, *keys)
+        df.hint("rebalance", PARTITION_COLUMN)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .partitionBy(PARTITION_COLUMN)
