@@ -83,6 +83,40 @@ def overview_by_hour(hourly: DataFrame, spec: FilterSpec | None = None) -> DataF
     return _overview_series(hourly, spec, "hour")
 
 
+def overview_date_table(series: DataFrame) -> DataFrame:
+    """PRJ-16: the per-date detail table of the overview, rounded to 2."""
+    return series.select(
+        "aggregation_date",
+        F.round("congestion_score", 2).alias("congestion_score"),
+        F.round("congestion_rate", 2).alias("congestion_rate"),
+        "trip_count",
+    )
+
+
+# ---------------------------------------------------------------------------
+# Filter-bar choices (D7)
+# ---------------------------------------------------------------------------
+
+
+def route_choices(hourly: DataFrame) -> DataFrame:
+    """The routes a user can pick (the source app never filled this list).
+
+    A distinct over the curated table: one row per route, ordered. The
+    number of routes is bounded by operators x cells, a property of the
+    network, not of how many readings were taken.
+    """
+    return _sorted_distinct(hourly, ROUTE)
+
+
+def operator_choices(hourly: DataFrame) -> DataFrame:
+    """The operators a user can pick (the source app hard-coded A and B)."""
+    return _sorted_distinct(hourly, "Operatorname")
+
+
+def _sorted_distinct(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).select(key).distinct().coalesce(1).sortWithinPartitions(key)
+
+
 # ---------------------------------------------------------------------------
 # Route tab (route_delay_by_hour)
 # ---------------------------------------------------------------------------

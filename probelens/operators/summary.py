@@ -27,20 +27,36 @@ from probelens.functions.derive import time_bucket
 KEY = list(C.SUMMARY_KEY)
 
 
+# Summary field <- source column, stored type, value when the column is absent.
+_ITEM_FIELDS = (
+    ("operator", "Operatorname", "string", C.SUMMARY_UNKNOWN),
+    ("avg_delay", "avg_delay", "double", 0.0),
+    ("max_delay", "max_delay", "int", 0),
+    ("min_delay", "min_delay", "int", 0),
+    ("trip_count", "trip_count", "bigint", 0),
+    ("congestion_count", "congestion_count", "bigint", 0),
+    ("congestion_rate", "congestion_rate", "double", 0.0),
+)
+
+
+def _field(df: DataFrame, source: str, default) -> Column:
+    return F.col(source) if source in df.columns else F.lit(default)
+
+
 def _item_columns(df: DataFrame, bucket: Column, updated_at: str) -> list[Column]:
-    """PRJ-13 + PRJ-14: the ten summary fields with their stored types."""
-    return [
-        F.col("Journey_Pattern_ID").alias("route_id"),
+    """PRJ-13 + PRJ-14: the ten summary fields with their stored types.
+
+    A field whose source column is absent takes the default (``unknown``
+    for text, 0 for numbers); a present but null value stays null, and a
+    row with a null key or operator is later counted as failed (D8).
+    """
+    cols = [
+        _field(df, "Journey_Pattern_ID", C.SUMMARY_UNKNOWN).cast("string").alias("route_id"),
         bucket.alias("time_bucket"),
-        F.col("Operatorname").alias("operator"),
-        F.col("avg_delay").cast("double").alias("avg_delay"),
-        F.col("max_delay").cast("int").alias("max_delay"),
-        F.col("min_delay").cast("int").alias("min_delay"),
-        F.col("trip_count").cast("bigint").alias("trip_count"),
-        F.col("congestion_count").cast("bigint").alias("congestion_count"),
-        F.col("congestion_rate").cast("double").alias("congestion_rate"),
-        F.lit(updated_at).alias("updated_at"),
     ]
+    cols += [_field(df, src, default).cast(typ).alias(name) for name, src, typ, default in _ITEM_FIELDS]
+    cols.append(F.lit(updated_at).alias("updated_at"))
+    return cols
 
 
 def daily_items(daily: DataFrame, updated_at: str) -> DataFrame:

@@ -138,6 +138,21 @@ def q_overview_by_hour(spark, sf_dir):
     return settle(R.overview_by_hour(route_hourly(spark, sf_dir), OVERVIEW_SPEC))
 
 
+def q_overview_by_date_table(spark, sf_dir):
+    """PRJ-16 (overview detail table)."""
+    return R.overview_date_table(R.overview_by_date(route_hourly(spark, sf_dir), OVERVIEW_SPEC))
+
+
+def q_route_choices(spark, sf_dir):
+    """D7: routes offered by the filter bar."""
+    return R.route_choices(route_hourly(spark, sf_dir))
+
+
+def q_operator_choices(spark, sf_dir):
+    """D7: operators offered by the filter bar."""
+    return R.operator_choices(route_hourly(spark, sf_dir))
+
+
 def q_route_kpis(spark, sf_dir):
     """AGG-7 with a route list and weekend days (FLT-2, FLT-3)."""
     return settle(R.route_kpis(route_hourly(spark, sf_dir), ROUTE_SELECTED_SPEC))
@@ -246,6 +261,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overview_kpis": q_overview_kpis,
     "overview_by_date": q_overview_by_date,
     "overview_by_hour": q_overview_by_hour,
+    "overview_by_date_table": q_overview_by_date_table,
+    "route_choices": q_route_choices,
+    "operator_choices": q_operator_choices,
     "route_kpis": q_route_kpis,
     "route_delay_by_date": q_route_delay_by_date,
     "route_delay_by_hour_of_day": q_route_delay_by_hour_of_day,

@@ -245,6 +245,28 @@ FROM route_hourly
 WHERE {_OVERVIEW_WHERE} AND "hour" IS NOT NULL
 GROUP BY "hour"
 ORDER BY "hour\""""
+    ),
+    "overview_by_date_table": _q(
+        f"""
+, series AS (
+    SELECT aggregation_date, avg(congestion_rate) AS congestion_rate, CAST(sum(trip_count) AS BIGINT) AS trip_count
+    FROM route_hourly
+    WHERE {_OVERVIEW_WHERE} AND aggregation_date IS NOT NULL
+    GROUP BY aggregation_date
+)
+SELECT aggregation_date, {r(score('congestion_rate'), 2)} AS congestion_score,
+    {r('congestion_rate', 2)} AS congestion_rate, trip_count
+FROM series"""
+    ),
+    "route_choices": _q(
+        """
+SELECT DISTINCT "Journey_Pattern_ID" FROM route_hourly WHERE "Journey_Pattern_ID" IS NOT NULL
+ORDER BY 1"""
+    ),
+    "operator_choices": _q(
+        """
+SELECT DISTINCT "Operatorname" FROM route_hourly WHERE "Operatorname" IS NOT NULL
+ORDER BY 1"""
     ),
     "route_kpis": _q(
         f"""
