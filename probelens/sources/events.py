@@ -4,9 +4,9 @@ The ``events`` table (event_id, ts, user_id, event_type, value, props)
 has a time, an entity and a measure, so it stands in for probe readings.
 The mapping below is fixed and is the same in the SQL oracle:
 
-* ``timestamp_dt`` = ``ts`` (a typed time, so no text is parsed); the raw
-  ``Timestamp`` text column is ``ts`` written as ``yyyy.MM.dd_HH.mm.ss`` and
-  is only computed if a query selects it
+* ``timestamp_dt`` = ``ts``: a typed time, so no text is formatted or
+  parsed per row (:func:`raw_text_timestamp` gives the raw text form when
+  a CSV-shaped copy is wanted)
 * ``Speed``        = ``cast(floor(value / 2) as int)``
 * ``Operatorname`` = ``'A'`` for event types click and view, else ``'B'``
 * ``CellID``       = ``user_id % 25``, except residue 24 which becomes null
@@ -45,7 +45,6 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     """
     cell = F.col("user_id") % CELL_MODULUS
     mapped = {
-        "Timestamp": format_timestamp("ts"),
         "Longitude": F.lit(CONSTANT_LONGITUDE),
         "Latitude": F.lit(CONSTANT_LATITUDE),
         "Speed": F.floor(F.col("value") / 2).cast("int"),
@@ -60,6 +59,11 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     return events.select(*cols)
 
 
+def raw_text_timestamp(df: DataFrame) -> DataFrame:
+    """Add the raw ``Timestamp`` text (``yyyy.MM.dd_HH.mm.ss``) from ``timestamp_dt``."""
+    return df.withColumn("Timestamp", format_timestamp("timestamp_dt"))
+
+
 def required_columns(df: DataFrame) -> tuple[str, ...]:
     """VAL-3's columns; a typed time stands in for the raw time text."""
     if "timestamp_dt" not in df.columns:

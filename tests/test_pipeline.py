@@ -140,10 +140,10 @@ def test_csv_text_path_equals_typed_path(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from probelens.plans.pipeline import build_from_csv
-    from probelens.sources.events import read_event_readings
+    from probelens.sources.events import raw_text_timestamp, read_event_readings
 
     sf = "/root/testdata/sf0.001"
-    raw = read_event_readings(spark, sf)
+    raw = raw_text_timestamp(read_event_readings(spark, sf))
     cols = [(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in C.RAW_SCHEMA.fields]
     csv_dir = str(tmp_path / "csv")
     raw.select(*cols).repartition(3).write.option("header", True).csv(csv_dir)
