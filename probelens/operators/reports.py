@@ -101,9 +101,9 @@ def overview_date_table(series: DataFrame) -> DataFrame:
 def route_choices(hourly: DataFrame) -> DataFrame:
     """The routes a user can pick (the source app never filled this list).
 
-    A distinct over the curated table: one row per route, ordered. The
-    number of routes is bounded by operators x cells, a property of the
-    network, not of how many readings were taken.
+    A distinct over the curated table (partial aggregation map-side), then a
+    distributed sort: the number of routes grows with the network, so it is
+    not funnelled through one task.
     """
     return _sorted_distinct(hourly, ROUTE)
 
@@ -114,7 +114,7 @@ def operator_choices(hourly: DataFrame) -> DataFrame:
 
 
 def _sorted_distinct(df: DataFrame, key: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).select(key).distinct().coalesce(1).sortWithinPartitions(key)
+    return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key)
 
 
 # ---------------------------------------------------------------------------
