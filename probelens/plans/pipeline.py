@@ -94,9 +94,11 @@ def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: st
     }
 
 
-def build_from_csv(spark: SparkSession, raw_path: str | list[str], out_root: str) -> dict:
+def build_from_csv(
+    spark: SparkSession, raw_path: str | list[str], out_root: str, check_all_columns: bool = True
+) -> dict:
     """PIPE-1 over raw CSV files (SRC-1/SRC-2 with VAL-1 ... VAL-3)."""
-    return build_curated(spark, I.load_probe_csv(spark, raw_path), out_root)
+    return build_curated(spark, I.load_probe_csv(spark, raw_path, check_all_columns), out_root)
 
 
 def build_from_events(spark: SparkSession, sf_dir: str, out_root: str) -> dict:

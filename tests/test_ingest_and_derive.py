@@ -121,3 +121,19 @@ def test_all_rows_dropped_raises(spark, tmp_path):
     write_csv(d, "part1.csv", [CASES[2]])  # only the decimal-speed row
     with pytest.raises(I.DataValidationError):
         build_from_csv(spark, d, str(tmp_path / "out"))
+
+
+def test_required_only_observation_prunes_radio_columns(spark, tmp_path):
+    d = str(tmp_path / "raw")
+    write_csv(d, "part1.csv", CASES)
+    full = I.load_probe_csv(spark, d)
+    lean = I.load_probe_csv(spark, d, check_all_columns=False)
+    from probelens.operators.aggregate import hourly_cell_base
+
+    def read_schema(raw):
+        plan = plan_text(hourly_cell_base(clean_readings(raw.df)))
+        return [line for line in plan.splitlines() if "ReadSchema" in line][0]
+
+    full_schema, lean_schema = read_schema(full), read_schema(lean)
+    assert ",RSRP:int" in full_schema and ",RSRP:int" not in lean_schema
+    assert "Speed:int" in lean_schema and "CellID:int" in lean_schema
