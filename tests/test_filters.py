@@ -103,3 +103,60 @@ def test_from_selection():
         date_input=D(2024, 1, 3), weekday_names=["토"], hour_band_labels=["06-10"], operator_choice=C.ALL_CHOICE
     )
     assert spec == FilterSpec(date_range=(D(2024, 1, 3), D(2024, 1, 3)), weekdays=(6,), hour_bands=((6, 10),))
+
+
+# -- property test: the compiled predicate against a plain Python filter -----
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_DAYS = [D(2024, 1, d) for d in range(1, 15)]
+_ROUTES = ["A_1", "A_2", "B_1", None]
+_OPS = ["A", "B"]
+_ROWS = [
+    (_ROUTES[i % 4], _DAYS[(i * 5) % 14] if i % 11 else None, (i * 7) % 25 if i % 13 else None, _OPS[i % 2])
+    for i in range(120)
+]
+
+_specs = st.builds(
+    FilterSpec,
+    date_range=st.none()
+    | st.tuples(st.sampled_from(_DAYS), st.sampled_from(_DAYS)).map(lambda t: (min(t), max(t))),
+    weekdays=st.none() | st.lists(st.integers(1, 7), min_size=1, max_size=3).map(tuple),
+    routes=st.lists(st.sampled_from(["A_1", "A_2", "B_1", "C_9"]), max_size=2).map(tuple),
+    hour_bands=st.none()
+    | st.lists(st.tuples(st.integers(0, 24), st.integers(0, 24)).map(lambda t: (min(t), max(t))), min_size=1, max_size=3).map(tuple),
+    operator=st.none() | st.sampled_from(_OPS),
+)
+
+
+def _keep(spec: FilterSpec, view: str, row) -> bool:
+    route, day, hour, op = row
+    parts = VIEW_PARTS[view]
+    if spec.date_range and "date" in parts:
+        if day is None or not spec.date_range[0] <= day <= spec.date_range[1]:
+            return False
+    if spec.weekdays and "weekday" in parts:
+        if day is None or day.isoweekday() not in spec.weekdays:
+            return False
+    if spec.routes and "route" in parts and route not in spec.routes:
+        return False
+    if spec.hour_bands and "hour" in parts:
+        if hour is None or not any(a <= hour <= b for a, b in spec.hour_bands):
+            return False
+    if spec.operator is not None and "operator" in parts and op != spec.operator:
+        return False
+    return True
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(_ROWS, "Journey_Pattern_ID string, aggregation_date date, hour int, Operatorname string")
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(spec=_specs, view=st.sampled_from(sorted(VIEW_PARTS)))
+def test_predicate_matches_python_filter(table, spec, view):
+    got = sorted(map(repr, (tuple(r) for r in spec.apply(table, view).collect())))
+    want = sorted(map(repr, (r for r in _ROWS if _keep(spec, view, r))))
+    assert got == want

@@ -155,3 +155,17 @@ def test_csv_text_path_equals_typed_path(spark, tmp_path):
     for name in (C.ROUTE_HOURLY, C.ROUTE_DAILY, C.STOP_HOURLY):
         x, y = TB.read_curated(spark, a, name), TB.read_curated(spark, b, name)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_cli_success_and_failure(spark, tmp_path, capsys):
+    import json
+
+    from probelens.plans.pipeline import main
+
+    out = str(tmp_path / "cli")
+    code = main(["--events-dir", "/root/testdata/sf0.001", "--out", out, "--summary-target", str(tmp_path / "sv1")])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and report["success"] and report["summary"]["success"] > 0
+    code = main(["--raw", str(tmp_path / "missing"), "--out", str(tmp_path / "cli2")])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 1 and report["success"] is False
