@@ -132,8 +132,8 @@ def write_upsert(
         raise ValueError(f"summary target {path} is also an input; write to a new version")
     ok, is_new = valid_item(), F.col("_new")
     obs = Observation("summary_load")
-    n = int(new_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = _merge(current, new_items).repartitionByRange(n, *KEY).observe(
+    # no explicit partition count: adaptive execution sizes the ranges by bytes
+    laid_out = _merge(current, new_items).repartitionByRange(*KEY).observe(
         obs,
         F.count_if(is_new & ok).alias("success"),
         F.count_if(is_new & ~ok).alias("failed"),
