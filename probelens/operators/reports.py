@@ -35,10 +35,13 @@ def _calendar_series(df: DataFrame, key: str) -> DataFrame:
 
     Such a series has at most one row per calendar day (or per hour of
     day) in the filter range, a bound set by the calendar, not by the data.
-    It is therefore ordered in a single task after the aggregation, which
-    saves the sampling job a global ``orderBy`` runs to plan its ranges.
+    The final aggregation still runs over all shuffle partitions; only its
+    output (at most that many rows) is moved to one partition and sorted
+    there, which saves the sampling job a global ``orderBy`` runs to plan
+    its ranges. (``coalesce(1)`` would instead pull the final aggregation
+    itself, with one partial row per map task and key, into one task.)
     """
-    return df.coalesce(1).sortWithinPartitions(key)
+    return df.repartition(1).sortWithinPartitions(key)
 
 
 # ---------------------------------------------------------------------------

@@ -231,7 +231,7 @@ def q_band_route_long(spark, sf_dir):
 def _items(spark, sf_dir, stamp, since: str | None = None):
     r = readings(spark, sf_dir)
     if since is not None:
-        r = r.where(F.col("timestamp_dt") >= F.to_timestamp(F.lit(since)))
+        r = r.where(F.col("timestamp_dt") >= F.to_timestamp_ntz(F.lit(since)))
     b = A.hourly_cell_base(r)
     return S.summary_items(A.route_delay_daily(b), A.route_delay_by_hour(b), stamp)
 

@@ -124,7 +124,13 @@ def main(argv: list[str] | None = None) -> int:
         hour_band_labels=args.hour_band,
         operator_choice=args.operator,
     )
-    spark = SparkSession.builder.appName("probelens-dashboard").getOrCreate()
+    # Interactive use: report plans are rebuilt on every request, and call-site
+    # capture for error messages costs two JVM calls per Column built.
+    spark = (
+        SparkSession.builder.appName("probelens-dashboard")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
+    )
     frames = tab_frames(spark, args.curated, args.tab, spec, top_n=args.top_n, band_a=args.band_a, band_b=args.band_b)
     for name, df in frames.items():
         rows = [r.asDict() for r in df.limit(args.max_rows).collect()]

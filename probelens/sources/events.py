@@ -6,7 +6,10 @@ The mapping below is fixed and is the same in the SQL oracle:
 
 * ``timestamp_dt`` = ``ts``: a typed time, so no text is formatted or
   parsed per row (:func:`raw_text_timestamp` gives the raw text form when
-  a CSV-shaped copy is wanted)
+  a CSV-shaped copy is wanted). It stays a wall-clock time
+  (``TIMESTAMP_NTZ``, as stored): converting it to the session time zone
+  would move readings in a daylight-saving gap to the next hour whenever
+  the session zone observes DST
 * ``Speed``        = ``cast(floor(value / 2) as int)``
 * ``Operatorname`` = ``'A'`` for event types click and view, else ``'B'``
 * ``CellID``       = ``user_id % 25``, except residue 24 which becomes null
@@ -55,7 +58,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     }
     types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
     cols = [mapped[name].cast(types[name]).alias(name) for name in types if name in mapped]
-    cols.append(F.col("ts").cast("timestamp").alias("timestamp_dt"))
+    cols.append(F.col("ts").cast("timestamp_ntz").alias("timestamp_dt"))
     return events.select(*cols)
 
 

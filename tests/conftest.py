@@ -23,6 +23,7 @@ def spark():
         .appName("probelens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
