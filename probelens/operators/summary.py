@@ -3,14 +3,20 @@
 The summary holds one row per ``(route_id, time_bucket)``: daily rows have
 a ``YYYY-MM-DD`` bucket, hourly rows ``YYYY-MM-DD-HH``. Loading it is a
 keyed upsert where a new row replaces the whole stored row with the same
-key, as a put does. On plain Parquet that is a DataFrame operation:
+key, as a put does. On plain Parquet that is a DataFrame operation, equal
+to ``new UNION ALL (current LEFT ANTI JOIN new ON key)``:
 
-    result = new  UNION ALL  (current LEFT ANTI JOIN new ON key)
+    new rows (flagged) UNION ALL stored rows
+      -> one row per key: row_number() OVER (PARTITION BY key ORDER BY new first) = 1
 
 written to a **new** location (a job must never overwrite the path it is
-reading). Both inputs are unique per key, so no key is hot: the anti join
-shuffles each side once on the key and Spark may broadcast the smaller side
-when its measured size is under the broadcast threshold.
+reading). The union is shuffled once on the key; when written, that one
+shuffle is the key-range layout of the output, which already clusters the
+key, so the dedupe adds only a sort within partitions. Each input is read
+once (an anti join also needs the new keys as a separate, differently
+pruned branch, and shuffles the stored rows a second time for the layout).
+Both inputs are unique per key, so a window group holds at most two rows:
+no key can be hot.
 
 Rows whose key cannot be formed (null route, date or hour) are set aside
 and counted as failed in the load report (D8) instead of failing a batch.
@@ -18,7 +24,7 @@ and counted as failed in the load report (D8) instead of failing a batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from probelens import config as C
@@ -84,13 +90,23 @@ def valid_item() -> Column:
 
 
 def _merge(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
-    """New rows (flagged ``_new``) plus the stored rows whose key is not new."""
+    """New rows (flagged ``_new``) and, if any, the stored rows, unioned."""
     merged = new_items.withColumn("_new", F.lit(True))
     if current is None:
         return merged
-    new_keys = new_items.where(valid_item()).select(*KEY)
-    kept = current.join(new_keys, on=KEY, how="left_anti").withColumn("_new", F.lit(False))
-    return merged.unionByName(kept)
+    return merged.unionByName(current.withColumn("_new", F.lit(False)))
+
+
+def _one_per_key(rows: DataFrame, merging: bool) -> DataFrame:
+    """Keep the new row of a key if there is one, else the stored row.
+
+    Called on valid rows only, so a new row without a key never shadows a
+    stored one. A first load (nothing stored) needs no dedupe.
+    """
+    if not merging:
+        return rows.drop("_new")
+    w = Window.partitionBy(*KEY).orderBy(F.col("_new").desc())
+    return rows.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick", "_new")
 
 
 def upsert(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
@@ -100,7 +116,7 @@ def upsert(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
     construction: each source table has one row per group). Rows that
     cannot be stored are dropped here and counted by :func:`write_upsert`.
     """
-    return _merge(current, new_items).where(valid_item()).drop("_new")
+    return _one_per_key(_merge(current, new_items).where(valid_item()), current is not None)
 
 
 def load_report(items: DataFrame) -> DataFrame:
@@ -122,16 +138,33 @@ def write_upsert(
     """SNK-3 + SNK-4: write the upserted table to ``path``; return the load report.
 
     Rows are range-partitioned on the key (each file then holds a disjoint
-    key range, so a lookup by route reads few files). The report is an
-    observation placed **above** that exchange: the range partitioner's
+    key range, so a lookup by route reads few files); that exchange is the
+    only shuffle, as it also clusters the key for the dedupe. The report is
+    an observation placed **above** that exchange: the range partitioner's
     sampling job does not pass through it, the write job passes every row
     through it exactly once, and no separate counting job runs.
     """
     norm = path.rstrip("/")
     if any(norm == p.rstrip("/") for p in source_paths):
         raise ValueError(f"summary target {path} is also an input; write to a new version")
-    ok, is_new = valid_item(), F.col("_new")
     obs = Observation("summary_load")
+    upsert_layout(current, new_items, obs).write.mode("overwrite").parquet(path)
+    m = obs.get
+    return {k: int(m.get(k) or 0) for k in ("success", "failed", "total")}
+
+
+def read_summary(spark, path: str) -> DataFrame:
+    return spark.read.schema(C.SUMMARY_SCHEMA).parquet(path)
+
+
+def upsert_layout(current: DataFrame | None, new_items: DataFrame, obs: Observation | str) -> DataFrame:
+    """The rows :func:`write_upsert` writes, in the order it writes them.
+
+    One key-range exchange over the union, the load report observed right
+    above it, then the per-key pick and the in-file order, both served by
+    one sort within each range.
+    """
+    ok, is_new = valid_item(), F.col("_new")
     # no explicit partition count: adaptive execution sizes the ranges by bytes
     laid_out = _merge(current, new_items).repartitionByRange(*KEY).observe(
         obs,
@@ -139,10 +172,4 @@ def write_upsert(
         F.count_if(is_new & ~ok).alias("failed"),
         F.count_if(is_new).alias("total"),
     )
-    laid_out.where(ok).drop("_new").sortWithinPartitions(*KEY).write.mode("overwrite").parquet(path)
-    m = obs.get
-    return {k: int(m.get(k) or 0) for k in ("success", "failed", "total")}
-
-
-def read_summary(spark, path: str) -> DataFrame:
-    return spark.read.schema(C.SUMMARY_SCHEMA).parquet(path)
+    return _one_per_key(laid_out.where(ok), current is not None).sortWithinPartitions(*KEY)

@@ -70,3 +70,40 @@ def test_filters_reach_below_the_aggregation(plans):
     assert filt < first_agg or "PushedFilters" in plan
     # the date range is rewritten onto the raw timestamp and pushed to the scan
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", plan)
+
+
+def _upsert_inputs(spark):
+    from probelens.operators import summary as S
+    from probelens.plans import catalog
+
+    old = S.upsert(None, catalog._items(spark, SF001, catalog.UPSERT_OLD_STAMP))
+    new = catalog._items(spark, SF001, catalog.UPSERT_NEW_STAMP, since=catalog.UPSERT_PARTIAL_FROM)
+    return old, new
+
+
+def _tree(plan: str) -> str:
+    return plan.split("\n\n")[0]
+
+
+def test_upsert_write_is_one_shuffle_without_join(spark):
+    from probelens.operators import summary as S
+
+    old, new = _upsert_inputs(spark)
+    tree = _tree(plan_text(S.upsert_layout(old, new, "upsert_plan_test")))
+    assert "Join" not in tree
+    # the only exchange above the union is the key-range layout; the window
+    # and the in-file order share one sort
+    above_union = tree.split("Union")[0]
+    assert len(re.findall(r"Exchange \(", above_union)) == 1
+    assert len(re.findall(r"\bSort \(", above_union)) == 1
+    assert "Window" in above_union and "CollectMetrics" in above_union
+
+
+def test_upsert_reads_each_load_once(spark):
+    from probelens.operators import summary as S
+
+    old, new = _upsert_inputs(spark)
+    tree = _tree(plan_text(S.upsert(old, new)))
+    assert "Join" not in tree
+    # two loads x two grains; an anti join would add the new keys as two more
+    assert len(re.findall(r"Scan parquet", tree)) == 4
