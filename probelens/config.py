@@ -151,6 +151,22 @@ SUMMARY_SCHEMA = T.StructType(
     ]
 )
 
+# Shared hourly aggregate the curated tables are built from (mergeable state).
+HOURLY_BASE_SCHEMA = T.StructType(
+    [
+        T.StructField("CellID", T.IntegerType(), True),
+        T.StructField("date", T.DateType(), True),
+        T.StructField("hour", T.IntegerType(), True),
+        T.StructField("Operatorname", T.StringType(), True),
+        T.StructField("n", T.LongType(), True),
+        T.StructField("congestion_sum", T.LongType(), True),
+        T.StructField("delay_sum", T.LongType(), True),
+        T.StructField("delay_max", T.IntegerType(), True),
+        T.StructField("delay_min", T.IntegerType(), True),
+        T.StructField("speed_sum", T.LongType(), True),
+    ]
+)
+
 # Curated table names under an output root.
 ROUTE_DAILY = "route_delay_daily"
 ROUTE_HOURLY = "route_delay_by_hour"

@@ -2,10 +2,13 @@
 
 PIPE-1 reads the raw readings **once**: the scan, the per-row derivation
 and the only shuffle of raw data all run in one job that writes the
-hourly cell base (see :mod:`probelens.operators.aggregate`). The three
-curated tables are then built from the written base, which also cuts the
-lineage: a lost executor costs a re-read of the base, never of the raw
-input. The caller owns the session (D3); nothing here stops it.
+hourly cell base (see :mod:`probelens.operators.aggregate`), partitioned
+by date. The three curated tables are then built from the written base,
+which also cuts the lineage: a lost executor costs a re-read of the base,
+never of the raw input. The hourly route and stop tables are one-to-one
+projections of the base and are written without a shuffle; only the daily
+roll-up aggregates. The caller owns the session (D3); nothing here stops
+it.
 """
 
 from __future__ import annotations
@@ -57,13 +60,12 @@ def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: st
     observed = raw if isinstance(raw, I.RawInput) else I.observe_quality(raw)
     readings = clean_readings(observed.df)
 
-    base_path = TB.table_path(out_root, C.HOURLY_BASE)
     base_obs = Observation("hourly_base")
     base_df = A.hourly_cell_base(readings).observe(
         base_obs, F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")
     )
-    base_df.write.mode("overwrite").parquet(base_path)
-    base = spark.read.parquet(base_path)
+    base_path = TB.write_base(base_df, out_root)
+    base = TB.read_base(spark, out_root)
 
     sizes = _observed(base_obs)
     if sizes is None:
@@ -73,15 +75,17 @@ def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: st
         raise I.DataValidationError("no readings left after dropping rows with missing required values")
     quality = _observed(observed.quality) or {}
 
+    # (builder, one row per base row): projections of the date-partitioned
+    # base are written map-only; the daily roll-up aggregates, so it shuffles
     builders = {
-        C.ROUTE_HOURLY: A.route_delay_by_hour,
-        C.ROUTE_DAILY: A.route_delay_daily,
-        C.STOP_HOURLY: A.stop_congestion_hourly,
+        C.ROUTE_HOURLY: (A.route_delay_by_hour, True),
+        C.ROUTE_DAILY: (A.route_delay_daily, False),
+        C.STOP_HOURLY: (A.stop_congestion_hourly, True),
     }
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         futures = {
-            name: pool.submit(TB.write_curated, TB.conform(build(base), name), out_root, name)
-            for name, build in builders.items()
+            name: pool.submit(TB.write_curated, TB.conform(build(base), name), out_root, name, laid_out)
+            for name, (build, laid_out) in builders.items()
         }
         paths = {name: f.result() for name, f in futures.items()}
     return {

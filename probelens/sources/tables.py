@@ -60,20 +60,34 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def write_curated(df: DataFrame, root: str, name: str) -> str:
-    """SNK-1/SNK-2: overwrite one curated table under ``root``.
+def _by_date(df: DataFrame, date_column: str, laid_out: bool) -> DataFrame:
+    """Rows grouped by date for a date-partitioned write.
 
     The ``rebalance`` hint hashes rows on the date so that each date lands
     in one writer task (one file per date, not one per task and date);
     adaptive execution then merges small dates into fewer tasks and splits
     a date that holds a large share of the rows over several tasks, so file
-    sizes follow the advisory partition size whatever the skew. Rows are
-    sorted within each file for tight row-group statistics.
+    sizes follow the advisory partition size whatever the skew.
+
+    ``laid_out`` input already comes from a scan of a date-partitioned
+    table, one row per source row: each scan task holds whole files, and
+    each file one date, so each task writes at most one file per file it
+    read, and no shuffle is needed.
+    """
+    return df if laid_out else df.hint("rebalance", date_column)
+
+
+def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -> str:
+    """SNK-1/SNK-2: overwrite one curated table under ``root``.
+
+    Partitioned by ``aggregation_date`` (see :func:`_by_date` for the task
+    layout); rows are sorted within each file for tight row-group
+    statistics.
     """
     path = table_path(root, name)
     keys = _SORT_KEYS[name]
     (
-        df.hint("rebalance", PARTITION_COLUMN)
+        _by_date(df, PARTITION_COLUMN, laid_out)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .partitionBy(PARTITION_COLUMN)
@@ -82,6 +96,30 @@ def write_curated(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def write_base(df: DataFrame, root: str) -> str:
+    """Write the hourly cell base, partitioned by ``date``.
+
+    The hourly route and stop tables are one-to-one projections of the
+    base, so with this layout they are written map-only (``laid_out``):
+    the one rebalance here replaces one per table.
+    """
+    path = table_path(root, C.HOURLY_BASE)
+    (
+        _by_date(df, "date", laid_out=False)
+        .sortWithinPartitions("date", "hour", "CellID", "Operatorname")
+        .write.mode("overwrite")
+        .partitionBy("date")
+        .parquet(path)
+    )
+    return path
+
+
+def read_base(spark: SparkSession, root: str) -> DataFrame:
+    """The written hourly cell base, columns in operator order."""
+    df = spark.read.schema(C.HOURLY_BASE_SCHEMA).parquet(table_path(root, C.HOURLY_BASE))
+    return df.select(*[f.name for f in C.HOURLY_BASE_SCHEMA.fields])
+
+
 def read_curated(spark: SparkSession, root: str, name: str) -> DataFrame:
     """SRC-3/SRC-4: lazy scan of one curated table, columns in operator order.
 

@@ -169,3 +169,38 @@ def test_cli_success_and_failure(spark, tmp_path, capsys):
     code = main(["--raw", str(tmp_path / "missing"), "--out", str(tmp_path / "cli2")])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 1 and report["success"] is False
+
+
+def test_base_is_date_partitioned_and_hourly_tables_are_map_only(spark, built):
+    import os
+    import re
+
+    from fixtures import plan_text
+
+    from probelens.operators import aggregate as A
+
+    out, report = built
+    base_dir = TB.table_path(out, C.HOURLY_BASE)
+    assert any(d.startswith("date=") for d in os.listdir(base_dir))
+    base = TB.read_base(spark, out)
+    assert base.count() == report["hourly_groups"]
+    for name, build in ((C.ROUTE_HOURLY, A.route_delay_by_hour), (C.STOP_HOURLY, A.stop_congestion_hourly)):
+        tree = plan_text(TB.conform(build(base), name).sortWithinPartitions("aggregation_date")).split("\n\n")[0]
+        assert "Exchange" not in tree
+    daily = plan_text(TB.conform(A.route_delay_daily(base), C.ROUTE_DAILY)).split("\n\n")[0]
+    assert len(re.findall(r"Exchange", daily)) == 1  # the roll-up aggregates
+
+
+def test_null_date_group_survives_the_partitioned_base(spark, tmp_path):
+    from fixtures import CASES, write_csv
+
+    from probelens.plans.pipeline import build_from_csv
+
+    d = str(tmp_path / "raw")
+    write_csv(d, "part1.csv", CASES)
+    out = str(tmp_path / "out")
+    build_from_csv(spark, d, out)
+    rows = TB.read_route_hourly(spark, out).where(F.col("aggregation_date").isNull()).collect()
+    assert [(r["Journey_Pattern_ID"], r["hour"], r["trip_count"]) for r in rows] == [("B_12", None, 1)]
+    total = TB.read_stop_hourly(spark, out).agg(F.sum("total_count")).first()[0]
+    assert total == 4
