@@ -13,6 +13,7 @@ import argparse
 import datetime as dt
 import json
 import sys
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +81,29 @@ def filter_choices(hourly: DataFrame) -> dict[str, DataFrame]:
     return {"routes": R.route_choices(hourly), "operators": R.operator_choices(hourly)}
 
 
+# Frames that other frames of the same tab are derived from, with their bound:
+# the top N stops (N <= 50), one row per day of the range, one row per route.
+SHARED_FRAMES = {"stop": ("top",), "overview": ("by_date",), "ab": ("route_scores",)}
+
+
+@contextmanager
+def shared_frames_kept(frames: dict[str, DataFrame], tab: str):
+    """Keep a tab's shared frames while its frames are acted on.
+
+    Without this, every frame derived from the stop top-N (indicators,
+    ranked table, scatter) re-runs the roll-up over the curated table.
+    Persisted blocks lost with an executor are recomputed from lineage.
+    """
+    shared = [frames[k] for k in SHARED_FRAMES.get(tab, ()) if k in frames]
+    for df in shared:
+        df.persist()
+    try:
+        yield frames
+    finally:
+        for df in shared:
+            df.unpersist()
+
+
 def tab_frames(spark: SparkSession, curated_root: str, tab: str, spec: FilterSpec, **kw) -> dict[str, DataFrame]:
     """The frames of ``tab`` (overview, route, stop, ab, choices) over a curated root."""
     if tab == "stop":
@@ -132,9 +156,10 @@ def main(argv: list[str] | None = None) -> int:
         .getOrCreate()
     )
     frames = tab_frames(spark, args.curated, args.tab, spec, top_n=args.top_n, band_a=args.band_a, band_b=args.band_b)
-    for name, df in frames.items():
-        rows = [r.asDict() for r in df.limit(args.max_rows).collect()]
-        print(json.dumps({"frame": name, "rows": rows}, default=str, ensure_ascii=False))
+    with shared_frames_kept(frames, args.tab):
+        for name, df in frames.items():
+            rows = [r.asDict() for r in df.limit(args.max_rows).collect()]
+            print(json.dumps({"frame": name, "rows": rows}, default=str, ensure_ascii=False))
     return 0
 
 

@@ -58,3 +58,26 @@ def test_default_date_range_is_the_dashboards(spark, curated, capsys):
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     by_date = [x for x in lines if x["frame"] == "by_date"][0]
     assert by_date["rows"] == []  # 2017-11-30 ... 2018-01-27 holds none of the 2024 readings
+
+
+@pytest.mark.parametrize("tab,shared,derived", [("stop", "top", ("kpis", "table", "scatter")), ("ab", "route_scores", ("comparison_table", "long")), ("overview", "by_date", ("by_date_table",))])
+def test_derived_frames_read_the_kept_shared_frame(spark, curated, tab, shared, derived):
+    from fixtures import plan_text
+
+    from probelens.plans.dashboard import shared_frames_kept
+
+    plain = tab_frames(spark, curated, tab, SPEC)
+    def rows(df):
+        return sorted((r.asDict() for r in df.collect()), key=repr)
+
+    expected = {name: rows(plain[name]) for name in derived}
+    # a frame picks up cached data when first planned, so nothing of this set
+    # is acted on before the shared frame is kept (as in the CLI)
+    frames = tab_frames(spark, curated, tab, SPEC)
+    with shared_frames_kept(frames, tab):
+        assert frames[shared].storageLevel.useMemory
+        for name in derived:
+            assert "InMemoryTableScan" in plan_text(frames[name]), name
+            assert rows(frames[name]) == expected[name]
+    level = frames[shared].storageLevel
+    assert not level.useMemory and not level.useDisk
