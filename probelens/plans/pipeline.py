@@ -2,8 +2,8 @@
 
 PIPE-1 reads the raw readings **once**: the scan, the per-row derivation
 and the only shuffle of raw data all run in one job that writes the
-hourly cell base (see :mod:`probelens.operators.aggregate`), partitioned
-by date. The three curated tables are then built from the written base,
+hourly cell base (see :mod:`probelens.operators.aggregate`), rebalanced
+on the date. The three curated tables are then built from the written base,
 which also cuts the lineage: a lost executor costs a re-read of the base,
 never of the raw input. The hourly route and stop tables are one-to-one
 projections of the base and are written without a shuffle; only the daily
@@ -75,7 +75,7 @@ def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: st
         raise I.DataValidationError("no readings left after dropping rows with missing required values")
     quality = _observed(observed.quality) or {}
 
-    # (builder, one row per base row): projections of the date-partitioned
+    # (builder, one row per base row): projections of the date-rebalanced
     # base are written map-only; the daily roll-up aggregates, so it shuffles
     builders = {
         C.ROUTE_HOURLY: (A.route_delay_by_hour, True),

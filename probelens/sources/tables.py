@@ -69,10 +69,11 @@ def _by_date(df: DataFrame, date_column: str, laid_out: bool) -> DataFrame:
     a date that holds a large share of the rows over several tasks, so file
     sizes follow the advisory partition size whatever the skew.
 
-    ``laid_out`` input already comes from a scan of a date-partitioned
-    table, one row per source row: each scan task holds whole files, and
-    each file one date, so each task writes at most one file per file it
-    read, and no shuffle is needed.
+    ``laid_out`` input is a one-to-one projection of a table that was itself
+    written after this rebalance (the hourly cell base): each of its files
+    holds whole dates (or one slice of a date too large for one file), and
+    each scan task whole files or row groups of one file, so each task
+    writes one file per date it holds, and no shuffle is needed.
     """
     return df if laid_out else df.hint("rebalance", date_column)
 
@@ -97,25 +98,27 @@ def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -
 
 
 def write_base(df: DataFrame, root: str) -> str:
-    """Write the hourly cell base, partitioned by ``date``.
+    """Write the hourly cell base, rebalanced on ``date``.
 
     The hourly route and stop tables are one-to-one projections of the
     base, so with this layout they are written map-only (``laid_out``):
-    the one rebalance here replaces one per table.
+    the one rebalance here replaces one per table. The base itself is not
+    directory-partitioned: nothing filters it by date, and adaptive
+    execution can then merge small dates into one file instead of writing
+    a file per date.
     """
     path = table_path(root, C.HOURLY_BASE)
     (
         _by_date(df, "date", laid_out=False)
         .sortWithinPartitions("date", "hour", "CellID", "Operatorname")
         .write.mode("overwrite")
-        .partitionBy("date")
         .parquet(path)
     )
     return path
 
 
 def read_base(spark: SparkSession, root: str) -> DataFrame:
-    """The written hourly cell base, columns in operator order."""
+    """The written hourly cell base (declared schema, no footer inference)."""
     df = spark.read.schema(C.HOURLY_BASE_SCHEMA).parquet(table_path(root, C.HOURLY_BASE))
     return df.select(*[f.name for f in C.HOURLY_BASE_SCHEMA.fields])
 

@@ -171,7 +171,7 @@ def test_cli_success_and_failure(spark, tmp_path, capsys):
     assert code == 1 and report["success"] is False
 
 
-def test_base_is_date_partitioned_and_hourly_tables_are_map_only(spark, built):
+def test_hourly_tables_are_map_only_with_one_file_per_date(spark, built):
     import os
     import re
 
@@ -180,9 +180,14 @@ def test_base_is_date_partitioned_and_hourly_tables_are_map_only(spark, built):
     from probelens.operators import aggregate as A
 
     out, report = built
-    base_dir = TB.table_path(out, C.HOURLY_BASE)
-    assert any(d.startswith("date=") for d in os.listdir(base_dir))
     base = TB.read_base(spark, out)
+    dates = base.select("date").distinct().count()
+    base_files = [f for f in os.listdir(TB.table_path(out, C.HOURLY_BASE)) if f.endswith(".parquet")]
+    assert 1 <= len(base_files) <= dates  # rebalanced on the date
+    for name in (C.ROUTE_HOURLY, C.STOP_HOURLY):
+        table = TB.table_path(out, name)
+        per_date = [len([f for f in os.listdir(os.path.join(table, d)) if f.endswith(".parquet")]) for d in os.listdir(table) if "=" in d]
+        assert len(per_date) == dates and set(per_date) == {1}
     assert base.count() == report["hourly_groups"]
     for name, build in ((C.ROUTE_HOURLY, A.route_delay_by_hour), (C.STOP_HOURLY, A.stop_congestion_hourly)):
         tree = plan_text(TB.conform(build(base), name).sortWithinPartitions("aggregation_date")).split("\n\n")[0]
@@ -191,7 +196,7 @@ def test_base_is_date_partitioned_and_hourly_tables_are_map_only(spark, built):
     assert len(re.findall(r"Exchange", daily)) == 1  # the roll-up aggregates
 
 
-def test_null_date_group_survives_the_partitioned_base(spark, tmp_path):
+def test_null_date_group_survives_the_base(spark, tmp_path):
     from fixtures import CASES, write_csv
 
     from probelens.plans.pipeline import build_from_csv

@@ -42,3 +42,26 @@ def test_hot_date_is_split_into_several_files(spark, tmp_path):
     back = TB.read_route_hourly(spark, root)
     assert back.count() == total
     assert back.where(F.col("aggregation_date") == F.lit(HOT)).count() == hot_rows
+
+
+def test_hot_cell_keeps_whole_results(spark):
+    """A cell holding ~40% of all readings: every reading is still counted,
+    in exactly the groups a direct aggregation of the readings gives."""
+    from probelens.operators import aggregate as A
+    from probelens.plans.pipeline import clean_readings
+    from probelens.sources.events import EVENTS_SCHEMA, events_path, readings_from_events
+    from pyspark.sql import types as T
+
+    schema = T.StructType([*EVENTS_SCHEMA.fields, T.StructField("event_id", T.LongType())])
+    ev = spark.read.schema(schema).parquet(events_path(SF01)).repartition(16)
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 5 < 2, F.lit(7)).otherwise(F.col("user_id")))
+    readings = clean_readings(readings_from_events(hot.drop("event_id")))
+    n, hot_n = readings.count(), readings.where(F.col("CellID") == 7).count()
+    assert hot_n > n / 3
+
+    base = A.hourly_cell_base(readings)
+    assert base.agg(F.sum("n")).first()[0] == n
+    keys = ["CellID", "date", "hour", "Operatorname"]
+    direct = readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("Delay").alias("delay_sum"))
+    got = base.select(*keys, "n", "delay_sum")
+    assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
