@@ -11,6 +11,8 @@ reproducible.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,61 @@ def _calendar_series(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(1).sortWithinPartitions(key)
 
 
+# ---------------------------------------------------------------------------
+# One read per tab: hourly cells (overview and route tabs)
+# ---------------------------------------------------------------------------
+
+# An aggregate mean of a column of hourly rows: ``F.avg`` over the rows
+# themselves, or :func:`cell_mean` over :func:`hour_cells`.
+Mean = Callable[[str], Column]
+
+# Hourly columns whose means the overview and route tabs report.
+_CELL_MEANS = ("congestion_rate", "avg_delay", "avg_speed")
+
+
+def hour_cells(hourly: DataFrame, spec: FilterSpec | None = None, view: str = "overview") -> DataFrame:
+    """The filtered hourly rows reduced to one row per (date, hour).
+
+    Each cell holds mergeable state: the sum and count of each hourly value
+    averaged by a tab, the max delay and the trips. A tab's indicators and
+    its date and hour series are all roll-ups of the cells, so a tab that
+    keeps them for one request (see ``plans.dashboard``) reads the curated
+    table once instead of once per frame. Cells are bounded by the calendar
+    (one per hour of the filter range, plus null-key cells), not by routes.
+    """
+    df = _filtered(hourly, spec, view)
+    state = []
+    for c in _CELL_MEANS:
+        state += [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n")]
+    return df.groupBy("aggregation_date", "hour").agg(
+        *state, F.max("max_delay").alias("max_delay"), F.sum("trip_count").alias("trip_count")
+    )
+
+
+def cell_mean(column: str) -> Column:
+    """Mean of an hourly column over cells: summed values over summed counts,
+    which is the mean over the underlying rows (null when there are none)."""
+    return F.try_divide(F.sum(f"{column}_sum"), F.sum(f"{column}_n"))
+
+
+def overview_from_cells(cells: DataFrame) -> dict[str, DataFrame]:
+    """AGG-4, AGG-5, AGG-6 as roll-ups of :func:`hour_cells` (overview view)."""
+    return {
+        "kpis": _overview_kpis(cells, cell_mean),
+        "by_date": _overview_series(cells, "aggregation_date", cell_mean),
+        "by_hour": _overview_series(cells, "hour", cell_mean),
+    }
+
+
+def route_from_cells(cells: DataFrame) -> dict[str, DataFrame]:
+    """AGG-7, AGG-8, AGG-9 as roll-ups of :func:`hour_cells` (route view)."""
+    return {
+        "kpis": _route_kpis(cells, cell_mean),
+        "delay_by_date": _delay_series(cells, "aggregation_date", cell_mean),
+        "delay_by_hour": _delay_series(cells, "hour", cell_mean),
+    }
+
+
 # ---------------------------------------------------------------------------
 # Overview tab (route_delay_by_hour)
 # ---------------------------------------------------------------------------
@@ -55,22 +112,25 @@ def overview_kpis(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFram
     ``stop_slow_ratio`` equals the mean rate (the source defines it so);
     ``avg_speed`` is the mean of the hourly average speeds (D6).
     """
-    df = _filtered(hourly, spec, "overview")
-    rate = F.avg("congestion_rate")
+    return _overview_kpis(_filtered(hourly, spec, "overview"), F.avg)
+
+
+def _overview_kpis(df: DataFrame, mean: Mean) -> DataFrame:
+    rate = mean("congestion_rate")
     return df.agg(
         rate.alias("avg_congestion_rate"),
         congestion_score(rate).alias("congestion_score"),
         rate.alias("stop_slow_ratio"),
         F.sum("trip_count").alias("total_samples"),
-        F.avg("avg_speed").alias("avg_speed"),
+        mean("avg_speed").alias("avg_speed"),
     )
 
 
-def _overview_series(hourly: DataFrame, spec: FilterSpec | None, key: str) -> DataFrame:
-    df = _by_key(_filtered(hourly, spec, "overview"), key)
+def _overview_series(df: DataFrame, key: str, mean: Mean) -> DataFrame:
     return (
-        df.groupBy(key)
-        .agg(F.avg("congestion_rate").alias("congestion_rate"), F.sum("trip_count").alias("trip_count"))
+        _by_key(df, key)
+        .groupBy(key)
+        .agg(mean("congestion_rate").alias("congestion_rate"), F.sum("trip_count").alias("trip_count"))
         .withColumn("congestion_score", congestion_score("congestion_rate"))
         .transform(lambda d: _calendar_series(d, key))
     )
@@ -78,12 +138,12 @@ def _overview_series(hourly: DataFrame, spec: FilterSpec | None, key: str) -> Da
 
 def overview_by_date(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """AGG-5 + SRT-1: mean rate, summed trips and score per date, by date."""
-    return _overview_series(hourly, spec, "aggregation_date")
+    return _overview_series(_filtered(hourly, spec, "overview"), "aggregation_date", F.avg)
 
 
 def overview_by_hour(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """AGG-6 + SRT-2: mean rate, summed trips and score per hour, by hour."""
-    return _overview_series(hourly, spec, "hour")
+    return _overview_series(_filtered(hourly, spec, "overview"), "hour", F.avg)
 
 
 def overview_date_table(series: DataFrame) -> DataFrame:
@@ -127,25 +187,30 @@ def _sorted_distinct(df: DataFrame, key: str) -> DataFrame:
 
 def route_kpis(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """AGG-7: mean delay, max delay, total trips, mean rate."""
-    df = _filtered(hourly, spec, "route")
+    return _route_kpis(_filtered(hourly, spec, "route"), F.avg)
+
+
+def _route_kpis(df: DataFrame, mean: Mean) -> DataFrame:
     return df.agg(
-        F.avg("avg_delay").alias("avg_delay"),
+        mean("avg_delay").alias("avg_delay"),
         F.max("max_delay").alias("max_delay"),
         F.sum("trip_count").alias("total_trips"),
-        F.avg("congestion_rate").alias("congestion_rate"),
+        mean("congestion_rate").alias("congestion_rate"),
     )
 
 
+def _delay_series(df: DataFrame, key: str, mean: Mean) -> DataFrame:
+    return _calendar_series(_by_key(df, key).groupBy(key).agg(mean("avg_delay").alias("avg_delay")), key)
+
+
 def route_delay_by_date(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """AGG-8 + SRT-1: mean delay per date, by date."""
-    df = _by_key(_filtered(hourly, spec, "route"), "aggregation_date")
-    return _calendar_series(df.groupBy("aggregation_date").agg(F.avg("avg_delay").alias("avg_delay")), "aggregation_date")
+    return _delay_series(_filtered(hourly, spec, "route"), "aggregation_date", F.avg)
 
 
 def route_delay_by_hour_of_day(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
     """AGG-9 + SRT-2: mean delay per hour of day, by hour."""
-    df = _by_key(_filtered(hourly, spec, "route"), "hour")
-    return _calendar_series(df.groupBy("hour").agg(F.avg("avg_delay").alias("avg_delay")), "hour")
+    return _delay_series(_filtered(hourly, spec, "route"), "hour", F.avg)
 
 
 def route_mean_delay(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:

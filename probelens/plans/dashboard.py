@@ -25,22 +25,26 @@ from probelens.sources import tables as TB
 
 def overview_tab(hourly: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
     """Overview: headline indicators, series by date (with its detail table)
-    and by hour."""
-    by_date = R.overview_by_date(hourly, spec)
+    and by hour, all roll-ups of the tab's hourly cells (one curated read
+    when the cells are kept, see :func:`shared_frames_kept`)."""
+    cells = R.hour_cells(hourly, spec, "overview")
+    out = R.overview_from_cells(cells)
     return {
-        "kpis": R.overview_kpis(hourly, spec),
-        "by_date": by_date,
-        "by_date_table": R.overview_date_table(by_date),
-        "by_hour": R.overview_by_hour(hourly, spec),
+        "cells": cells,
+        "kpis": out["kpis"],
+        "by_date": out["by_date"],
+        "by_date_table": R.overview_date_table(out["by_date"]),
+        "by_hour": out["by_hour"],
     }
 
 
 def route_tab(hourly: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
-    """Route delay: indicators, delay by date and by hour, top routes, detail rows."""
+    """Route delay: indicators, delay by date and by hour (roll-ups of the
+    tab's hourly cells), top routes, detail rows."""
+    cells = R.hour_cells(hourly, spec, "route")
     return {
-        "kpis": R.route_kpis(hourly, spec),
-        "delay_by_date": R.route_delay_by_date(hourly, spec),
-        "delay_by_hour": R.route_delay_by_hour_of_day(hourly, spec),
+        "cells": cells,
+        **R.route_from_cells(cells),
         "top_routes": R.top_routes_by_delay(hourly, spec),
         "detail": R.route_detail(hourly, spec),
     }
@@ -82,8 +86,9 @@ def filter_choices(hourly: DataFrame) -> dict[str, DataFrame]:
 
 
 # Frames that other frames of the same tab are derived from, with their bound:
-# the top N stops (N <= 50), one row per day of the range, one row per route.
-SHARED_FRAMES = {"stop": ("top",), "overview": ("by_date",), "ab": ("route_scores",)}
+# hourly cells (one row per hour of the range), the top N stops (N <= 50),
+# one row per route.
+SHARED_FRAMES = {"overview": ("cells",), "route": ("cells",), "stop": ("top",), "ab": ("route_scores",)}
 
 
 @contextmanager
@@ -91,7 +96,8 @@ def shared_frames_kept(frames: dict[str, DataFrame], tab: str):
     """Keep a tab's shared frames while its frames are acted on.
 
     Without this, every frame derived from the stop top-N (indicators,
-    ranked table, scatter) re-runs the roll-up over the curated table.
+    ranked table, scatter) re-runs the roll-up over the curated table, and
+    the overview's indicators and series each re-read it.
     Persisted blocks lost with an executor are recomputed from lineage.
     """
     shared = [frames[k] for k in SHARED_FRAMES.get(tab, ()) if k in frames]

@@ -25,8 +25,8 @@ def curated(spark, tmp_path_factory):
 @pytest.mark.parametrize(
     "tab,frames",
     [
-        ("overview", {"kpis", "by_date", "by_date_table", "by_hour"}),
-        ("route", {"kpis", "delay_by_date", "delay_by_hour", "top_routes", "detail"}),
+        ("overview", {"cells", "kpis", "by_date", "by_date_table", "by_hour"}),
+        ("route", {"cells", "kpis", "delay_by_date", "delay_by_hour", "top_routes", "detail"}),
         ("stop", {"top", "kpis", "table", "scatter"}),
         ("ab", {"kpis", "route_scores", "comparison_table", "long"}),
         ("choices", {"routes", "operators"}),
@@ -60,7 +60,15 @@ def test_default_date_range_is_the_dashboards(spark, curated, capsys):
     assert by_date["rows"] == []  # 2017-11-30 ... 2018-01-27 holds none of the 2024 readings
 
 
-@pytest.mark.parametrize("tab,shared,derived", [("stop", "top", ("kpis", "table", "scatter")), ("ab", "route_scores", ("comparison_table", "long")), ("overview", "by_date", ("by_date_table",))])
+@pytest.mark.parametrize(
+    "tab,shared,derived",
+    [
+        ("stop", "top", ("kpis", "table", "scatter")),
+        ("ab", "route_scores", ("comparison_table", "long")),
+        ("overview", "cells", ("kpis", "by_date", "by_date_table", "by_hour")),
+        ("route", "cells", ("kpis", "delay_by_date", "delay_by_hour")),
+    ],
+)
 def test_derived_frames_read_the_kept_shared_frame(spark, curated, tab, shared, derived):
     from fixtures import plan_text
 
@@ -81,3 +89,42 @@ def test_derived_frames_read_the_kept_shared_frame(spark, curated, tab, shared,
             assert rows(frames[name]) == expected[name]
     level = frames[shared].storageLevel
     assert not level.useMemory and not level.useDisk
+
+
+DIRECT = {
+    "overview": {"kpis": "overview_kpis", "by_date": "overview_by_date", "by_hour": "overview_by_hour"},
+    "route": {"kpis": "route_kpis", "delay_by_date": "route_delay_by_date", "delay_by_hour": "route_delay_by_hour_of_day"},
+}
+SPECS = [
+    SPEC,
+    FilterSpec(
+        date_range=(dt.date(2024, 1, 3), dt.date(2024, 1, 27)),
+        weekdays=(1, 2, 3, 4, 5),
+        hour_bands=((6, 10), (16, 20)),
+        operator="A",
+    ),
+    FilterSpec(date_range=(dt.date(2030, 1, 1), dt.date(2030, 1, 2))),  # no rows
+]
+
+
+@pytest.mark.parametrize("tab", sorted(DIRECT))
+@pytest.mark.parametrize("spec", SPECS, ids=["month", "weekday-bands-op", "empty"])
+def test_cell_rollups_equal_direct_reports(spark, curated, tab, spec):
+    """Roll-ups of the hourly cells give the direct reports' rows (means of
+    the hourly values, to 1e-9), including the one-row answer on no input."""
+    from probelens.operators import reports as R
+    from probelens.sources import tables as TB
+
+    hourly = TB.read_route_hourly(spark, curated)
+    frames = tab_frames(spark, curated, tab, spec)
+    for name, fn in DIRECT[tab].items():
+        got = [r.asDict() for r in frames[name].collect()]
+        exp = [r.asDict() for r in getattr(R, fn)(hourly, spec).collect()]
+        assert len(got) == len(exp), name
+        for a, b in zip(got, exp):
+            assert a.keys() == b.keys()
+            for k in a:
+                if isinstance(a[k], float) and isinstance(b[k], float):
+                    assert abs(a[k] - b[k]) <= 1e-9 * max(1.0, abs(b[k])), (name, k)
+                else:
+                    assert a[k] == b[k], (name, k)
