@@ -341,6 +341,10 @@ def band_kpis(
         F.avg(F.when(_in_band(a), F.col("avg_speed"))).alias("avg_speed_a"),
         F.avg(F.when(_in_band(b), F.col("avg_speed"))).alias("avg_speed_b"),
     )
+    return _band_kpi_frame(agg)
+
+
+def _band_kpi_frame(agg: DataFrame) -> DataFrame:
     return agg.select(
         "congestion_rate_a",
         congestion_score("congestion_rate_a").alias("congestion_score_a"),
@@ -373,6 +377,10 @@ def band_route_scores(
         _band_mean(a).alias("congestion_rate_a"),
         _band_mean(b).alias("congestion_rate_b"),
     )
+    return _both_bands(per_route)
+
+
+def _both_bands(per_route: DataFrame) -> DataFrame:
     both = per_route.where(F.col("congestion_rate_a").isNotNull() & F.col("congestion_rate_b").isNotNull())
     return both.select(
         ROUTE,
@@ -383,6 +391,51 @@ def band_route_scores(
     )
 
 
+def band_route_state(
+    hourly: DataFrame,
+    spec: FilterSpec | None = None,
+    band_a=C.DEFAULT_BAND_A,
+    band_b=C.DEFAULT_BAND_B,
+) -> DataFrame:
+    """Per route, the sums and counts of rate and speed in band A and in band B.
+
+    The null route is a group of its own, so the band indicators (which
+    count every row) and the per-route scores (which drop it) are both
+    roll-ups of this one aggregation: an A/B tab that keeps it for one
+    request reads the curated table once. One row per route.
+    """
+    a, b = _band(band_a), _band(band_b)
+    state = []
+    for tag, band in (("a", a), ("b", b)):
+        for column, name in (("congestion_rate", "rate"), ("avg_speed", "speed")):
+            v = F.when(_in_band(band), F.col(column))
+            state += [F.sum(v).alias(f"{name}_{tag}_sum"), F.count(v).alias(f"{name}_{tag}_n")]
+    return _filtered(hourly, spec, "ab").groupBy(ROUTE).agg(*state)
+
+
+def band_from_state(state: DataFrame) -> dict[str, DataFrame]:
+    """AGG-13 and AGG-14/JOIN-1/JOIN-2 as roll-ups of :func:`band_route_state`."""
+
+    def mean(prefix: str, over_groups: bool) -> Column:
+        s_, n_ = f"{prefix}_sum", f"{prefix}_n"
+        if over_groups:
+            return F.try_divide(F.sum(s_), F.sum(n_))
+        return F.try_divide(F.col(s_), F.col(n_))
+
+    kpis = state.agg(
+        mean("rate_a", True).alias("congestion_rate_a"),
+        mean("rate_b", True).alias("congestion_rate_b"),
+        mean("speed_a", True).alias("avg_speed_a"),
+        mean("speed_b", True).alias("avg_speed_b"),
+    )
+    per_route = _by_key(state, ROUTE).select(
+        ROUTE,
+        mean("rate_a", False).alias("congestion_rate_a"),
+        mean("rate_b", False).alias("congestion_rate_b"),
+    )
+    return {"kpis": _band_kpi_frame(kpis), "route_scores": _both_bands(per_route)}
+
+
 def band_comparison_table(scores: DataFrame) -> DataFrame:
     """PRJ-16: route with both scores, rounded to 2 decimals."""
     return scores.select(

@@ -70,10 +70,14 @@ def band_tab(
     label_b: str = C.DEFAULT_LABEL_B,
 ) -> dict[str, DataFrame]:
     """Time-band A/B comparison: band indicators, per-route scores (wide,
-    rounded table, and long form for a grouped chart)."""
-    scores = R.band_route_scores(hourly, spec, band_a, band_b)
+    rounded table, and long form for a grouped chart), all roll-ups of the
+    per-route band state (one curated read when the state is kept)."""
+    state = R.band_route_state(hourly, spec, band_a, band_b)
+    out = R.band_from_state(state)
+    scores = out["route_scores"]
     return {
-        "kpis": R.band_kpis(hourly, spec, band_a, band_b),
+        "route_state": state,
+        "kpis": out["kpis"],
         "route_scores": scores,
         "comparison_table": R.band_comparison_table(scores),
         "long": R.band_route_long(scores, label_a, label_b),
@@ -87,8 +91,8 @@ def filter_choices(hourly: DataFrame) -> dict[str, DataFrame]:
 
 # Frames that other frames of the same tab are derived from, with their bound:
 # hourly cells (one row per hour of the range), the top N stops (N <= 50),
-# one row per route.
-SHARED_FRAMES = {"overview": ("cells",), "route": ("cells",), "stop": ("top",), "ab": ("route_scores",)}
+# per-route band state (one row per route).
+SHARED_FRAMES = {"overview": ("cells",), "route": ("cells",), "stop": ("top",), "ab": ("route_state",)}
 
 
 @contextmanager
