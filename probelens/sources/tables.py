@@ -61,7 +61,7 @@ def table_path(root: str, name: str) -> str:
 
 
 def _by_date(df: DataFrame, date_column: str, laid_out: bool) -> DataFrame:
-    """Rows grouped by date for a date-partitioned write.
+    """Rows grouped by date before a write (curated tables and the base).
 
     The ``rebalance`` hint hashes rows on the date so that each date lands
     in one writer task (one file per date, not one per task and date);
