@@ -10,9 +10,9 @@ to ``new UNION ALL (current LEFT ANTI JOIN new ON key)``:
       -> one row per key: row_number() OVER (PARTITION BY key ORDER BY new first) = 1
 
 written to a **new** location (a job must never overwrite the path it is
-reading). The union is shuffled once on the key; when written, that one
-shuffle is the key-range layout of the output, which already clusters the
-key, so the dedupe adds only a sort within partitions. Each input is read
+reading). The union is shuffled once, hash-partitioned on the key: that
+clusters the key for the dedupe, which adds only a sort within partitions
+(the same sort gives each file its key order). Each input is read
 once (an anti join also needs the new keys as a separate, differently
 pruned branch, and shuffles the stored rows a second time for the layout).
 Both inputs are unique per key, so a window group holds at most two rows:
@@ -137,12 +137,14 @@ def write_upsert(
 ) -> dict[str, int]:
     """SNK-3 + SNK-4: write the upserted table to ``path``; return the load report.
 
-    Rows are range-partitioned on the key (each file then holds a disjoint
-    key range, so a lookup by route reads few files); that exchange is the
-    only shuffle, as it also clusters the key for the dedupe. The report is
-    an observation placed **above** that exchange: the range partitioner's
-    sampling job does not pass through it, the write job passes every row
-    through it exactly once, and no separate counting job runs.
+    Rows are hash-partitioned on the key and sorted by it within each file
+    (row-group statistics then let a lookup by key skip most of each file);
+    that exchange is the only shuffle, as it also clusters the key for the
+    dedupe. A key-range layout would add a sampling job that evaluates the
+    whole input once more (on plain Parquet, Spark does not prune files by
+    their key ranges when planning, so it would buy little). The report is
+    an observation placed **above** the exchange: the write job passes every
+    row through it exactly once, and no separate counting job runs.
     """
     norm = path.rstrip("/")
     if any(norm == p.rstrip("/") for p in source_paths):
@@ -160,13 +162,13 @@ def read_summary(spark, path: str) -> DataFrame:
 def upsert_layout(current: DataFrame | None, new_items: DataFrame, obs: Observation | str) -> DataFrame:
     """The rows :func:`write_upsert` writes, in the order it writes them.
 
-    One key-range exchange over the union, the load report observed right
-    above it, then the per-key pick and the in-file order, both served by
-    one sort within each range.
+    One exchange hash-partitioned on the key over the union, the load report
+    observed right above it, then the per-key pick and the in-file order,
+    both served by one sort within each partition.
     """
     ok, is_new = valid_item(), F.col("_new")
-    # no explicit partition count: adaptive execution sizes the ranges by bytes
-    laid_out = _merge(current, new_items).repartitionByRange(*KEY).observe(
+    # no explicit partition count: adaptive execution sizes partitions by bytes
+    laid_out = _merge(current, new_items).repartition(*KEY).observe(
         obs,
         F.count_if(is_new & ok).alias("success"),
         F.count_if(is_new & ~ok).alias("failed"),

@@ -91,12 +91,13 @@ def test_upsert_write_is_one_shuffle_without_join(spark):
     old, new = _upsert_inputs(spark)
     tree = _tree(plan_text(S.upsert_layout(old, new, "upsert_plan_test")))
     assert "Join" not in tree
-    # the only exchange above the union is the key-range layout; the window
+    # the only exchange above the union is the key partitioning; the window
     # and the in-file order share one sort
     above_union = tree.split("Union")[0]
     assert len(re.findall(r"Exchange \(", above_union)) == 1
     assert len(re.findall(r"\bSort \(", above_union)) == 1
     assert "Window" in above_union and "CollectMetrics" in above_union
+    assert "hashpartitioning(route_id" in plan_text(S.upsert_layout(old, new, "upsert_plan_test_2"))
 
 
 def test_upsert_reads_each_load_once(spark):
