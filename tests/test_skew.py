@@ -65,3 +65,31 @@ def test_hot_cell_keeps_whole_results(spark):
     direct = readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("Delay").alias("delay_sum"))
     got = base.select(*keys, "n", "delay_sum")
     assert got.exceptAll(direct).count() == 0 and direct.exceptAll(got).count() == 0
+
+
+def test_hot_date_in_the_base_spreads_over_the_map_only_hourly_table(spark, tmp_path):
+    """The hourly tables inherit the base's date layout: a date holding most
+    groups is split over several base files, hence several hourly files."""
+    from probelens.operators import aggregate as A
+    from probelens.plans.pipeline import clean_readings
+    from probelens.sources.events import read_event_readings
+
+    base = A.hourly_cell_base(clean_readings(read_event_readings(spark, SF01)))
+    skewed = base.withColumn("date", F.when(F.col("hour") < 20, F.lit(HOT)).otherwise(F.col("date")))
+    total = skewed.count()
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    root = str(tmp_path / "skewed_base")
+    try:
+        TB.write_base(skewed, root)
+        TB.write_curated(TB.conform(A.route_delay_by_hour(TB.read_base(spark, root)), C.ROUTE_HOURLY), root, C.ROUTE_HOURLY, laid_out=True)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hot_dir = os.path.join(TB.table_path(root, C.ROUTE_HOURLY), f"aggregation_date={HOT.isoformat()}")
+    assert len([f for f in os.listdir(hot_dir) if f.endswith(".parquet")]) > 1
+    back = TB.read_route_hourly(spark, root)
+    assert back.count() == total
+    assert back.where(F.col("aggregation_date") == F.lit(HOT)).count() > total / 3
