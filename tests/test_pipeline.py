@@ -209,3 +209,23 @@ def test_null_date_group_survives_the_base(spark, tmp_path):
     assert [(r["Journey_Pattern_ID"], r["hour"], r["trip_count"]) for r in rows] == [("B_12", None, 1)]
     total = TB.read_stop_hourly(spark, out).agg(F.sum("total_count")).first()[0]
     assert total == 4
+
+
+def test_build_with_adaptive_execution_off_gives_the_same_tables(spark, built, tmp_path):
+    import os
+
+    out, _ = built
+    other = str(tmp_path / "no_aqe")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        build_from_events(spark, SF01, other)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    for name in (C.ROUTE_HOURLY, C.ROUTE_DAILY, C.STOP_HOURLY):
+        x, y = TB.read_curated(spark, out, name), TB.read_curated(spark, other, name)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+        table = TB.table_path(other, name)
+        dates = [d for d in os.listdir(table) if "=" in d]
+        files = sum(len([f for f in os.listdir(os.path.join(table, d)) if f.endswith(".parquet")]) for d in dates)
+        assert files <= 2 * len(dates), name  # not one file per task and date
