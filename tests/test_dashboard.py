@@ -132,3 +132,19 @@ def test_cell_rollups_equal_direct_reports(spark, curated, tab, spec):
                     assert abs(a[k] - b[k]) <= 1e-9 * max(1.0, abs(b[k])), (name, k)
                 else:
                     assert a[k] == b[k], (name, k)
+
+
+@pytest.mark.parametrize("tab", ["overview", "route", "stop", "ab", "choices"])
+def test_cli_every_tab_prints_its_frames_and_releases_the_cache(spark, curated, capsys, tab):
+    from probelens.plans.dashboard import SHARED_FRAMES
+
+    code = main(["--curated", curated, "--tab", tab, "--date-from", "2024-01-01", "--date-to", "2024-01-31"])
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    expected = set(tab_frames(spark, curated, tab, SPEC))
+    assert code == 0 and {x["frame"] for x in lines} == expected
+    assert all(isinstance(x["rows"], list) for x in lines)
+    for shared in SHARED_FRAMES.get(tab, ()):
+        assert any(x["frame"] == shared and x["rows"] for x in lines)
+    # the kept frame was released: nothing of this request stays cached
+    jvm_cache = spark._jsparkSession.sharedState().cacheManager()
+    assert jvm_cache.isEmpty()
