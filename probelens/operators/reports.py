@@ -68,13 +68,14 @@ def hour_cells(hourly: DataFrame, spec: FilterSpec | None = None, view: str = "o
     table once instead of once per frame. Cells are bounded by the calendar
     (one per hour of the filter range, plus null-key cells), not by routes.
     """
-    df = _filtered(hourly, spec, view)
+    return _filtered(hourly, spec, view).groupBy("aggregation_date", "hour").agg(*_cell_state())
+
+
+def _cell_state() -> list[Column]:
     state = []
     for c in _CELL_MEANS:
         state += [F.sum(c).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n")]
-    return df.groupBy("aggregation_date", "hour").agg(
-        *state, F.max("max_delay").alias("max_delay"), F.sum("trip_count").alias("trip_count")
-    )
+    return [*state, F.max("max_delay").alias("max_delay"), F.sum("trip_count").alias("trip_count")]
 
 
 def cell_mean(column: str) -> Column:
@@ -101,6 +102,33 @@ def route_from_cells(cells: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+# grouping_id() of route_tab_state's sets (bits: aggregation_date, hour, route)
+_CELLS_SET, _ROUTES_SET = 1, 6
+
+
+def route_tab_state(hourly: DataFrame, spec: FilterSpec | None = None) -> DataFrame:
+    """The route view's hourly cells and per-route state in one aggregation.
+
+    ``GROUPING SETS ((aggregation_date, hour), (route))`` over the filtered
+    rows: the first set is :func:`hour_cells`, the second the same state per
+    route (the null route a group of its own), told apart by ``_set``. The
+    route tab's indicators, series and top routes all roll up from it.
+    """
+    df = _filtered(hourly, spec, "route")
+    keys = ["aggregation_date", "hour", ROUTE]
+    sets = [["aggregation_date", "hour"], [ROUTE]]
+    return df.groupingSets(sets, *keys).agg(*_cell_state(), F.grouping_id().alias("_set"))
+
+
+def route_from_state(state: DataFrame, n: int = C.TOP_ROUTES) -> dict[str, DataFrame]:
+    """AGG-7 ... AGG-10 and TOP-1 as roll-ups of :func:`route_tab_state`."""
+    cells = state.where(F.col("_set") == _CELLS_SET).drop(ROUTE, "_set")
+    routes = _by_key(state.where(F.col("_set") == _ROUTES_SET), ROUTE)
+    mean_delay = routes.select(ROUTE, F.try_divide(F.col("avg_delay_sum"), F.col("avg_delay_n")).alias("avg_delay"))
+    top = mean_delay.orderBy(F.desc("avg_delay"), F.asc(ROUTE)).limit(n)
+    return {**route_from_cells(cells), "top_routes": top}
+
+
 # ---------------------------------------------------------------------------
 # Overview tab (route_delay_by_hour)
 # ---------------------------------------------------------------------------

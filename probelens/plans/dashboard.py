@@ -39,13 +39,13 @@ def overview_tab(hourly: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
 
 
 def route_tab(hourly: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
-    """Route delay: indicators, delay by date and by hour (roll-ups of the
-    tab's hourly cells), top routes, detail rows."""
-    cells = R.hour_cells(hourly, spec, "route")
+    """Route delay: indicators, delay by date and by hour, top routes (all
+    roll-ups of one grouping-sets aggregation), detail rows. Two curated
+    reads when the state is kept: the aggregation and the detail's top-k."""
+    state = R.route_tab_state(hourly, spec)
     return {
-        "cells": cells,
-        **R.route_from_cells(cells),
-        "top_routes": R.top_routes_by_delay(hourly, spec),
+        "state": state,
+        **R.route_from_state(state),
         "detail": R.route_detail(hourly, spec),
     }
 
@@ -90,9 +90,9 @@ def filter_choices(hourly: DataFrame) -> dict[str, DataFrame]:
 
 
 # Frames that other frames of the same tab are derived from, with their bound:
-# hourly cells (one row per hour of the range), the top N stops (N <= 50),
-# per-route band state (one row per route).
-SHARED_FRAMES = {"overview": ("cells",), "route": ("cells",), "stop": ("top",), "ab": ("route_state",)}
+# hourly cells (one row per hour of the range; for the route tab plus one
+# row per route), the top N stops (N <= 50), per-route band state.
+SHARED_FRAMES = {"overview": ("cells",), "route": ("state",), "stop": ("top",), "ab": ("route_state",)}
 
 
 @contextmanager

@@ -26,7 +26,7 @@ def curated(spark, tmp_path_factory):
     "tab,frames",
     [
         ("overview", {"cells", "kpis", "by_date", "by_date_table", "by_hour"}),
-        ("route", {"cells", "kpis", "delay_by_date", "delay_by_hour", "top_routes", "detail"}),
+        ("route", {"state", "kpis", "delay_by_date", "delay_by_hour", "top_routes", "detail"}),
         ("stop", {"top", "kpis", "table", "scatter"}),
         ("ab", {"route_state", "kpis", "route_scores", "comparison_table", "long"}),
         ("choices", {"routes", "operators"}),
@@ -66,7 +66,7 @@ def test_default_date_range_is_the_dashboards(spark, curated, capsys):
         ("stop", "top", ("kpis", "table", "scatter")),
         ("ab", "route_state", ("kpis", "route_scores", "comparison_table", "long")),
         ("overview", "cells", ("kpis", "by_date", "by_date_table", "by_hour")),
-        ("route", "cells", ("kpis", "delay_by_date", "delay_by_hour")),
+        ("route", "state", ("kpis", "delay_by_date", "delay_by_hour", "top_routes")),
     ],
 )
 def test_derived_frames_read_the_kept_shared_frame(spark, curated, tab, shared, derived):
@@ -93,7 +93,12 @@ def test_derived_frames_read_the_kept_shared_frame(spark, curated, tab, shared,
 
 DIRECT = {
     "overview": {"kpis": "overview_kpis", "by_date": "overview_by_date", "by_hour": "overview_by_hour"},
-    "route": {"kpis": "route_kpis", "delay_by_date": "route_delay_by_date", "delay_by_hour": "route_delay_by_hour_of_day"},
+    "route": {
+        "kpis": "route_kpis",
+        "delay_by_date": "route_delay_by_date",
+        "delay_by_hour": "route_delay_by_hour_of_day",
+        "top_routes": "top_routes_by_delay",
+    },
     "ab": {"kpis": "band_kpis", "route_scores": "band_route_scores"},
 }
 SPECS = [
