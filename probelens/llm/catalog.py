@@ -7,18 +7,58 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probelens.llm import decontaminate, langid, line_dedup, mixing, simhash
+from probelens.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, mixing, pii, quality, simhash, suffix_dedup
+from probelens.llm.common import NO_ID
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document; pairs are judged by the rest of the corpus."""
+    return lm_scoring.score(_documents(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted fair queueing of all documents over their sources (weights 5, 2, 1)."""
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "weight", "target", "copies", "taken")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers per language and source."""
+    return quality.judge(_documents(spark, sf_dir)).select("doc_id", *quality.STATS, "base_failed", "kept", "distance")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 50 bytes of an earlier one, removed."""
+    docs = _documents(spark, sf_dir)
+    digest = lambda kept: F.sha2(kept, 256)
+    found = suffix_dedup.by_text(docs).select("id", "owner", "n_bytes", F.size("spans").cast("long").alias("n_spans"), (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), digest(F.col("kept")).alias("kept_sha256"))
+    rows = docs.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("id"))
+    joined = rows.join(found, "id", "left")
+    copy = (F.coalesce("doc_id", F.lit(NO_ID)) > F.col("owner")) & (F.col("n_bytes") >= suffix_dedup.LENGTH)
+    zero = F.lit(0).cast("long")
+    return joined.select(
+        "doc_id",
+        F.coalesce("n_bytes", zero).alias("n_bytes"),
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
+        F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
+        F.when(copy | F.col("n_bytes").isNull(), digest(F.lit(b""))).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+    )
+
+
+def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data and of terms that give it away, in every document."""
+    found = pii.sanitise(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.PATTERNS], F.sha2(pii.described(F.col("base_spans")), 256).alias("base_sha256"), pii.described(F.col("all_spans")).alias("spans"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def fold(doc_id) -> F.Column:
     """0 to 4, from the CRC-32 of the id as text; 0 is held out."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
@@ -54,7 +94,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_lm_scoring,
         op2_source_mixing,
+        op3_quality_rules,
+        op4_suffix_dedup,
+        op5_pii_sanitisation,
+        op6_html_extraction,
         op7_language_id,
         op8_line_dedup,
         op9_simhash_near_dedup,

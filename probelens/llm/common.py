@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,15 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 NO_ID = (1 << 63) - 1
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to the workers by value.
+
+    Workers then need numpy, pyarrow and the like, but not this package on
+    their path, wherever the session was started.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

@@ -32,7 +32,9 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from probelens.llm.common import without
+from probelens.llm.common import ship, without
+
+ship(__name__)
 
 UNKNOWN = "und"
 #: Fit bounds: labelled rows (expected) and dictionary bytes per language.

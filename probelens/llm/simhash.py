@@ -36,7 +36,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probelens.llm.common import row_key, staged
+from probelens.llm.common import row_key, ship, staged
+
+ship(__name__)
 
 WIDTH, RADIUS, BLOCKS, MEMBERS = 4, 4, 6, 2048
 _BITS = np.arange(64, dtype=np.uint64)
