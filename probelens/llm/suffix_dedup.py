@@ -98,22 +98,33 @@ def _text_minimizers(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
 
 # ----------------------------------------------------------- suffix sorting
 def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The byte strings around the wanted minimizers of each text."""
+    """The byte strings around the wanted minimizers of each text.
+
+    A string that a text repeats is one row with all its places, so a text of
+    one repeated phrase does not flood the part of its minimizer.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
-            hs, ids, owners, firsts, strings = [], [], [], [], []
+            hs, ids, owners, places, strings = [], [], [], [], []
             for text, wanted, i, owner in zip(part.column("text"), part.column("wanted"), part.column("id").to_pylist(), part.column("owner").to_pylist(), strict=True):
                 data, raw = _bytes_of(text), text.as_buffer().to_pybytes()
                 h, first, last = minimizers(data, length)
                 keep = np.flatnonzero(np.isin(h, wanted.values.to_numpy().view(np.uint64)))
-                hs.append(h[keep])
-                firsts.append(first[keep])
-                ids += [i] * len(keep)
-                owners += [owner] * len(keep)
-                strings += [raw[a : b + length] for a, b in zip(first[keep].tolist(), last[keep].tolist(), strict=True)]
+                found: dict[bytes, list[int]] = {}
+                new = []
+                for k, a, b in zip(keep.tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
+                    at_places = found.setdefault(raw[a : b + length], [])
+                    if not at_places:
+                        new.append(k)
+                    at_places.append(a)
+                hs.append(h[new])
+                places += found.values()
+                strings += found
+                ids += [i] * len(new)
+                owners += [owner] * len(new)
             if strings:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), pa.array(np.concatenate(firsts), pa.int64()), pa.array(strings, pa.binary())], names=["h", "id", "owner", "first", "run"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(strings, pa.binary())], names=["h", "id", "owner", "places", "run"])
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -150,59 +161,56 @@ def reaches(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: in
     return out
 
 
-def _spans_of_runs(run: pa.Array, ids: np.ndarray, owners: np.ndarray, firsts: np.ndarray, length: int) -> pa.RecordBatch:
+def _spans_of_runs(table: pa.Table, length: int) -> pa.RecordBatch:
     """Removed spans (id, a, b) of whole parts."""
+    flat = table.combine_chunks().to_batches()[0]
+    ids, owners = flat.column("id").to_numpy(), flat.column("owner").to_numpy()
+    run, places = flat.column("run"), flat.column("places")
     offsets = np.frombuffer(run.buffers()[1], np.int32)[run.offset : run.offset + len(run) + 1].astype(np.int64)
     data = np.frombuffer(run.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     count = np.diff(offsets) - (length - 1)
     row = np.repeat(np.arange(len(count)), count)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    within = _count_up(count)
     gone = reaches(data, offsets[row] + within, owners[row], length)
     row, within = row[gone], within[gone]
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (within[1:] != within[:-1] + 1)
     begin = np.flatnonzero(new)
     end = np.concatenate([begin[1:] - 1, [len(row) - 1]]) if len(row) else begin
-    at = firsts[row[begin]]
-    return pa.RecordBatch.from_arrays([pa.array(ids[row[begin]]), pa.array(at + within[begin]), pa.array(at + within[end] + length)], names=["id", "a", "b"])
+    # Each span stands at every place of its run.
+    place_of, values = places.offsets.to_numpy().astype(np.int64), places.flatten().to_numpy()
+    place_of = place_of - place_of[0]
+    times = np.diff(place_of)[row[begin]]
+    span = np.repeat(np.arange(len(begin)), times)
+    at = values[place_of[row[begin]][span] + _count_up(times)]
+    return pa.RecordBatch.from_arrays([pa.array(ids[row[begin]][span]), pa.array(at + within[begin][span]), pa.array(at + within[end][span] + length)], names=["id", "a", "b"])
+
+
+def _count_up(count: np.ndarray) -> np.ndarray:
+    """0, 1, ... n - 1 for each n."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Removed spans of runs that come sorted by minimizer: parts are kept whole, a few at a time."""
     held: list[pa.RecordBatch] = []
     size = 0
-
-    def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        column = lambda n: table.column(n).combine_chunks()
-        run = column("run")
-        run = run.chunk(0) if isinstance(run, pa.ChunkedArray) else run
-        return _spans_of_runs(run, *[np.asarray(table.column(n).to_numpy()) for n in ("id", "owner", "first")], length)
-
     for batch in batches:
-        while batch.num_rows:
-            h = batch.column("h").to_numpy()
-            bytes_in = batch.column("run").nbytes
-            if size + bytes_in < 4 * STEP:
-                held.append(batch)
-                size += bytes_in
-                break
-            # Close the parts that are complete: all but the last minimizer seen.
-            last = np.flatnonzero(h != h[-1])
-            if len(last):
-                rows, batch = [*held, batch.slice(0, last[-1] + 1)], batch.slice(last[-1] + 1)
-                yield settle(rows)
-                held, size = [batch], batch.column("run").nbytes
-            elif held and held[-1].column("h")[-1].as_py() != h[0]:
-                yield settle(held)
-                held, size = [batch], bytes_in
-            else:
-                held.append(batch)
-                size += bytes_in
-            break
+        h = batch.column("h").to_numpy()
+        if not len(h):
+            continue
+        if size >= 4 * STEP:
+            # Close the parts that are complete: up to the last change of minimizer.
+            changes = np.flatnonzero(h != h[-1])
+            end = changes[-1] + 1 if len(changes) else 0
+            if end or held[-1].column("h")[-1].as_py() != h[0]:
+                yield _spans_of_runs(pa.Table.from_batches([*held, *([batch.slice(0, end)] if end else [])]), length)
+                held, size, batch = [], 0, batch.slice(end)
+        held.append(batch)
+        size += batch.column("run").nbytes
     if held:
-        yield settle(held)
+        yield _spans_of_runs(pa.Table.from_batches(held), length)
 
 
 # ------------------------------------------------------------------ cutting
@@ -243,7 +251,7 @@ def by_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = staged(seen.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("wanted")))
 
     texts = held.groupBy("id").agg(F.min("doc_id").alias("owner"), F.first("text").alias("text"))
-    runs = texts.join(wanted, "id").select("id", "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, owner long, first long, run binary")
+    runs = texts.join(wanted, "id").select("id", "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, owner long, places array<long>, run binary")
     removed = runs.repartition("h").sortWithinPartitions("h").mapInArrow(partial(_removed, length=length), "id long, a long, b long")
     gathered = removed.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("removed"))
     return texts.join(gathered, "id", "left").select("id", "owner", "text", "removed").mapInArrow(_cut, "id long, owner long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")

@@ -136,6 +136,21 @@ def test_repeats_of_earlier_documents(spark, table):
         same(shown, [(r[0], *w) for r, w in zip(rows, want)])
 
 
+def test_repeated_phrases_and_parts_that_span_batches(spark, monkeypatch):
+    """Texts of one phrase over and over, in batches smaller than a part."""
+    rows = [(i, "again and again; " * (20 + i % 3) + f"end {i % 5}", None, None, None) for i in range(30)]
+    rows += [(100 + i, "x" * (40 + 7 * i), None, None, None) for i in range(6)]
+    monkeypatch.setattr(suffix_dedup, "STEP", 1000)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = suffix_dedup.drop_repeats(edge.documents(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = brute.repeats([r[:2] for r in rows])
+    same([(r.doc_id, len(r.kept), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got], [(r[0], w[0] - w[1], w[3]) for r, w in zip(rows, want)])
+
+
 def test_long_texts_in_steps(spark, monkeypatch):
     rng = np.random.default_rng(5)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
