@@ -63,8 +63,6 @@ SCORE_MAX = 100.0
 # Dashboard defaults and choices.
 DEFAULT_DATE_RANGE = (_dt.date(2017, 11, 30), _dt.date(2018, 1, 27))
 ALL_CHOICE = "전체"  # "all": selecting it means no predicate
-HOUR_BAND_CHOICES = ("00-06", "06-10", "10-16", "16-20", "20-24")
-AB_BAND_CHOICES = ("06-10", "07-09", "10-16", "16-20", "17-19", "20-24", "00-06")
 DEFAULT_BAND_A = "07-09"
 DEFAULT_BAND_B = "17-19"
 DEFAULT_LABEL_A = "출근 시간"  # morning commute

@@ -102,16 +102,6 @@ def measure_columns() -> dict[str, Column]:
     }
 
 
-def with_time_parts(df: DataFrame) -> DataFrame:
-    """PRJ-1 ... PRJ-5 as one projection (text parsed once, see below)."""
-    return _with_timestamp(df).withColumns(time_part_columns())
-
-
-def with_measures(df: DataFrame) -> DataFrame:
-    """PRJ-6 ... PRJ-9 as one projection."""
-    return df.withColumns(measure_columns())
-
-
 def derive_readings(df: DataFrame) -> DataFrame:
     """All per-row derivations of the ETL.
 

@@ -12,6 +12,7 @@ parts prune partitions.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -122,9 +123,11 @@ def hour_in_bands(hour: Column, bands: Sequence[tuple[int, int]]) -> Column:
 
 
 def parse_band(label: str) -> tuple[int, int]:
-    """FLT-6: ``"07-09"`` to ``(7, 9)``; both ends inclusive."""
-    start, end = label.split("-")
-    return int(start), int(end)
+    """FLT-6: ``"07-09"`` to ``(7, 9)``; both ends inclusive. Any other text is refused."""
+    found = re.fullmatch(r"(\d{1,2})-(\d{1,2})", label.strip())
+    if not found or not int(found[1]) <= int(found[2]) <= 24:
+        raise ValueError(f"not an hour band: {label!r} (expected e.g. 06-10)")
+    return int(found[1]), int(found[2])
 
 
 def hour_bands_from_labels(labels: Sequence[str] | None) -> tuple[tuple[int, int], ...] | None:
@@ -134,15 +137,16 @@ def hour_bands_from_labels(labels: Sequence[str] | None) -> tuple[tuple[int, int
     """
     if not labels or C.ALL_CHOICE in labels:
         return None
-    return tuple(parse_band(x) for x in labels if "-" in x) or None
+    return tuple(parse_band(x) for x in labels)
 
 
 def weekday_numbers(names: Sequence[str] | None) -> tuple[int, ...] | None:
     """FLT-8: weekday names to ISO numbers; "all" or nothing means no filter."""
     if not names or C.ALL_CHOICE in names:
         return None
-    nums = tuple(C.WEEKDAY_NUMBERS[n] for n in names if n in C.WEEKDAY_NUMBERS)
-    return nums or None
+    if unknown := [n for n in names if n not in C.WEEKDAY_NUMBERS]:
+        raise ValueError(f"unknown weekday: {', '.join(unknown)} (known: {', '.join(C.WEEKDAY_NUMBERS)})")
+    return tuple(C.WEEKDAY_NUMBERS[n] for n in names)
 
 
 def normalize_date_input(value) -> tuple[dt.date, dt.date]:

@@ -359,10 +359,12 @@ def band_kpis(
     """AGG-13: mean rate, score and speed for band A and band B, and B-A.
 
     Both bands come from one pass with conditional averages, so a reading
-    hour in two overlapping bands (06-10 and 07-09) counts in both.
+    hour in two overlapping bands (06-10 and 07-09) counts in both. Only the
+    bands' hours are read. A band without a row has null measures, score and
+    delta.
     """
     a, b = _band(band_a), _band(band_b)
-    df = _filtered(hourly, spec, "ab")
+    df = _filtered(hourly, spec, "ab").where(_in_band(a) | _in_band(b))
     agg = df.agg(
         _band_mean(a).alias("congestion_rate_a"),
         _band_mean(b).alias("congestion_rate_b"),
@@ -372,15 +374,21 @@ def band_kpis(
     return _band_kpi_frame(agg)
 
 
+def _band_score(rate: str) -> Column:
+    """A band without a row has no score: null, not the 0 of a band without congestion."""
+    return F.when(F.col(rate).isNotNull(), congestion_score(rate))
+
+
 def _band_kpi_frame(agg: DataFrame) -> DataFrame:
+    a, b = _band_score("congestion_rate_a"), _band_score("congestion_rate_b")
     return agg.select(
         "congestion_rate_a",
-        congestion_score("congestion_rate_a").alias("congestion_score_a"),
+        a.alias("congestion_score_a"),
         "avg_speed_a",
         "congestion_rate_b",
-        congestion_score("congestion_rate_b").alias("congestion_score_b"),
+        b.alias("congestion_score_b"),
         "avg_speed_b",
-        (congestion_score("congestion_rate_b") - congestion_score("congestion_rate_a")).alias("score_delta"),
+        (b - a).alias("score_delta"),
     )
 
 
@@ -438,7 +446,7 @@ def band_route_state(
         for column, name in (("congestion_rate", "rate"), ("avg_speed", "speed")):
             v = F.when(_in_band(band), F.col(column))
             state += [F.sum(v).alias(f"{name}_{tag}_sum"), F.count(v).alias(f"{name}_{tag}_n")]
-    return _filtered(hourly, spec, "ab").groupBy(ROUTE).agg(*state)
+    return _filtered(hourly, spec, "ab").where(_in_band(a) | _in_band(b)).groupBy(ROUTE).agg(*state)
 
 
 def band_from_state(state: DataFrame) -> dict[str, DataFrame]:

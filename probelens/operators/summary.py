@@ -9,10 +9,12 @@ to ``new UNION ALL (current LEFT ANTI JOIN new ON key)``:
     new rows (flagged) UNION ALL stored rows
       -> one row per key: row_number() OVER (PARTITION BY key ORDER BY new first) = 1
 
-written to a **new** location (a job must never overwrite the path it is
-reading). The union is shuffled once, hash-partitioned on the key: that
-clusters the key for the dedupe, which adds only a sort within partitions
-(the same sort gives each file its key order). Each input is read
+written to a **new** location (a job must never overwrite what it or anybody
+else is reading), partitioned by the bucket's date. Only the dates of the new
+rows are merged; the others are copied without a shuffle. The union is shuffled
+once, hash-partitioned on the date and route: that clusters the key for the
+dedupe, which adds only a sort within partitions (the same sort gives each file
+its key order). Each input is read
 once (an anti join also needs the new keys as a separate, differently
 pruned branch, and shuffles the stored rows a second time for the layout).
 Both inputs are unique per key, so a window group holds at most two rows:
@@ -24,11 +26,13 @@ and counted as failed in the load report (D8) instead of failing a batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probelens import config as C
 from probelens.functions.derive import time_bucket
+from probelens.sources.paths import inside, refuse_existing
 
 KEY = list(C.SUMMARY_KEY)
 
@@ -94,10 +98,10 @@ def _merge(current: DataFrame | None, new_items: DataFrame) -> DataFrame:
     merged = new_items.withColumn("_new", F.lit(True))
     if current is None:
         return merged
-    return merged.unionByName(current.withColumn("_new", F.lit(False)))
+    return merged.unionByName(current.withColumn("_new", F.lit(False)), allowMissingColumns=True)
 
 
-def _one_per_key(rows: DataFrame, merging: bool) -> DataFrame:
+def _one_per_key(rows: DataFrame, merging: bool, key: list[str] | None = None) -> DataFrame:
     """Keep the new row of a key if there is one, else the stored row.
 
     Called on valid rows only, so a new row without a key never shadows a
@@ -105,7 +109,7 @@ def _one_per_key(rows: DataFrame, merging: bool) -> DataFrame:
     """
     if not merging:
         return rows.drop("_new")
-    w = Window.partitionBy(*KEY).orderBy(F.col("_new").desc())
+    w = Window.partitionBy(*(key or KEY)).orderBy(F.col("_new").desc())
     return rows.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).drop("_pick", "_new")
 
 
@@ -129,49 +133,84 @@ def load_report(items: DataFrame) -> DataFrame:
     )
 
 
+GRAINS = ("daily", "hourly")
+#: Partition column of a written summary: the date of the bucket.
+BUCKET_DATE = "bucket_date"
+
+
+def _bucket_date() -> Column:
+    return F.substring("time_bucket", 1, 10)
+
+
 def write_upsert(
-    current: DataFrame | None,
-    new_items: DataFrame,
+    spark: SparkSession,
+    current: str | None,
+    grains: dict[str, DataFrame],
     path: str,
-    source_paths: tuple[str, ...] = (),
-) -> dict[str, int]:
+    inputs: list[str] | tuple[str, ...] = (),
+) -> dict:
     """SNK-3 + SNK-4: write the upserted table to ``path``; return the load report.
 
-    Rows are hash-partitioned on the key and sorted by it within each file
-    (row-group statistics then let a lookup by key skip most of each file);
-    that exchange is the only shuffle, as it also clusters the key for the
-    dedupe. A key-range layout would add a sampling job that evaluates the
-    whole input once more (on plain Parquet, Spark does not prune files by
-    their key ranges when planning, so it would buy little). The report is
-    an observation placed **above** the exchange: the write job passes every
-    row through it exactly once, and no separate counting job runs.
+    ``current`` is the path of the stored version, ``grains`` the new items by
+    grain, ``inputs`` the paths they are read from. ``path`` must not exist and
+    must lie apart from all of them, whatever way it is spelt: a put keeps the
+    rows it does not replace, so nothing may be overwritten.
+
+    The summary is partitioned by the date of its buckets. Only dates that the
+    new items touch are merged and shuffled; all others are copied without a
+    shuffle. The touched dates come to the driver, one value per calendar day
+    of the load. The report is an observation placed **above** the exchange: the write
+    passes every row through it once, and no separate counting job runs.
     """
-    norm = path.rstrip("/")
-    if any(norm == p.rstrip("/") for p in source_paths):
-        raise ValueError(f"summary target {path} is also an input; write to a new version")
+    for p in (*([current] if current else []), *inputs):
+        if inside(spark, path, p):
+            raise ValueError(f"summary target {path} and its input {p} overlap; write to a new place")
+    refuse_existing(spark, path)
+    new_items = None
+    for name, items in grains.items():
+        tagged = items.withColumn("_grain", F.lit(name))
+        new_items = tagged if new_items is None else new_items.unionByName(tagged)
+    stored = _stored(spark, current) if current else None
+    merging = stored
+    if stored is not None:
+        dates = [r[0] for r in new_items.where(valid_item()).select(_bucket_date().alias("d")).distinct().collect()]
+        touched = F.col(BUCKET_DATE).isin(dates) if dates else F.lit(False)
+        merging = stored.where(touched).drop(BUCKET_DATE)
     obs = Observation("summary_load")
-    upsert_layout(current, new_items, obs).write.mode("overwrite").parquet(path)
+    upsert_layout(merging, new_items, obs, tuple(grains)).write.partitionBy(BUCKET_DATE).parquet(path)
+    if stored is not None:
+        stored.where(~touched).write.mode("append").partitionBy(BUCKET_DATE).parquet(path)
     m = obs.get
-    return {k: int(m.get(k) or 0) for k in ("success", "failed", "total")}
+    read = lambda prefix: {k: int(m.get(f"{prefix}{k}") or 0) for k in ("success", "failed", "total")}
+    return {**read(""), **{g: read(f"{g}_") for g in grains}}
+
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*C.SUMMARY_SCHEMA.fields, T.StructField(BUCKET_DATE, T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
-def read_summary(spark, path: str) -> DataFrame:
-    return spark.read.schema(C.SUMMARY_SCHEMA).parquet(path)
 
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path).drop(BUCKET_DATE)
 
-def upsert_layout(current: DataFrame | None, new_items: DataFrame, obs: Observation | str) -> DataFrame:
-    """The rows :func:`write_upsert` writes, in the order it writes them.
 
-    One exchange hash-partitioned on the key over the union, the load report
-    observed right above it, then the per-key pick and the in-file order,
-    both served by one sort within each partition.
+def upsert_layout(
+    current: DataFrame | None, new_items: DataFrame, obs: Observation | str, grains: tuple[str, ...] = ()
+) -> DataFrame:
+    """The rows :func:`write_upsert` merges, in the order it writes them.
+
+    One exchange over the union, hash-partitioned on the bucket's date and the
+    route (so keys are clustered for the pick, and a date's rows are spread
+    over tasks by route), the load report observed right above it, then the
+    per-key pick and the in-file order, both served by one sort within each
+    partition.
     """
     ok, is_new = valid_item(), F.col("_new")
+    rows = _merge(current, new_items if grains else new_items.withColumn("_grain", F.lit(None).cast("string")))
+    counts = {"": is_new, **{f"{g}_": is_new & (F.col("_grain") == g) for g in grains}}
+    metrics = []
+    for prefix, mine in counts.items():
+        metrics += [F.count_if(mine & ok).alias(f"{prefix}success"), F.count_if(mine & ~ok).alias(f"{prefix}failed"), F.count_if(mine).alias(f"{prefix}total")]
     # no explicit partition count: adaptive execution sizes partitions by bytes
-    laid_out = _merge(current, new_items).repartition(*KEY).observe(
-        obs,
-        F.count_if(is_new & ok).alias("success"),
-        F.count_if(is_new & ~ok).alias("failed"),
-        F.count_if(is_new).alias("total"),
-    )
-    return _one_per_key(laid_out.where(ok), current is not None).sortWithinPartitions(*KEY)
+    laid_out = rows.withColumn(BUCKET_DATE, _bucket_date()).repartition(BUCKET_DATE, "route_id").observe(obs, *metrics).drop("_grain")
+    return _one_per_key(laid_out.where(ok), current is not None, [BUCKET_DATE, *KEY]).sortWithinPartitions(BUCKET_DATE, *KEY)

@@ -15,18 +15,23 @@ oracle compare equal; operators themselves never round.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probelens import config as C
 from probelens.operators import aggregate as A
 from probelens.operators import reports as R
 from probelens.operators import summary as S
 from probelens.operators.filters import FilterSpec
-from probelens.plans.pipeline import clean_readings
-from probelens.sources.events import read_event_readings
+from probelens.plans.pipeline import build_from_events, clean_readings, refresh
+from probelens.sources import tables as TB
+from probelens.sources.csv_ingest import load_probe_csv
+from probelens.sources.events import EVENTS_SCHEMA, events_path, raw_text_timestamp, read_event_readings, readings_from_events
+from probelens.sources.paths import shared_dir
 
 # Fixed parameters of the registered queries.
 OVERVIEW_SPEC = FilterSpec(
@@ -54,7 +59,10 @@ AB_SPEC = FilterSpec(date_range=(dt.date(2024, 1, 1), dt.date(2024, 1, 31)))
 STOP_TOP_N = 10
 UPSERT_OLD_STAMP = "2024-02-01T00:00:00"
 UPSERT_NEW_STAMP = "2024-02-02T00:00:00"
-UPSERT_PARTIAL_FROM = "2024-01-20 12:00:00"
+UPSERT_PARTIAL_FROM = "2024-01-20 00:00:00"  # whole days: a daily row is replaced by a full day's figure
+NO_HOUR_BAND = "24-24"  # a band that no reading hour falls into
+# Shares of the events that text_time_readings spoils, by event_id modulus.
+BAD_TIME, NO_SPEED, NO_OPERATOR = 7, 11, 13
 
 
 def settle(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -88,7 +96,7 @@ def stop_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_derived_readings(spark, sf_dir):
-    """VAL-3, PRJ-1 ... PRJ-9: cleaned readings with every derived column."""
+    """VAL-3, PRJ-2 ... PRJ-9 on typed times: cleaned readings with every derived column."""
     df = readings(spark, sf_dir)
     return df.select(
         F.date_format("timestamp_dt", "yyyy-MM-dd HH:mm:ss").alias("timestamp_dt"),
@@ -228,11 +236,18 @@ def q_band_route_long(spark, sf_dir):
     return settle(R.band_route_long(R.band_route_scores(route_hourly(spark, sf_dir), AB_SPEC)))
 
 
+def _new_place(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/probelens-{name}-{uuid.uuid4().hex}"
+
+
 def _items(spark, sf_dir, stamp, since: str | None = None):
+    """Items of both grains from one read of the events: the base is written once."""
     r = readings(spark, sf_dir)
     if since is not None:
         r = r.where(F.col("timestamp_dt") >= F.to_timestamp_ntz(F.lit(since)))
-    b = A.hourly_cell_base(r)
+    root = _new_place(spark, "base")
+    TB.write_base(A.hourly_cell_base(r), root)
+    b = TB.read_base(spark, root)
     return S.summary_items(A.route_delay_daily(b), A.route_delay_by_hour(b), stamp)
 
 
@@ -242,7 +257,7 @@ def q_summary_items(spark, sf_dir):
 
 
 def q_summary_upsert(spark, sf_dir):
-    """SNK-3: a full load, then a partial refresh from noon of 2024-01-20."""
+    """SNK-3: a full load, then a refresh of 2024-01-20 and later."""
     old = S.upsert(None, _items(spark, sf_dir, UPSERT_OLD_STAMP))
     new = _items(spark, sf_dir, UPSERT_NEW_STAMP, since=UPSERT_PARTIAL_FROM)
     return settle(S.upsert(old, new))
@@ -253,6 +268,161 @@ def q_summary_load_report(spark, sf_dir):
     return S.load_report(_items(spark, sf_dir, UPSERT_OLD_STAMP))
 
 
+def q_text_time_readings(spark, sf_dir):
+    """PRJ-1, VAL-3 on raw text times, with fixed shares of bad times and missing values."""
+    events = spark.read.schema(T.StructType([*EVENTS_SCHEMA.fields, T.StructField("event_id", T.LongType())])).parquet(events_path(sf_dir))
+    spoiled = lambda n: F.col("event_id") % n == 0
+    typed = readings_from_events(events, keep=("event_id",))
+    raw = raw_text_timestamp(typed).drop("timestamp_dt")
+    raw = raw.withColumns(
+        {
+            "Timestamp": F.when(spoiled(BAD_TIME), F.lit("not a time")).otherwise(F.col("Timestamp")),
+            "Speed": F.when(~spoiled(NO_SPEED), F.col("Speed")),
+            "Operatorname": F.when(~spoiled(NO_OPERATOR), F.col("Operatorname")),
+        }
+    )
+    return clean_readings(raw).select(
+        "event_id",
+        F.date_format("timestamp_dt", "yyyy-MM-dd HH:mm:ss").alias("timestamp_dt"),
+        "date",
+        "hour",
+        "weekday",
+        "Delay",
+        "Journey_Pattern_ID",
+    )
+
+
+def q_csv_route_hourly(spark, sf_dir):
+    """SRC-1, VAL-1, VAL-2, VAL-3: the events as raw CSV text, scanned back and aggregated."""
+    raw = raw_text_timestamp(read_event_readings(spark, sf_dir))
+    cols = [(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in C.RAW_SCHEMA.fields]
+    path = _new_place(spark, "csv")
+    raw.select(*cols).write.option("header", True).csv(path)
+    return settle(A.route_delay_by_hour(A.hourly_cell_base(clean_readings(load_probe_csv(spark, path).df))))
+
+
+def _built(spark, sf_dir):
+    root = _new_place(spark, "build")
+    build_from_events(spark, sf_dir, root)
+    return root
+
+
+def q_build_route_hourly(spark, sf_dir):
+    """PIPE-1, SNK-1, SRC-3: the written hourly route table, read back."""
+    return settle(TB.read_route_hourly(spark, _built(spark, sf_dir)))
+
+
+def q_build_route_daily(spark, sf_dir):
+    """PIPE-1, SNK-1: the written daily route table, read back."""
+    return settle(TB.read_route_daily(spark, _built(spark, sf_dir)))
+
+
+def q_build_stop_hourly(spark, sf_dir):
+    """PIPE-1, SNK-1, SRC-4: the written hourly stop table, read back."""
+    return settle(TB.read_stop_hourly(spark, _built(spark, sf_dir)))
+
+
+def _refreshed(spark, sf_dir):
+    root = _new_place(spark, "refresh")
+    return refresh(spark, f"{root}/curated", sf_dir=sf_dir, summary_target=f"{root}/summary", updated_at=UPSERT_OLD_STAMP)
+
+
+def q_refresh_summary(spark, sf_dir):
+    """PIPE-2, SNK-3: a refresh with a summary load, and the summary it wrote."""
+    return settle(S.read_summary(spark, _refreshed(spark, sf_dir)["summary"]["path"]))
+
+
+def q_summary_load_report_by_grain(spark, sf_dir):
+    """SNK-4: the load report of a refresh, per grain (three counts each)."""
+    report = _refreshed(spark, sf_dir)["summary"]
+    rows = [(g, report[g]["success"], report[g]["failed"], report[g]["total"]) for g in S.GRAINS]
+    return spark.createDataFrame(rows, "grain string, success long, failed long, total long")
+
+
+def _placed(df):
+    """The rows with their place in the order they come in (one partition)."""
+    return settle(df).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def q_overview_by_date_in_order(spark, sf_dir):
+    """SRT-1: the series with the place of each row."""
+    return _placed(R.overview_by_date(route_hourly(spark, sf_dir), OVERVIEW_SPEC))
+
+
+def q_overview_by_hour_in_order(spark, sf_dir):
+    """SRT-2: the series with the place of each row."""
+    return _placed(R.overview_by_hour(route_hourly(spark, sf_dir), OVERVIEW_SPEC))
+
+
+def _overview_cells(spark, sf_dir):
+    return R.overview_from_cells(R.hour_cells(route_hourly(spark, sf_dir), OVERVIEW_SPEC, "overview"))
+
+
+def _route_state(spark, sf_dir):
+    return R.route_from_state(R.route_tab_state(route_hourly(spark, sf_dir), ROUTE_SPEC))
+
+
+def _band_state(spark, sf_dir):
+    return R.band_from_state(R.band_route_state(route_hourly(spark, sf_dir), AB_SPEC))
+
+
+def q_overview_kpis_from_cells(spark, sf_dir):
+    """AGG-4 as the dashboard computes it."""
+    return settle(_overview_cells(spark, sf_dir)["kpis"])
+
+
+def q_overview_by_date_from_cells(spark, sf_dir):
+    """AGG-5 as the dashboard computes it."""
+    return settle(_overview_cells(spark, sf_dir)["by_date"])
+
+
+def q_overview_by_hour_from_cells(spark, sf_dir):
+    """AGG-6 as the dashboard computes it."""
+    return settle(_overview_cells(spark, sf_dir)["by_hour"])
+
+
+def q_route_kpis_from_state(spark, sf_dir):
+    """AGG-7 as the dashboard computes it."""
+    return settle(_route_state(spark, sf_dir)["kpis"])
+
+
+def q_route_delay_by_date_from_state(spark, sf_dir):
+    """AGG-8 as the dashboard computes it."""
+    return settle(_route_state(spark, sf_dir)["delay_by_date"])
+
+
+def q_route_delay_by_hour_from_state(spark, sf_dir):
+    """AGG-9 as the dashboard computes it."""
+    return settle(_route_state(spark, sf_dir)["delay_by_hour"])
+
+
+def q_route_top10_from_state(spark, sf_dir):
+    """AGG-10, TOP-1 as the dashboard computes it."""
+    return settle(_route_state(spark, sf_dir)["top_routes"])
+
+
+def q_band_kpis_from_state(spark, sf_dir):
+    """AGG-13 as the dashboard computes it."""
+    return settle(_band_state(spark, sf_dir)["kpis"])
+
+
+def q_band_route_scores_from_state(spark, sf_dir):
+    """AGG-14, JOIN-1 as the dashboard computes it."""
+    return settle(_band_state(spark, sf_dir)["route_scores"])
+
+
+def q_band_kpis_empty(spark, sf_dir):
+    """AGG-13 with a band that holds no row: null measures, score and delta."""
+    return settle(R.band_kpis(route_hourly(spark, sf_dir), AB_SPEC, band_b=NO_HOUR_BAND))
+
+
+def q_overview_kpis_from_selection(spark, sf_dir):
+    """FLT-7, FLT-8, FLT-9: the filters as the dashboard's widgets give them."""
+    names = [n for n, number in C.WEEKDAY_NUMBERS.items() if number <= 5]
+    spec = FilterSpec.from_selection(("2024-01-03", "2024-01-27"), names, None, ["06-10", "16-20"], C.ALL_CHOICE)
+    return settle(R.overview_kpis(route_hourly(spark, sf_dir), spec))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "derived_readings": q_derived_readings,
     "route_delay_daily": q_route_delay_daily,
@@ -281,4 +451,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_items": q_summary_items,
     "summary_upsert": q_summary_upsert,
     "summary_load_report": q_summary_load_report,
+    "text_time_readings": q_text_time_readings,
+    "csv_route_hourly": q_csv_route_hourly,
+    "build_route_hourly": q_build_route_hourly,
+    "build_route_daily": q_build_route_daily,
+    "build_stop_hourly": q_build_stop_hourly,
+    "refresh_summary": q_refresh_summary,
+    "summary_load_report_by_grain": q_summary_load_report_by_grain,
+    "overview_by_date_in_order": q_overview_by_date_in_order,
+    "overview_by_hour_in_order": q_overview_by_hour_in_order,
+    "overview_kpis_from_cells": q_overview_kpis_from_cells,
+    "overview_by_date_from_cells": q_overview_by_date_from_cells,
+    "overview_by_hour_from_cells": q_overview_by_hour_from_cells,
+    "route_kpis_from_state": q_route_kpis_from_state,
+    "route_delay_by_date_from_state": q_route_delay_by_date_from_state,
+    "route_delay_by_hour_from_state": q_route_delay_by_hour_from_state,
+    "route_top10_from_state": q_route_top10_from_state,
+    "band_kpis_from_state": q_band_kpis_from_state,
+    "band_route_scores_from_state": q_band_route_scores_from_state,
+    "band_kpis_empty": q_band_kpis_empty,
+    "overview_kpis_from_selection": q_overview_kpis_from_selection,
 }

@@ -1,5 +1,6 @@
 """The dashboard's four tabs as bundles of lazy report frames, and a
-headless command line that prints them.
+headless command line that delivers them whole: bounded frames are printed,
+frames with a row per route are written.
 
 Each function takes the curated frame(s) a tab reads and the common filter
 state, and returns the named frames the tab shows (indicators, series,
@@ -93,6 +94,11 @@ def filter_choices(hourly: DataFrame) -> dict[str, DataFrame]:
 # hourly cells (one row per hour of the range; for the route tab plus one
 # row per route), the top N stops (N <= 50), per-route band state.
 SHARED_FRAMES = {"overview": ("cells",), "route": ("state",), "stop": ("top",), "ab": ("route_state",)}
+# Frames that only serve others: not part of what a request shows.
+INTERNAL_FRAMES = ("cells", "state", "route_state")
+# Frames with a row (or two) per route: written, as their size has no fixed bound.
+# All others are bounded by the calendar, the top N or the number of operators.
+PER_ROUTE_FRAMES = ("route_scores", "comparison_table", "long", "routes")
 
 
 @contextmanager
@@ -130,11 +136,16 @@ def tab_frames(spark: SparkSession, curated_root: str, tab: str, spec: FilterSpe
     raise ValueError(f"unknown tab {tab!r}")
 
 
+def _says_nothing(rows: list[dict]) -> bool:
+    """No row, or one row of indicators that are all missing: the filters matched nothing."""
+    return not rows or len(rows) == 1 and all(v is None or k.endswith("_score") for k, v in rows[0].items())
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Print one dashboard tab's tables from curated tables.")
     p.add_argument("--curated", required=True, help="curated output root")
     p.add_argument("--tab", required=True, choices=["overview", "route", "stop", "ab", "choices"])
-    p.add_argument("--date-from", type=dt.date.fromisoformat, help="without dates the dashboard default range applies")
+    p.add_argument("--date-from", type=dt.date.fromisoformat, help="with --date-to; without both the dashboard default range applies")
     p.add_argument("--date-to", type=dt.date.fromisoformat)
     p.add_argument("--weekday", action="append", default=None, help="weekday name as offered by the dashboard")
     p.add_argument("--route", action="append", default=None)
@@ -143,21 +154,23 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--top-n", type=int, default=C.TOP_N_DEFAULT)
     p.add_argument("--band-a", default=C.DEFAULT_BAND_A)
     p.add_argument("--band-b", default=C.DEFAULT_BAND_B)
-    p.add_argument("--max-rows", type=int, default=50, help="rows printed per frame")
+    p.add_argument("--out", help="new folder for the frames with a row per route (tabs ab and choices)")
     args = p.parse_args(argv)
 
-    date_input = None
-    if args.date_from and args.date_to:
-        date_input = (args.date_from, args.date_to)
-    elif args.date_from or args.date_to:
-        date_input = args.date_from or args.date_to
-    spec = FilterSpec.from_selection(
-        date_input=date_input,
-        weekday_names=args.weekday,
-        routes=args.route,
-        hour_band_labels=args.hour_band,
-        operator_choice=args.operator,
-    )
+    if bool(args.date_from) != bool(args.date_to):
+        p.error("give both --date-from and --date-to, or neither")
+    if args.tab in ("ab", "choices") and not args.out:
+        p.error(f"tab {args.tab} has frames with a row per route: give --out")
+    try:
+        spec = FilterSpec.from_selection(
+            date_input=(args.date_from, args.date_to) if args.date_from else None,
+            weekday_names=args.weekday,
+            routes=args.route,
+            hour_band_labels=args.hour_band,
+            operator_choice=args.operator,
+        )
+    except ValueError as exc:
+        p.error(str(exc))
     # Interactive use: report plans are rebuilt on every request, and call-site
     # capture for error messages costs two JVM calls per Column built.
     spark = (
@@ -168,8 +181,15 @@ def main(argv: list[str] | None = None) -> int:
     frames = tab_frames(spark, args.curated, args.tab, spec, top_n=args.top_n, band_a=args.band_a, band_b=args.band_b)
     with shared_frames_kept(frames, args.tab):
         for name, df in frames.items():
-            rows = [r.asDict() for r in df.limit(args.max_rows).collect()]
-            print(json.dumps({"frame": name, "rows": rows}, default=str, ensure_ascii=False))
+            if name in INTERNAL_FRAMES:
+                continue
+            if name in PER_ROUTE_FRAMES:
+                path = f"{args.out.rstrip('/')}/{name}"
+                df.write.parquet(path)
+                print(json.dumps({"frame": name, "path": path}, ensure_ascii=False))
+                continue
+            rows = [r.asDict() for r in df.collect()]
+            print(json.dumps({"frame": name, "rows": rows, "empty": _says_nothing(rows)}, default=str, ensure_ascii=False))
     return 0
 
 

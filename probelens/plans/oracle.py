@@ -144,6 +144,11 @@ band_scores AS (
 )"""
 
 
+def _band_score(expr: str) -> str:
+    """A band without a row has no score."""
+    return f"(CASE WHEN {expr} IS NOT NULL THEN {score(expr)} END)"
+
+
 def _band_kpis(a: tuple[int, int], b: tuple[int, int]) -> str:
     return _q(
         f"""
@@ -156,9 +161,9 @@ def _band_kpis(a: tuple[int, int], b: tuple[int, int]) -> str:
     FROM route_hourly
     WHERE {_AB_WHERE}
 )
-SELECT {r('ra')} AS congestion_rate_a, {r(score('ra'))} AS congestion_score_a, {r('sa')} AS avg_speed_a,
-    {r('rb')} AS congestion_rate_b, {r(score('rb'))} AS congestion_score_b, {r('sb')} AS avg_speed_b,
-    {r(f"{score('rb')} - {score('ra')}")} AS score_delta
+SELECT {r('ra')} AS congestion_rate_a, {r(_band_score('ra'))} AS congestion_score_a, {r('sa')} AS avg_speed_a,
+    {r('rb')} AS congestion_rate_b, {r(_band_score('rb'))} AS congestion_score_b, {r('sb')} AS avg_speed_b,
+    {r(f"{_band_score('rb')} - {_band_score('ra')}")} AS score_delta
 FROM k"""
     )
 
@@ -380,7 +385,7 @@ FROM {_items('2024-02-01T00:00:00')} AS items"""
     "summary_upsert": _q(
         f"""
 , old AS (SELECT * FROM {_items('2024-02-01T00:00:00')} AS o WHERE {_VALID}),
-new AS (SELECT * FROM {_items('2024-02-02T00:00:00', '2024-01-20 12:00:00')} AS n WHERE {_VALID}),
+new AS (SELECT * FROM {_items('2024-02-02T00:00:00', '2024-01-20 00:00:00')} AS n WHERE {_VALID}),
 merged AS (
     SELECT * FROM new
     UNION ALL
@@ -397,4 +402,91 @@ SELECT CAST(count(*) FILTER (WHERE {_VALID}) AS BIGINT) AS success,
     CAST(count(*) AS BIGINT) AS total
 FROM {_items('2024-02-01T00:00:00')} AS items"""
     ),
+    "text_time_readings": """
+WITH raw AS (
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN date_trunc('second', ts) END AS t,
+        CASE WHEN event_id % 11 <> 0 THEN CAST(floor(value / 2) AS INTEGER) END AS speed,
+        CASE WHEN event_id % 13 <> 0 THEN CASE WHEN event_type IN ('click', 'view') THEN 'A' ELSE 'B' END END AS operator,
+        CASE WHEN user_id % 25 <> 24 THEN user_id % 25 END AS cell
+    FROM events
+    WHERE ts IS NOT NULL OR event_id % 7 = 0
+)
+SELECT event_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS timestamp_dt, CAST(t AS DATE) AS "date",
+    CAST(hour(t) AS INTEGER) AS "hour", CAST(dayofweek(t) + 1 AS INTEGER) AS "weekday",
+    CASE WHEN speed < 30 THEN (30 - speed) * 2 ELSE 0 END AS "Delay",
+    operator || '_' || CAST(cell AS VARCHAR) AS "Journey_Pattern_ID"
+FROM raw WHERE speed IS NOT NULL AND operator IS NOT NULL""",
+    "overview_by_date_in_order": _q(
+        f"""
+SELECT aggregation_date, {r('avg(congestion_rate)')} AS congestion_rate,
+    CAST(sum(trip_count) AS BIGINT) AS trip_count, {r(score('avg(congestion_rate)'))} AS congestion_score,
+    row_number() OVER (ORDER BY aggregation_date) AS place
+FROM route_hourly
+WHERE {_OVERVIEW_WHERE} AND aggregation_date IS NOT NULL
+GROUP BY aggregation_date"""
+    ),
+    "overview_by_hour_in_order": _q(
+        f"""
+SELECT "hour", {r('avg(congestion_rate)')} AS congestion_rate,
+    CAST(sum(trip_count) AS BIGINT) AS trip_count, {r(score('avg(congestion_rate)'))} AS congestion_score,
+    row_number() OVER (ORDER BY "hour") AS place
+FROM route_hourly
+WHERE {_OVERVIEW_WHERE} AND "hour" IS NOT NULL
+GROUP BY "hour\""""
+    ),
+    "route_kpis_from_state": _q(
+        f"""
+SELECT {r('avg(avg_delay)')} AS avg_delay, max(max_delay) AS max_delay,
+    CAST(sum(trip_count) AS BIGINT) AS total_trips, {r('avg(congestion_rate)')} AS congestion_rate
+FROM route_hourly
+WHERE {_ROUTE_WHERE}"""
+    ),
+    "route_top10_from_state": _q(
+        f"""
+SELECT "Journey_Pattern_ID", {r('avg(avg_delay)')} AS avg_delay
+FROM route_hourly
+WHERE {_ROUTE_WHERE} AND "Journey_Pattern_ID" IS NOT NULL
+GROUP BY "Journey_Pattern_ID"
+ORDER BY avg(avg_delay) DESC, "Journey_Pattern_ID" ASC
+LIMIT 10"""
+    ),
+    "band_kpis_empty": _band_kpis((7, 9), (24, 24)),
+    "refresh_summary": _q(
+        f"""
+SELECT {_ITEM_COLS}
+FROM {_items('2024-02-01T00:00:00')} AS items WHERE {_VALID}"""
+    ),
+    "summary_load_report_by_grain": _q(
+        f"""
+, items AS (
+    SELECT 'daily' AS grain, "Journey_Pattern_ID" AS route, "Operatorname" AS operator, "date", 0 AS "hour"
+    FROM derived GROUP BY ALL
+    UNION ALL
+    SELECT 'hourly', "Journey_Pattern_ID", "Operatorname", "date", "hour" FROM derived GROUP BY ALL
+)
+SELECT grain, count(*) FILTER (WHERE route IS NOT NULL AND "date" IS NOT NULL AND "hour" IS NOT NULL) AS success,
+    count(*) FILTER (WHERE NOT (route IS NOT NULL AND "date" IS NOT NULL AND "hour" IS NOT NULL)) AS failed,
+    count(*) AS total
+FROM items GROUP BY grain"""
+    ),
+}
+
+# Queries that reach the same rows by another way: written tables read back,
+# CSV text, roll-ups of shared state, widget values.
+ORACLE_SQL |= {
+    name: ORACLE_SQL[same]
+    for name, same in {
+        "csv_route_hourly": "route_delay_by_hour",
+        "build_route_hourly": "route_delay_by_hour",
+        "build_route_daily": "route_delay_daily",
+        "build_stop_hourly": "stop_congestion_hourly",
+        "overview_kpis_from_cells": "overview_kpis",
+        "overview_by_date_from_cells": "overview_by_date",
+        "overview_by_hour_from_cells": "overview_by_hour",
+        "route_delay_by_date_from_state": "route_delay_by_date",
+        "route_delay_by_hour_from_state": "route_delay_by_hour_of_day",
+        "band_kpis_from_state": "band_kpis",
+        "band_route_scores_from_state": "band_route_scores",
+        "overview_kpis_from_selection": "overview_kpis",
+    }.items()
 }

@@ -20,6 +20,8 @@ import logging
 import sys
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,61 +42,65 @@ def clean_readings(raw: DataFrame) -> DataFrame:
 
 
 def _observed(obs: Observation) -> dict | None:
-    """An observation's metrics, or None if no executed stage reported them
+    """An observation's metrics, or None where no executed stage reported any
     (adaptive execution drops a stage whose input turned out empty)."""
     try:
         return dict(obs.get)
-    except Exception:  # noqa: BLE001 - py4j surfaces this as a generic error
+    except Py4JError:
         return None
 
 
 def build_curated(spark: SparkSession, raw: I.RawInput | DataFrame, out_root: str) -> dict:
     """PIPE-1: raw readings -> three curated tables under ``out_root``.
 
+    ``out_root`` has to be new: nothing that exists is overwritten, so a build
+    that fails leaves the caller's present version as it was, and the caller
+    switches to the new root once the report is there.
+
     Jobs: one over the raw input (scan, derive, aggregate, write the base,
-    with the input quality and base size observed on the way), then the
-    three table writes over the small base, submitted together so that
-    their few tasks share the executors. Returns a report with the table
-    paths, raw and cleaned row counts and per-column null counts.
+    with the input quality observed on the way), a count over the written
+    base, then the three table writes over the small base, submitted together
+    so that their few tasks share the executors.
+
+    The report's ``cleaned_rows`` and ``hourly_groups`` are counted in the
+    written base and exact. ``raw_rows`` and ``null_counts`` are observed while
+    the raw rows pass by: a stage that is run again after an executor loss may
+    count its rows twice, and they are None where nothing was observed.
     """
+    TB.refuse_existing(spark, *[TB.table_path(out_root, n) for n in (C.HOURLY_BASE, C.ROUTE_DAILY, C.ROUTE_HOURLY, C.STOP_HOURLY)])
     observed = raw if isinstance(raw, I.RawInput) else I.observe_quality(raw)
-    readings = clean_readings(observed.df)
-
-    base_obs = Observation("hourly_base")
-    base_df = A.hourly_cell_base(readings).observe(
-        base_obs, F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")
-    )
-    base_path = TB.write_base(base_df, out_root)
+    with I.header_errors():
+        base_path = TB.write_base(A.hourly_cell_base(clean_readings(observed.df)), out_root)
     base = TB.read_base(spark, out_root)
-
-    sizes = _observed(base_obs)
-    if sizes is None:
-        sizes = base.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).first().asDict()
+    sizes = base.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).first()
     cleaned_rows = int(sizes["n"] or 0)
     if cleaned_rows == 0:
         raise I.DataValidationError("no readings left after dropping rows with missing required values")
-    quality = _observed(observed.quality) or {}
+    quality = _observed(observed.quality)
 
-    # (builder, one row per base row): projections of the date-rebalanced
-    # base are written map-only; the daily roll-up aggregates, so it shuffles
+    # (builder, one row per base row): projections of a date-rebalanced base
+    # are written map-only; the daily roll-up aggregates, so it shuffles
+    laid_out = TB.adaptive(base)
     builders = {
-        C.ROUTE_HOURLY: (A.route_delay_by_hour, True),
+        C.ROUTE_HOURLY: (A.route_delay_by_hour, laid_out),
         C.ROUTE_DAILY: (A.route_delay_daily, False),
-        C.STOP_HOURLY: (A.stop_congestion_hourly, True),
+        C.STOP_HOURLY: (A.stop_congestion_hourly, laid_out),
     }
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        # The writes belong to the caller's job group and scheduler pool.
+        write = inheritable_thread_target(spark)(TB.write_curated)
         futures = {
-            name: pool.submit(TB.write_curated, TB.conform(build(base), name), out_root, name, laid_out)
-            for name, (build, laid_out) in builders.items()
+            name: pool.submit(write, TB.conform(build(base), name), out_root, name, ready)
+            for name, (build, ready) in builders.items()
         }
         paths = {name: f.result() for name, f in futures.items()}
     return {
         "paths": paths,
         "base_path": base_path,
-        "raw_rows": int(quality.get("rows", cleaned_rows)),
+        "raw_rows": int(quality["rows"]) if quality else None,
         "cleaned_rows": cleaned_rows,
         "hourly_groups": int(sizes["groups"]),
-        "null_counts": {k[5:]: int(v) for k, v in quality.items() if k.startswith("null_")},
+        "null_counts": {k[5:]: int(v) for k, v in quality.items() if k.startswith("null_")} if quality else None,
     }
 
 
@@ -125,14 +131,17 @@ def load_summary(
     """SNK-3 + SNK-4: upsert daily and hourly items into a new summary version.
 
     ``current`` is the version to merge into (None for a first load);
-    ``target`` must be a different path. Returns the load report.
+    ``target`` has to be new and apart from every input. Returns the load
+    report, in total and per grain.
     """
     stamp = updated_at or utc_stamp()
-    items = S.summary_items(TB.read_route_daily(spark, curated_root), TB.read_route_hourly(spark, curated_root), stamp)
-    existing = S.read_summary(spark, current) if current else None
-
-    counts = S.write_upsert(existing, items, target, source_paths=(current,) if current else ())
-    return {**counts, "path": target, "updated_at": stamp}
+    grains = {
+        "daily": S.daily_items(TB.read_route_daily(spark, curated_root), stamp),
+        "hourly": S.hourly_items(TB.read_route_hourly(spark, curated_root), stamp),
+    }
+    inputs = [TB.table_path(curated_root, n) for n in (C.ROUTE_DAILY, C.ROUTE_HOURLY)]
+    report = S.write_upsert(spark, current, grains, target, inputs)
+    return {**report, "path": target, "updated_at": stamp}
 
 
 def refresh(
@@ -159,7 +168,7 @@ def main(argv: list[str] | None = None) -> int:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--raw", help="raw CSV path or glob (local path or object-store URI)")
     src.add_argument("--events-dir", help="directory holding events.parquet")
-    p.add_argument("--out", required=True, help="output root for curated tables")
+    p.add_argument("--out", required=True, help="new output root for curated tables")
     p.add_argument("--summary-target", help="path of the new summary version")
     p.add_argument("--summary-current", help="path of the summary version to merge into")
     args = p.parse_args(argv)

@@ -11,6 +11,8 @@ scan that feeds the aggregates, whatever columns the query keeps (D1).
 
 from __future__ import annotations
 
+import re
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,11 +51,20 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def check_columns(df: DataFrame, required=C.REQUIRED_COLUMNS) -> None:
-    """VAL-1 on the DataFrame level: every required column must exist."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise DataValidationError(f"missing required columns: {missing}")
+@contextmanager
+def header_errors():
+    """VAL-1: a header that does not fit the declared layout, as the error of this module.
+
+    Spark compares each file's header when it reads the file, so the job that
+    reads it fails; what that job has written so far is in a new place.
+    """
+    try:
+        yield
+    except Exception as exc:
+        if "CSV header does not conform" in str(exc):
+            found = re.search(r"Header: [^\n]*", str(exc))
+            raise DataValidationError(f"CSV header does not fit the declared columns. {found[0] if found else ''}".strip()) from exc
+        raise
 
 
 def check_not_empty(df: DataFrame, what: str = "input") -> None:
@@ -98,6 +109,6 @@ def load_probe_csv(spark: SparkSession, path: str | list[str], check_all_columns
     header names of those columns only.
     """
     raw = read_raw_csv(spark, path)
-    check_columns(raw)
-    check_not_empty(raw, f"raw CSV at {path}")
+    with header_errors():
+        check_not_empty(raw, f"raw CSV at {path}")
     return observe_quality(raw, columns=None if check_all_columns else list(C.REQUIRED_COLUMNS))

@@ -40,11 +40,12 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
+def readings_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Map ``events`` rows onto the raw probe columns the adapter can fill.
 
     Raw columns the events cannot supply (radio measurements) are left out
-    rather than filled with nulls; no operator reads them.
+    rather than filled with nulls; no operator reads them. ``keep`` names
+    columns of ``events`` to carry along.
     """
     cell = F.col("user_id") % CELL_MODULUS
     mapped = {
@@ -59,7 +60,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
     cols = [mapped[name].cast(types[name]).alias(name) for name in types if name in mapped]
     cols.append(F.col("ts").cast("timestamp_ntz").alias("timestamp_dt"))
-    return events.select(*cols)
+    return events.select(*keep, *cols)
 
 
 def raw_text_timestamp(df: DataFrame) -> DataFrame:

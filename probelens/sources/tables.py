@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from probelens import config as C
+from probelens.sources.paths import refuse_existing as refuse_existing
 
 PARTITION_COLUMN = "aggregation_date"
 
@@ -61,7 +61,7 @@ def table_path(root: str, name: str) -> str:
 
 
 def _by_date(df: DataFrame, date_column: str, laid_out: bool, keys: list[str]) -> DataFrame:
-    """Rows grouped by date before a write (curated tables and the base).
+    """Rows grouped by date before a write.
 
     The ``rebalance`` hint hashes rows on the date so that each date lands
     in one writer task (one file per date, not one per task and date);
@@ -85,17 +85,17 @@ def _by_date(df: DataFrame, date_column: str, laid_out: bool, keys: list[str]) -
     """
     if laid_out:
         return df
-    if _adaptive(df):
+    if adaptive(df):
         return df.hint("rebalance", date_column)
     return df.repartitionByRange(date_column, *[k for k in keys if k != date_column])
 
 
-def _adaptive(df: DataFrame) -> bool:
+def adaptive(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
 def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -> str:
-    """SNK-1/SNK-2: overwrite one curated table under ``root``.
+    """SNK-1/SNK-2: write one curated table under ``root``, where it must not exist yet.
 
     Partitioned by ``aggregation_date`` (see :func:`_by_date` for the task
     layout); rows are sorted within each file for tight row-group
@@ -106,8 +106,7 @@ def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -
     (
         _by_date(df, PARTITION_COLUMN, laid_out, keys)
         .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .partitionBy(PARTITION_COLUMN)
+        .write.partitionBy(PARTITION_COLUMN)
         .parquet(path)
     )
     return path
@@ -122,15 +121,16 @@ def write_base(df: DataFrame, root: str) -> str:
     directory-partitioned: nothing filters it by date, and adaptive
     execution can then merge small dates into one file instead of writing
     a file per date.
+
+    Without adaptive execution the base is written as it was aggregated:
+    range partitioning samples its input first, which here would read the
+    raw rows twice (and count them twice in the quality observation). The
+    tables are then laid out from the written base.
     """
     path = table_path(root, C.HOURLY_BASE)
     keys = ["date", "hour", "CellID", "Operatorname"]
-    (
-        _by_date(df, "date", False, keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    laid = df.hint("rebalance", "date") if adaptive(df) else df
+    laid.sortWithinPartitions(*keys).write.parquet(path)
     return path
 
 
@@ -168,6 +168,3 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     types = {f.name: f.dataType for f in _SCHEMAS[name].fields}
     return df.select(*[F.col(c).cast(types[c]).alias(c) for c in _ORDER[name]])
 
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

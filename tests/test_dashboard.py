@@ -53,10 +53,31 @@ def test_cli_prints_every_frame(spark, curated, capsys):
     assert len(lines[2]["rows"]) == 5
 
 
+@pytest.mark.parametrize(
+    "bad",
+    [
+        ["--weekday", "Monday"],
+        ["--hour-band", "0610"],
+        ["--hour-band", "10-06"],
+        ["--date-from", "2024-01-01"],
+        ["--date-to", "2024-01-01"],
+    ],
+)
+def test_cli_refuses_what_it_cannot_apply(spark, curated, bad):
+    with pytest.raises(SystemExit):
+        main(["--curated", curated, "--tab", "stop", *bad])
+
+
+def test_cli_needs_a_place_for_per_route_frames(spark, curated):
+    with pytest.raises(SystemExit):
+        main(["--curated", curated, "--tab", "ab"])
+
+
 def test_default_date_range_is_the_dashboards(spark, curated, capsys):
     main(["--curated", curated, "--tab", "overview"])
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     by_date = [x for x in lines if x["frame"] == "by_date"][0]
+    assert by_date["empty"] and [x for x in lines if x["frame"] == "kpis"][0]["empty"]
     assert by_date["rows"] == []  # 2017-11-30 ... 2018-01-27 holds none of the 2024 readings
 
 
@@ -140,16 +161,17 @@ def test_cell_rollups_equal_direct_reports(spark, curated, tab, spec):
 
 
 @pytest.mark.parametrize("tab", ["overview", "route", "stop", "ab", "choices"])
-def test_cli_every_tab_prints_its_frames_and_releases_the_cache(spark, curated, capsys, tab):
-    from probelens.plans.dashboard import SHARED_FRAMES
+def test_cli_every_tab_delivers_its_frames_whole_and_releases_the_cache(spark, curated, capsys, tab, tmp_path):
+    from probelens.plans.dashboard import INTERNAL_FRAMES
 
-    code = main(["--curated", curated, "--tab", tab, "--date-from", "2024-01-01", "--date-to", "2024-01-31"])
+    out = str(tmp_path / "frames")
+    code = main(["--curated", curated, "--tab", tab, "--date-from", "2024-01-01", "--date-to", "2024-01-31", "--out", out])
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
-    expected = set(tab_frames(spark, curated, tab, SPEC))
-    assert code == 0 and {x["frame"] for x in lines} == expected
-    assert all(isinstance(x["rows"], list) for x in lines)
-    for shared in SHARED_FRAMES.get(tab, ()):
-        assert any(x["frame"] == shared and x["rows"] for x in lines)
+    whole = tab_frames(spark, curated, tab, FilterSpec(date_range=SPEC.date_range))
+    assert code == 0 and [x["frame"] for x in lines] == [n for n in whole if n not in INTERNAL_FRAMES]
+    for x in lines:
+        delivered = spark.read.parquet(x["path"]).count() if "path" in x else len(x["rows"])
+        assert delivered == whole[x["frame"]].count() > 0
     # the kept frame was released: nothing of this request stays cached
     jvm_cache = spark._jsparkSession.sharedState().cacheManager()
     assert jvm_cache.isEmpty()

@@ -108,12 +108,15 @@ def test_missing_path_fails(spark, tmp_path):
         I.load_probe_csv(spark, str(tmp_path / "nope"))
 
 
-def test_required_columns_pushed_down(spark, tmp_path):
-    d = str(tmp_path / "raw")
-    write_csv(d, "part1.csv", CASES)
-    plan = plan_text(I.drop_incomplete(I.read_raw_csv(spark, d)))
-    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
-    assert pushed and "IsNotNull(Speed)" in pushed[0] and "IsNotNull(Operatorname)" in pushed[0]
+def test_bad_header_is_a_validation_error_of_the_build(spark, tmp_path):
+    d, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    names = HEADER.split(",")
+    i, j = names.index("RSRP"), names.index("RSRQ")
+    names[i], names[j] = names[j], names[i]
+    write_csv(d, "good.csv", CASES)
+    write_csv(d, "wrong.csv", CASES[:1], header=",".join(names))
+    with pytest.raises(I.DataValidationError, match="header"):
+        build_from_csv(spark, d, out)
 
 
 def test_all_rows_dropped_raises(spark, tmp_path):

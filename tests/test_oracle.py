@@ -7,9 +7,11 @@ from conftest import SF01
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry
+from probelens.plans import catalog
+from probelens.plans.oracle import ORACLE_SQL
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

@@ -103,12 +103,110 @@ def test_summary_load_and_upsert_idempotent(spark, built, tmp_path):
     assert keys == 0
 
 
-def test_summary_refuses_to_overwrite_its_input(spark, built, tmp_path):
+def test_summary_never_overwrites(spark, built, tmp_path):
     out, _ = built
     v1 = str(tmp_path / "s" / "v1")
     load_summary(spark, out, v1, updated_at="t0")
-    with pytest.raises(ValueError):
-        load_summary(spark, out, v1, current=v1, updated_at="t1")
+    before = S.read_summary(spark, v1).count()
+    daily = TB.read_route_daily(spark, out).count()
+    for target, current in (
+        (v1, None),  # exists
+        (v1, v1),
+        (f"{tmp_path}/s/./v1/", v1),
+        (f"file://{tmp_path}/s/x/../v1", v1),
+        (f"{v1}/inner", v1),
+        (f"{out}/{C.ROUTE_DAILY}", None),  # an input of every load
+        (f"file:{out}//{C.ROUTE_HOURLY}/new", None),
+    ):
+        with pytest.raises((ValueError, FileExistsError)):
+            load_summary(spark, out, target, current=current, updated_at="t1")
+    assert S.read_summary(spark, v1).count() == before
+    assert TB.read_route_daily(spark, out).count() == daily
+
+
+def test_load_report_per_grain(spark, built, tmp_path):
+    out, _ = built
+    report = load_summary(spark, out, str(tmp_path / "v"), updated_at="t0")
+    for grain, table in (("daily", TB.read_route_daily(spark, out)), ("hourly", TB.read_route_hourly(spark, out))):
+        assert report[grain]["total"] == table.count()
+        assert report[grain]["failed"] == table.where("Journey_Pattern_ID IS NULL OR Operatorname IS NULL OR aggregation_date IS NULL").count()
+    assert all(report[k] == report["daily"][k] + report["hourly"][k] for k in ("success", "failed", "total"))
+
+
+def test_only_touched_dates_are_merged(spark, built, tmp_path):
+    out, _ = built
+    v1, v2 = str(tmp_path / "v1"), str(tmp_path / "v2")
+    load_summary(spark, out, v1, updated_at="t0")
+    day = S.daily_items(TB.read_route_daily(spark, out).where("aggregation_date = DATE'2024-01-09'"), "t1")
+    S.write_upsert(spark, v1, {"daily": day}, v2)
+    old, new = S.read_summary(spark, v1), S.read_summary(spark, v2)
+    assert new.count() == old.count()
+    changed = new.where("updated_at = 't1'").select("time_bucket").distinct().collect()
+    assert [r[0] for r in changed] == ["2024-01-09"]
+    touched = S.upsert_layout(S._stored(spark, v1).where("bucket_date = '2024-01-09'").drop("bucket_date"), day, "upsert_dates_test")
+    from fixtures import plan_text
+
+    assert "PartitionFilters: [isnotnull(bucket_date" in plan_text(touched)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_report_is_true_and_a_failed_build_harms_nothing(spark, tmp_path, adaptive):
+    from fixtures import CASES, HEADER, write_csv
+
+    from probelens.plans.pipeline import build_from_csv
+    from probelens.sources.csv_ingest import DataValidationError
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        out = str(tmp_path / "v1")
+        report = build_from_events(spark, SF01, out)
+        base = TB.read_base(spark, out)
+        events = spark.read.parquet(f"{SF01}/events.parquet")
+        assert report["raw_rows"] == events.count()
+        assert report["cleaned_rows"] == base.agg(F.sum("n")).first()[0] == events.where("value IS NOT NULL AND ts IS NOT NULL").count()
+        assert report["hourly_groups"] == base.count()
+        dropped, wrong = str(tmp_path / "dropped"), str(tmp_path / "wrong")
+        write_csv(dropped, "a.csv", [CASES[2]])
+        names = HEADER.split(",")
+        write_csv(wrong, "a.csv", CASES, header=",".join([names[1], names[0], *names[2:]]))
+        for n, bad in enumerate((dropped, wrong)):
+            with pytest.raises(FileExistsError):
+                build_from_csv(spark, bad, out)
+            with pytest.raises(DataValidationError):
+                build_from_csv(spark, bad, str(tmp_path / f"bad{n}"))
+        assert TB.read_base(spark, out).count() == report["hourly_groups"]
+        assert TB.read_route_hourly(spark, out).count() == report["hourly_groups"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_writes_run_in_the_callers_job_group(spark, tmp_path):
+    sc = spark.sparkContext
+    sc.setJobGroup("build-group", "a build")
+    try:
+        build_from_events(spark, "/root/testdata/sf0.001", str(tmp_path / "g"))
+        inside = len(sc.statusTracker().getJobIdsForGroup("build-group"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    outside = sc.statusTracker().getJobIdsForGroup(None)
+    assert inside >= 5  # the base, its count and the three tables
+    sc.setJobGroup("other", "")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not set(outside) & set(sc.statusTracker().getJobIdsForGroup("build-group"))
+
+
+def test_unknown_quality_is_reported_as_unknown():
+    from py4j.protocol import Py4JError
+
+    from probelens.plans.pipeline import _observed
+
+    class Unseen:
+        @property
+        def get(self):
+            raise Py4JError("nothing was observed")
+
+    assert _observed(Unseen()) is None
 
 
 def test_upsert_replaces_and_keeps(spark):

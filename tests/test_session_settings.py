@@ -12,7 +12,8 @@ import pytest
 from conftest import SF001
 from oracle_compare import compare, duck
 
-import __spark_entry__ as entry
+from probelens.plans import catalog
+from probelens.plans.oracle import ORACLE_SQL
 
 SETTINGS = [
     ("spark.sql.session.timeZone", "America/New_York"),
@@ -31,8 +32,8 @@ def test_every_query_matches_oracle_under_setting(spark, con, key, value):
     spark.conf.set(key, value)
     try:
         bad = []
-        for name, q in entry.queries().items():
-            r = compare(spark, con, name, q, entry.oracle_sql()[name], SF001)
+        for name, q in catalog.QUERIES.items():
+            r = compare(spark, con, name, q, ORACLE_SQL[name], SF001)
             if not (r["cols_match"] and r["rows_spark"] == r["rows_oracle"] and r["values_match"]):
                 bad.append(name)
     finally:
