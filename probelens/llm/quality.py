@@ -13,7 +13,8 @@ Every step is two aggregations over a narrow table of integers. Statistics are
 rounded to thousandths, so sums are exact and reruns agree to the last bit, and
 quantiles are exact with a map of at most a few ten thousand values per group,
 however many rows a group holds. A group that holds a third of all rows is
-summed in every task that has some of it.
+summed in every task that has some of it, and its estimate goes to its rows as a
+broadcast while groups number at most ``BROADCAST_GROUPS``.
 
 Groups of fewer than ``MIN_GROUP`` judged rows are pooled by language, and pools
 that are still smaller are pooled together; a pool of fewer than ``MIN_POOL``
@@ -40,6 +41,8 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 COVERED, STEPS = 0.75, 6
 MIN_GROUP, MIN_POOL = 100, 12
+#: Groups whose estimates (21 doubles each, 4 MB in all) may be broadcast; more are joined by shuffle.
+BROADCAST_GROUPS = 20_000
 #: Least standard deviation of each statistic, in thousandths of a log unit.
 FLOORS = (100, 50, 500, 500, 500)
 #: Square of the distance that one in a million normal vectors exceeds (chi-square, 5 degrees).
@@ -172,11 +175,14 @@ def _estimate(rows: DataFrame) -> DataFrame:
 def mcd(rows: DataFrame, steps: int = STEPS, covered: float = COVERED) -> DataFrame:
     """Robust centre and inverse factor per ``gid`` of rows (gid, x0 to x4)."""
     now = staged(_start(rows))
+    small = now.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    # Row by row against the group's estimate: a hot group's rows stay where they are.
+    beside = lambda df: F.broadcast(df) if small else df
     rank = F.floor(F.log(_distance() + F.lit(1e-6)) * 64).cast("long")
     for _ in range(steps):
-        ranked = rows.join(now, "gid").select("gid", *[f"x{i}" for i in _DIM], rank.alias("rank"))
+        ranked = rows.join(beside(now), "gid").select("gid", *[f"x{i}" for i in _DIM], rank.alias("rank"))
         limit = ranked.groupBy("gid").agg(F.percentile("rank", F.lit(covered)).alias("limit"))
-        now = _estimate(ranked.join(limit, "gid").where("rank <= limit"))
+        now = _estimate(ranked.join(beside(limit), "gid").where("rank <= limit"))
     return now
 
 
