@@ -7,19 +7,18 @@ log(c(u v) / c(u)); one that nobody else uses backs off to
 log(``BACKOFF`` * c(v) / N). The score of a document is the mean over its words;
 the first, which ends no pair, scores log(c(v) / N).
 
-Plan: (1) word counts, pre-aggregated in each task. (2) Pairs are exploded and
-hash-partitioned by pair, where they are counted and compared with the documents'
-own counts, so a pair decides there if it backs off and then needs one word count:
-that of its first word if it was seen, of its second if not. (3) What is left, sums
-per document, needed word and kind, meets the word counts: those of frequent words
-are broadcast, as words with over 1/``HEAVY`` of all occurrences number fewer than
-``HEAVY`` whatever the corpus; the rest is joined on the word. (4) Sums per
+Plan: documents are dealt into blocks of about ``BLOCK_BYTES`` by hash. (1) Every
+block explodes its n-grams (words and pairs, as 64-bit hashes) and sends each
+distinct one with its count to the bucket of its hash. (2) A bucket is one part of
+the count table: it adds the counts of all blocks and answers each block in the
+block's own order, so an answer needs no keys. (3) Answers and blocks are joined
+on the block, where the same n-grams are exploded again, scored and summed per
 document.
 
-A frequent pair or word brings at most one row per document to a join, and these
-joins can be split where one key is hot. The pairs are handled in ``SLICES`` by
-hash, one after the other, each written to the shared folder before the next, so
-the shuffle files of one slice are gone before the next one's are written.
+A frequent n-gram is one entry per block, never one per occurrence, so no bucket
+is hot; blocks and buckets are as many as the text asks for, and each is bounded.
+All of it is one lazy plan over two shuffles of n-grams and one of texts; what is
+shuffled grows with the corpus and nothing but the total size passes the driver.
 
 Words are lower-cased runs between ASCII white space.
 
@@ -31,63 +30,182 @@ columns are left out, whatever their names.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probelens.llm.common import let, staged, words
-
-BACKOFF = 0.4
-HEAVY = 100_000
-SLICES = 3
-
-
-def _hashed(text: Column) -> Column:
-    return F.transform(words(F.lower(text)), lambda w: F.xxhash64(w))
+from probelens.llm.common import ship
 
+ship(__name__)
 
-def _pairs(text: Column) -> Column:
-    """(u, v) of neighbouring words as an array of structs."""
-    n = lambda h: F.greatest(F.size(h) - 1, F.lit(0))
-    return let(_hashed(text), lambda h: F.transform(F.slice(h, 2, n(h)), lambda v, i: F.struct(F.get(h, i).alias("u"), v.alias("v"))))
-
-
-def score(docs: DataFrame, backoff: float = BACKOFF, heavy: int = HEAVY, slices: int = SLICES) -> DataFrame:
+BACKOFF = 0.4
+BLOCK_BYTES = 8 << 20
+#: Bytes that are hashed at once.
+STEP = 1 << 20
+#: The entry that counts all words.
+TOTAL = np.uint64(0)
+_BASE = 0x100000001B3
+_POWERS: list[np.ndarray] = []
+
+
+# ------------------------------------------------------------------- n-grams
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.maximum(h ^ (h >> np.uint64(29)), np.uint64(1))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2 ** 64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        made = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(max(n, STEP), base, np.uint64)
+            steps[0] = 1
+            made.append(np.cumprod(steps, dtype=np.uint64))
+        _POWERS[:] = made
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word: a polynomial in its bytes, from running sums."""
+    inner = np.ones(len(data) + 2, bool)
+    inner[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
+    starts = np.flatnonzero(inner[:-2] & ~inner[1:-1])
+    ends = np.flatnonzero(~inner[1:-1] & inner[2:]) + 1
+    up, down = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    return starts, _mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def exploded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of all words of the texts, in order."""
+    hashes, numbers = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    held: list[bytes] = []
+    first = size = 0
+
+    def settle(end: int) -> None:
+        data = np.frombuffer(b"\n".join(held), np.uint8)
+        starts, found = _word_hashes(data)
+        begins = np.cumsum([0, *[len(x) + 1 for x in held[:-1]]])
+        hashes.append(found)
+        numbers.append(first + np.searchsorted(begins, starts, "right") - 1)
+
+    for n, t in enumerate(texts):
+        held.append((t or "").lower().encode())
+        size += len(held[-1]) + 1
+        if size >= STEP:
+            settle(n + 1)
+            held, first, size = [], n + 1, 0
+    if held:
+        settle(len(texts))
+    return np.concatenate(hashes), np.concatenate(numbers)
+
+
+def paired(words: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place of the second word) of all pairs within a text."""
+    second = np.flatnonzero(numbers[1:] == numbers[:-1]) + 1
+    u, v = words[second - 1], words[second]
+    return _mixed(u * np.uint64(0xC2B2AE3D27D4EB4F) + (v ^ (v >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)), second
+
+
+def _entries(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """The block's n-grams: distinct keys in order, their counts, and the words and pairs in terms of them."""
+    with np.errstate(over="ignore"):
+        words, numbers = exploded(texts)
+        pairs, second = paired(words, numbers)
+    keys, inverse, counts = np.unique(np.concatenate([[TOTAL], words, pairs]), return_inverse=True, return_counts=True)
+    counts[0] = len(words)
+    return keys, counts, inverse[1 : len(words) + 1], numbers, inverse[len(words) + 1 :], second
+
+
+# ------------------------------------------------------------------- buckets
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the sorted keys go over to the next bucket; buckets are ranges of the hash."""
+    bounds = [(b << 64) // buckets for b in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)]])
+
+
+_ASKED = "bucket int, block int, keys binary, counts binary"
+
+
+def _ask(table: pa.Table, buckets: int) -> pa.Table:
+    """What a block sends to each bucket."""
+    keys, counts, *_ = _entries(table.column("text").to_pylist())
+    cuts = _cuts(keys, buckets)
+    counts = counts.astype(np.int64)
+    # Every block asks for the total, also one without a word in the first bucket.
+    some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+    block = table.column("block")[0].as_py()
+    return pa.table(
+        {
+            "bucket": pa.array(some, pa.int32()),
+            "block": pa.array([block] * len(some), pa.int32()),
+            "keys": pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
+            "counts": pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
+        }
+    )
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """A bucket's sums over all blocks, to each block in the order it asked."""
+    arrays = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+    keys, counts = arrays("keys", np.uint64), arrays("counts", np.int64)
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    ordered = every[order]
+    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    sums = np.add.reduceat(np.concatenate(counts)[order], begin)
+    totals = np.empty(len(every), np.int64)
+    totals[order] = np.repeat(sums, np.diff(np.append(begin, len(every))))
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    sent = [x.tobytes() for x in np.split(totals, ends)]
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(sent, pa.binary())})
+
+
+_SCORED = "doc_id long, n_words long, n_seen long, score double"
+
+
+def _score(block: pa.Table, answers: pa.Table, backoff: float) -> pa.Table:
+    """Scores of a block's documents from the corpus counts of its n-grams."""
+    keys, _, word, number, pair, second = _entries(block.column("text").to_pylist())
+    answers = answers.sort_by("bucket")
+    totals = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in answers.column("totals")])
+    if len(totals) != len(keys):
+        raise RuntimeError("a block's answers do not fit its n-grams")
+    # Rows equal in id and text are one document.
+    _, document = np.unique(block.column("k").to_numpy(), return_inverse=True)
+    n_rows = block.num_rows
+    of_pair = document[number[second]] * np.int64(len(keys)) + pair
+    _, same, own = np.unique(of_pair, return_inverse=True, return_counts=True)
+    others = totals[pair] - own[same]
+    seen = others > 0
+    log_n = math.log(max(int(totals[0]), 1))
+    log_c = np.log(np.maximum(totals[word], 1))
+    gain = log_c - log_n
+    backed = math.log(backoff) + gain[second]
+    gain[second] = np.where(seen, np.log(np.maximum(others, 1)) - log_c[second - 1], backed)
+    size = np.bincount(number, minlength=n_rows)
+    total = np.bincount(number, weights=gain, minlength=n_rows)
+    n_seen = np.bincount(number[second], weights=seen, minlength=n_rows).astype(np.int64)
+    mean = pa.array(total / np.maximum(size, 1), mask=size == 0)
+    return pa.table({"doc_id": block.column("doc_id"), "n_words": pa.array(size.astype(np.int64)), "n_seen": pa.array(n_seen), "score": mean})
+
+
+def score(docs: DataFrame, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_seen, score) per row of ``docs`` (doc_id, text).
 
     ``n_seen`` is the number of pairs found elsewhere in the corpus, ``score`` the
     mean natural logarithm per word.
     """
-    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
-    sizes = staged(keyed.select("doc_id", "k", F.size(words(F.col("text"))).alias("n_words")))
-    words_of = keyed.select("k", F.explode(_hashed(F.col("text"))).alias("w"))
-    vocabulary = staged(words_of.groupBy("w").agg(F.count("*").alias("c")))
-    total = vocabulary.agg(F.sum("c").alias("n")).first()["n"] or 0
-    frequent = staged(vocabulary.where(F.col("c") * heavy > F.lit(total)))
-    rare = vocabulary.where(F.col("c") * heavy <= F.lit(total))
-
-    needs = []
-    for part in range(slices):
-        pairs = keyed.select("k", F.explode(_pairs(F.col("text"))).alias("p")).select("k", "p.u", "p.v").where(F.pmod(F.xxhash64("u", "v"), F.lit(slices)) == part)
-        own = pairs.repartition("u", "v").groupBy("u", "v", "k").agg(F.count("*").alias("own"))
-        counted = own.join(own.groupBy("u", "v").agg(F.sum("own").alias("c")), ["u", "v"])
-        others = F.col("c") - F.col("own")
-        seen = others > 0
-        # What the pair adds by itself, and the word whose count it still needs.
-        by_pair = F.when(seen, F.log(others.cast("double"))).otherwise(F.log(F.lit(backoff))) * F.col("own")
-        needed = counted.select("k", F.when(seen, F.col("u")).otherwise(F.col("v")).alias("w"), seen.alias("seen"), by_pair.alias("gain"), "own")
-        needs.append(staged(needed.groupBy("k", "w", "seen").agg(F.sum("gain").alias("gain"), F.sum("own").alias("times"))))
-    need = reduce(DataFrame.union, needs)
-    first = keyed.select("k", F.get(_hashed(F.col("text")), 0).alias("w")).where("w is not null").select("k", "w", F.lit(False).alias("seen"), F.lit(0.0).alias("gain"), F.lit(1).cast("long").alias("times"))
-    need = need.union(first)
-
-    known = need.join(F.broadcast(frequent), "w", "left")
-    settled = known.where("c is not null")
-    joined = known.where("c is null").drop("c").join(rare, "w")
-    count = F.log(F.col("c").cast("double"))
-    worth = F.col("gain") + F.col("times") * F.when(F.col("seen"), -count).otherwise(count - F.log(F.lit(float(max(total, 1)))))
-    sums = settled.unionByName(joined).groupBy("k").agg(F.sum(worth).alias("sum"), F.sum(F.when(F.col("seen"), F.col("times")).otherwise(0)).alias("n_seen"))
-    copies = sizes.groupBy("k").agg(F.count("*").alias("copies"))
-    out = sizes.join(copies, "k").join(sums, "k", "left")
-    return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce((F.col("n_seen") / F.col("copies")).cast("long"), F.lit(0)).alias("n_seen"), (F.col("sum") / F.col("copies") / F.col("n_words")).alias("score"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // block_bytes))
+    k = F.xxhash64("doc_id", "text")
+    dealt = docs.select(F.pmod(F.xxhash64(k, F.lit("block")), F.lit(n)).cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), k.alias("k"), "text").repartition("block")
+    asked = dealt.groupBy("block").applyInArrow(lambda t: _ask(t, n), _ASKED)
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t), "block int, bucket int, totals binary")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda b, a: _score(b, a, backoff), _SCORED)

@@ -37,16 +37,18 @@ def same(got, expected):
 # ------------------------------------------------------------------ 1, 2
 def test_lm_scores(spark, table):
     for rows in both(table):
-        got = lm_scoring.score(edge.cluttered(spark, rows), slices=2).collect()
+        got = lm_scoring.score(edge.cluttered(spark, rows), block_bytes=100_000).collect()
         want = brute.lm_scores([tuple(r[:2]) for r in rows])
         show = lambda i, n, s, x: (i, n, s, None if x is None else round(x, 6))
         same([show(r.doc_id, r.n_words, r.n_seen, r.score) for r in got], [show(r[0], *w) for r, w in zip(rows, want)])
 
 
-def test_lm_rare_and_frequent_words_agree(spark, table):
+def test_lm_scores_do_not_depend_on_blocks(spark, table, monkeypatch):
     docs = edge.documents(spark, table)
-    a, b = (Counter(repr((r.doc_id, round(r.score or 0, 6))) for r in lm_scoring.score(docs, heavy=h).collect()) for h in (1, 10_000_000))
-    assert a == b
+    show = lambda df: Counter(repr((r.doc_id, r.n_seen, round(r.score or 0, 6))) for r in df.collect())
+    one = show(lm_scoring.score(docs))
+    monkeypatch.setattr(lm_scoring, "STEP", 5000)
+    assert one == show(lm_scoring.score(docs, block_bytes=20_000))
 
 
 def test_targets_follow_water_filling(spark, table):
