@@ -178,6 +178,8 @@ def main_text(html: str | None) -> str:
         return ""
     tree = _Tree()
     tree.feed(html)
+    if tree.rawdata.startswith("<!--"):
+        tree.rawdata = ""  # a comment that never ends
     tree.close()
     chars = [0] * len(tree.tag)
     for node, data in tree.text:
