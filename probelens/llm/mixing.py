@@ -78,9 +78,9 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), budget_share: float
     units = units.withColumn("shuffle", F.md5(name)).withColumn("bucket", F.substring("shuffle", 1, 3))
     amount = F.col("size") * F.col("rows")
 
-    per_bucket = staged(units.groupBy("source", "bucket").agg(F.sum(amount).alias("tokens")))
+    per_bucket = units.groupBy("source", "bucket").agg(F.sum(amount).alias("tokens"))
     sizes = per_bucket.groupBy("source").agg(F.sum("tokens").alias("source_size"))
-    plan = staged(targets(cycled_weights(sizes, cycle), budget_share, max_epochs))
+    plan = targets(cycled_weights(sizes, cycle), budget_share, max_epochs)
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("offset", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))).drop("tokens")
     o, p = offsets.alias("o"), plan.alias("p")
