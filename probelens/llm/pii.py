@@ -144,9 +144,9 @@ def revealing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = DI
     beside = holders.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.array_distinct(F.transform(base_spans(F.col("line")), _entity)).alias("entities")).where(F.size("entities") > 0)
     lines = staged(beside.groupBy("line").agg(F.count("*").alias("times"), F.first("entities").alias("entities")).withColumn("id", F.xxhash64("line")))
     met = lines.select("id", "times", "line", F.explode("entities").alias("entity"))
-    known = staged(met.groupBy("entity").agg(F.count("*").alias("lines"), F.sum("times").alias("c_e")).where(F.col("lines") >= min_support))
+    known = met.groupBy("entity").agg(F.count("*").alias("lines"), F.sum("times").alias("c_e")).where(F.col("lines") >= min_support)
     pairs = met.join(known, "entity").select("entity", "c_e", "times", F.explode(_terms(_without_matches(F.col("line")))).alias("term"))
-    pairs = staged(pairs.groupBy("entity", "c_e", "term").agg(F.count("*").alias("lines"), F.sum("times").alias("c_et")).where(F.col("lines") >= min_support))
+    pairs = pairs.groupBy("entity", "c_e", "term").agg(F.count("*").alias("lines"), F.sum("times").alias("c_et")).where(F.col("lines") >= min_support)
     # The empty term stands for every line.
     counted = F.concat(_terms(F.col("line")), F.array(F.lit("")))
     counts = staged(every_line.select(F.explode(counted).alias("term")).groupBy("term").agg(F.count("*").alias("c_t")))
@@ -182,11 +182,10 @@ def _masked(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with base_spans, all_spans (structs), counts per kind and the sanitised text."""
     found = staged(docs.select("text").where("text is not null").select("text", base_spans(F.col("text")).alias("base")).where(F.size("base") > 0).select(F.xxhash64("text").alias("id"), "text", "base"))
-    revealing = staged(revealing_terms(docs.select("text"), found.select("text"), **options))
+    revealing = revealing_terms(docs.select("text"), found.select("text"), **options)
     own = found.select("id", F.explode(F.transform("base", _entity)).alias("entity")).distinct()
     to_hide = own.join(revealing, "entity").groupBy("id").agg(F.collect_set("term").alias("terms"))
     spans = found.dropDuplicates(["id"]).join(to_hide, "id", "left").select("id", "base", _term_spans(F.col("text"), F.col("terms"), F.col("base")).alias("added"))
-    spans = staged(spans)
 
     kept = without(docs, *RESULT, "__id")
     keyed = kept.withColumn("__id", F.xxhash64("text")).join(spans.withColumnRenamed("id", "__id"), "__id", "left")
