@@ -127,11 +127,16 @@ def _grouped(judged: DataFrame) -> DataFrame:
     pools = sizes.where(F.col("n") < MIN_GROUP).groupBy("lang").agg(F.sum("n").alias("pool"))
     s, p = sizes.alias("s"), pools.alias("p")
     pooled = F.when(F.col("pool") >= MIN_GROUP, gid(1, "s.lang")).otherwise(F.lit("rest"))
-    named = staged(s.join(p, F.col("s.lang").eqNullSafe(F.col("p.lang")), "left").select("s.lang", "s.source", F.coalesce(own, pooled).alias("gid")))
+    named = _kept(s.join(p, F.col("s.lang").eqNullSafe(F.col("p.lang")), "left").select("s.lang", "s.source", F.coalesce(own, pooled).alias("gid")))
     j, n = judged.alias("j"), named.alias("n")
     return j.join(n, F.col("j.lang").eqNullSafe(F.col("n.lang")) & F.col("j.source").eqNullSafe(F.col("n.source"))).select("j.*", "n.gid")
 
 
+def _kept(per_group: DataFrame) -> DataFrame:
+    """A table with one row per group, written as one file."""
+    return staged(per_group.repartition(1))
+
+
 def _distance(factor: float = 1.0) -> Column:
     """Squared Mahalanobis distance from the centre m* under the inverse factor w**."""
     total = F.lit(0.0)
@@ -145,7 +150,7 @@ def _distance(factor: float = 1.0) -> Column:
 
 def _start(rows: DataFrame) -> DataFrame:
     """Per group: medians, and one over the MAD (at least the floor) on the diagonal."""
-    medians = staged(rows.groupBy("gid").agg(F.count("*").alias("n"), *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in _DIM]))
+    medians = rows.groupBy("gid").agg(F.count("*").alias("n"), *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in _DIM])
     spread = rows.join(medians, "gid").groupBy("gid").agg(*[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i in _DIM])
     scale = lambda i: F.greatest(F.col(f"d{i}") * 1.4826, F.lit(float(FLOORS[i])))
     weights = [(1 / scale(i) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in _LOWER]
@@ -155,7 +160,7 @@ def _start(rows: DataFrame) -> DataFrame:
 def _estimate(rows: DataFrame) -> DataFrame:
     """Per group: means, and the inverse Cholesky factor of the floored covariance."""
     sums = rows.groupBy("gid").agg(F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in _DIM], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in _LOWER])
-    out = staged(sums).withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in _DIM})
+    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in _DIM})
     for i, j in _LOWER:
         cov = F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
         if i == j:
@@ -169,12 +174,12 @@ def _estimate(rows: DataFrame) -> DataFrame:
         for k in range(j, i):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
         out = out.withColumn(f"w{i}{j}", rest / F.col(f"l{i}{i}"))
-    return staged(out.select("gid", *[f"m{i}" for i in _DIM], *[f"w{i}{j}" for i, j in _LOWER]))
+    return _kept(out.select("gid", *[f"m{i}" for i in _DIM], *[f"w{i}{j}" for i, j in _LOWER]))
 
 
 def mcd(rows: DataFrame, steps: int = STEPS, covered: float = COVERED) -> DataFrame:
     """Robust centre and inverse factor per ``gid`` of rows (gid, x0 to x4)."""
-    now = staged(_start(rows))
+    now = _kept(_start(rows))
     small = now.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     # Row by row against the group's estimate: a hot group's rows stay where they are.
     beside = lambda df: F.broadcast(df) if small else df
