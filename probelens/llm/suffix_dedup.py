@@ -20,6 +20,11 @@ runs of the minimizers left are shuffled by minimizer, sorted within each task,
 give the removed spans. (3) Spans are gathered per text and cut out of it. Later
 copies of a text go whole.
 
+A minimizer of more than ``HOT_TEXTS`` texts would make its part too large for one
+task. Its suffixes are not sorted but keyed one by one by a 128-bit hash of their
+first ``length`` bytes: the first owner of each is a pre-aggregated minimum, and
+suffixes meet it in a join that can be split. The outcome is the same.
+
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing and
 take nothing from others; a missing id counts as larger than any other; rows that
 share an id take nothing from each other; an empty table gives an empty result.
@@ -43,6 +48,8 @@ LENGTH = 50
 K = 16
 #: Window starts that are handled at once, of a long text or of many runs.
 STEP = 1 << 18
+#: Texts that share a minimizer beyond which its suffixes are keyed by hash.
+HOT_TEXTS = 50_000
 _PLACE = np.uint64((1 << 21) - 1)
 
 
@@ -96,6 +103,27 @@ def _text_minimizers(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids)], names=["h", "id"])
 
 
+def _hot_suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Every suffix of the hot minimizers of each text: a 128-bit key of its first bytes, and its place."""
+    reach = [*range(0, length - K + 1, K), length - K]
+    for batch in batches:
+        for at in range(batch.num_rows):
+            part = batch.slice(at, 1)
+            data = _bytes_of(part.column("text")[0])
+            h, first, last = minimizers(data, length)
+            keep = np.flatnonzero(np.isin(h, part.column("hot")[0].values.to_numpy().view(np.uint64)))
+            starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[keep], last[keep], strict=True)])
+            with np.errstate(over="ignore"):
+                grams = _hashes(data)
+                keys = [np.zeros(len(starts), np.uint64), np.ones(len(starts), np.uint64)]
+                for n, factor in enumerate((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)):
+                    for k in reach:
+                        keys[n] = (keys[n] ^ grams[starts + k]) * np.uint64(factor)
+                        keys[n] ^= keys[n] >> np.uint64(32)
+            same = lambda name: pa.array(np.full(len(starts), part.column(name)[0].as_py(), np.int64))
+            yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in keys], same("id"), same("owner"), pa.array(starts)], names=["s", "t", "id", "owner", "a"])
+
+
 # ----------------------------------------------------------- suffix sorting
 def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The byte strings around the wanted minimizers of each text.
@@ -237,7 +265,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("owner"), pa.array([len(x.as_buffer()) for x in part.column("text")], pa.int64()), spans, pa.array(kept, pa.binary())], names=["id", "owner", "n_bytes", "spans", "kept"])
 
 
-def by_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def by_text(docs: DataFrame, length: int = LENGTH, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """One row per distinct non-null text: id (its hash), owner (its first document), n_bytes, spans (a, b), kept (binary).
 
     This is the outcome for the first document with that text; later ones lose
@@ -247,12 +275,19 @@ def by_text(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be at least {2 * K}")
     held = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("id"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
     seen = held.where(F.octet_length("text") >= length).select("id", "text").mapInArrow(partial(_text_minimizers, length=length), "h long, id long").repartition("h")
-    shared = seen.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h")
-    wanted = staged(seen.join(shared, "h").groupBy("id").agg(F.collect_set("h").alias("wanted")))
+    shared = seen.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("low < high")
+    of_text = lambda hot: F.collect_set(F.when(F.col("hot") == hot, F.col("h")))
+    wanted = seen.join(shared.select("h", (F.col("n") > hot_texts).alias("hot")), "h").groupBy("id").agg(of_text(False).alias("wanted"), of_text(True).alias("hot"))
+    wanted = staged(wanted)
 
     texts = held.groupBy("id").agg(F.min("doc_id").alias("owner"), F.first("text").alias("text"))
-    runs = texts.join(wanted, "id").select("id", "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, owner long, places array<long>, run binary")
+    runs = texts.join(wanted.where(F.size("wanted") > 0), "id").select("id", "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, owner long, places array<long>, run binary")
     removed = runs.repartition("h").sortWithinPartitions("h").mapInArrow(partial(_removed, length=length), "id long, a long, b long")
+    if not wanted.where(F.size("hot") > 0).isEmpty():
+        suffixes = staged(texts.join(wanted.where(F.size("hot") > 0), "id").select("id", "owner", "text", "hot").mapInArrow(partial(_hot_suffixes, length=length), "s long, t long, id long, owner long, a long"))
+        firsts = suffixes.groupBy("s", "t").agg(F.min("owner").alias("first"))
+        later = suffixes.join(firsts, ["s", "t"]).where(F.col("first") < F.col("owner"))
+        removed = removed.union(later.select("id", "a", (F.col("a") + length).alias("b")))
     gathered = removed.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("removed"))
     return texts.join(gathered, "id", "left").select("id", "owner", "text", "removed").mapInArrow(_cut, "id long, owner long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")
 
