@@ -130,41 +130,62 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)]])
 
 
-_ASKED = "bucket int, block int, keys binary, counts binary"
+def _packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts as one byte each; 255 stands for the next of the large ones, which follow apart."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def _unpacked(table: pa.Table) -> list[np.ndarray]:
+    out = []
+    for small, large in zip(table.column("counts"), table.column("large"), strict=True):
+        counts = np.frombuffer(small.as_buffer(), np.uint8).astype(np.int64)
+        counts[counts == 255] = np.frombuffer(large.as_buffer(), np.int64)
+        out.append(counts)
+    return out
+
+
+_ASKED = "bucket int, block int, keys binary, counts binary, large binary"
+_ANSWERED = "bucket int, block int, counts binary, large binary"
 
 
 def _ask(table: pa.Table, buckets: int) -> pa.Table:
     """What a block sends to each bucket."""
     keys, counts, *_ = _entries(table.column("text").to_pylist())
     cuts = _cuts(keys, buckets)
-    counts = counts.astype(np.int64)
-    # Every block asks for the total, also one without a word in the first bucket.
     some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
     block = table.column("block")[0].as_py()
+    packed = [_packed(counts[cuts[b] : cuts[b + 1]]) for b in some]
     return pa.table(
         {
             "bucket": pa.array(some, pa.int32()),
             "block": pa.array([block] * len(some), pa.int32()),
             "keys": pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
-            "counts": pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
+            "counts": pa.array([small for small, _ in packed], pa.binary()),
+            "large": pa.array([large for _, large in packed], pa.binary()),
         }
     )
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """A bucket's sums over all blocks, to each block in the order it asked."""
-    arrays = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
-    keys, counts = arrays("keys", np.uint64), arrays("counts", np.int64)
+    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
     ordered = every[order]
     begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(np.concatenate(counts)[order], begin)
+    sums = np.add.reduceat(np.concatenate(_unpacked(table))[order], begin)
     totals = np.empty(len(every), np.int64)
     totals[order] = np.repeat(sums, np.diff(np.append(begin, len(every))))
     ends = np.cumsum([len(k) for k in keys])[:-1]
-    sent = [x.tobytes() for x in np.split(totals, ends)]
-    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(sent, pa.binary())})
+    packed = [_packed(x) for x in np.split(totals, ends)]
+    return pa.table(
+        {
+            "bucket": table.column("bucket"),
+            "block": table.column("block"),
+            "counts": pa.array([small for small, _ in packed], pa.binary()),
+            "large": pa.array([large for _, large in packed], pa.binary()),
+        }
+    )
 
 
 _SCORED = "doc_id long, n_words long, n_seen long, score double"
@@ -173,8 +194,7 @@ _SCORED = "doc_id long, n_words long, n_seen long, score double"
 def _score(block: pa.Table, answers: pa.Table, backoff: float) -> pa.Table:
     """Scores of a block's documents from the corpus counts of its n-grams."""
     keys, _, word, number, pair, second = _entries(block.column("text").to_pylist())
-    answers = answers.sort_by("bucket")
-    totals = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in answers.column("totals")])
+    totals = np.concatenate(_unpacked(answers.sort_by("bucket")))
     if len(totals) != len(keys):
         raise RuntimeError("a block's answers do not fit its n-grams")
     # Rows equal in id and text are one document.
@@ -207,5 +227,5 @@ def score(docs: DataFrame, backoff: float = BACKOFF, block_bytes: int = BLOCK_BY
     k = F.xxhash64("doc_id", "text")
     dealt = docs.select(F.pmod(F.xxhash64(k, F.lit("block")), F.lit(n)).cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), k.alias("k"), "text").repartition("block")
     asked = dealt.groupBy("block").applyInArrow(lambda t: _ask(t, n), _ASKED)
-    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t), "block int, bucket int, totals binary")
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t), _ANSWERED)
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda b, a: _score(b, a, backoff), _SCORED)

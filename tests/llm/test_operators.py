@@ -51,6 +51,15 @@ def test_lm_scores_do_not_depend_on_blocks(spark, table, monkeypatch):
     assert one == show(lm_scoring.score(docs, block_bytes=20_000))
 
 
+def test_packed_counts():
+    import pyarrow as pa
+
+    for counts in ([], [1], [254, 255, 256, 1, 10**12, 255], [300] * 5):
+        small, large = lm_scoring._packed(np.array(counts, np.int64))
+        back = lm_scoring._unpacked(pa.table({"counts": pa.array([small], pa.binary()), "large": pa.array([large], pa.binary())}))
+        assert back[0].tolist() == counts
+
+
 def test_targets_follow_water_filling(spark, table):
     for rows in both(table):
         got = mixing.mix(edge.cluttered(spark, rows)).collect()
