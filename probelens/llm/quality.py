@@ -45,8 +45,8 @@ MIN_GROUP, MIN_POOL = 100, 12
 BROADCAST_GROUPS = 20_000
 #: Least standard deviation of each statistic, in thousandths of a log unit.
 FLOORS = (100, 50, 500, 500, 500)
-#: Square of the distance that one in a million normal vectors exceeds (chi-square, 5 degrees).
-CUTOFF = 35.9
+#: Square of the distance that one in a thousand normal vectors exceeds (chi-square, 5 degrees).
+CUTOFF = 20.5
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _DIM = range(len(FLOORS))
 _LOWER = [(i, j) for i in _DIM for j in range(i + 1)]
