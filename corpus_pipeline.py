@@ -14,20 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelens.llm import decontaminate, langid, line_dedup, mixing, simhash
-from probelens.llm.common import staged
+from probelens.llm.common import set_aside, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language can't be told (no letter, or a narrow margin)."""
     dictionaries = langid.fit(docs.select("doc_id", "text", "lang"), F.col("doc_id"))
-    return langid.identify(docs, dictionaries).where("accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest, columns = set_aside(docs, langid.RESULT)
+    return langid.identify(rest, dictionaries).where("accepted").select(*columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that stand on more than a tenth of their source's documents."""
-    cleaned = line_dedup.drop_boilerplate(docs)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest, columns = set_aside(docs, line_dedup.RESULT)
+    cleaned = line_dedup.drop_boilerplate(rest)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", n_chars).select(*columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """The frame with columns that clash with ``names`` under other names, and the columns as they were."""
+    clash = {c: f"__own_{c}" for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(clash), [F.col(f"`{clash.get(c, c)}`").alias(c) for c in df.columns]
+
+
 def row_key(df: DataFrame) -> Column:
     """A hash over all columns of a row; which of them are null counts too."""
     columns = [F.col(f"`{c}`") for c in df.columns]

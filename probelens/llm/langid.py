@@ -37,6 +37,7 @@ from probelens.llm.common import ship, without
 ship(__name__)
 
 UNKNOWN = "und"
+RESULT = ("lang_pred", "score", "accepted")
 #: Fit bounds: labelled rows (expected) and dictionary bytes per language.
 SAMPLE_ROWS, DICT_BYTES = 400, 262_144
 MAX_LANGUAGES = 512
@@ -117,6 +118,6 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from _classified(batches, shared, level, chunk)
 
-    guessed = without(docs, "lang_pred", "score", "accepted").withColumn("__lang", guess(F.col("text")))
+    guessed = without(docs, *RESULT).withColumn("__lang", guess(F.col("text")))
     lang, score = F.col("__lang.lang"), F.col("__lang.score")
     return guessed.withColumns({"lang_pred": lang, "score": score, "accepted": (lang != UNKNOWN) & (score >= margin)}).drop("__lang")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from probelens.llm.common import HAS_WORD, lines, staged, without
 
 BLANKS = " \t\n\u000b\f\r"
+RESULT = ("n_lines", "n_dropped")
 RATIO = 0.1
 MIN_PAGES = 20
 
@@ -37,7 +38,7 @@ def _line_hash(line: Column) -> Column:
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``docs`` with ``text`` cleaned, plus n_lines and n_dropped (lines of the input text)."""
-    docs = without(docs, "n_lines", "n_dropped")
+    docs = without(docs, *RESULT)
     page = F.xxhash64(F.col(host), F.col(text))
     spoken = F.filter(lines(F.col(text)), lambda x: x.rlike(HAS_WORD))
     usable = docs.where(F.col(host).isNotNull() & F.col(text).isNotNull())

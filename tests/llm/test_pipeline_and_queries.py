@@ -101,8 +101,10 @@ def test_stages_take_empty_and_cluttered_tables(spark, corpus):
     docs = edge.cluttered(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, root)
-        assert out.columns == docs.columns
-        out.collect()
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars", "m", "nothing")]
+        rows = out.collect()
+        assert rows and all(r[c] == "x" for r in rows for c in extra)
 
 
 NATIVE = ("op3_quality_rules", "op5_pii_sanitisation", "op8_line_dedup", "op10_benchmark_decontamination")
