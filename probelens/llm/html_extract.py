@@ -67,11 +67,17 @@ def _unwanted(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value)):
             return True
-        if name in ("class", "id", "role") and value and any(p.lower() in HINTS for p in _PARTS.findall(value)):
+        if name in ("class", "id", "role") and value and any(_hinted(word) for word in value.split()):
             return True
     return False
 
 
+def _hinted(word: str) -> bool:
+    """Whether one class name is a hint: "left-sidebar" is, "no-sidebar" is not."""
+    parts = [p.lower() for p in _PARTS.findall(word)]
+    return any(p in HINTS and (not n or parts[n - 1] not in ("no", "non", "has", "with", "without")) for n, p in enumerate(parts))
+
+
 class _Tree(HTMLParser):
     """Nodes in page order: parent, tag, and the pieces of text with the node they belong to."""
 

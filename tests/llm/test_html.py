@@ -27,6 +27,7 @@ PAGES = {
     "notices": f"<body><div class='cookie-notice'><p>{P[0]} We use cookies, and this notice is rather long as such notices are.</p></div><div class=page><main>{ARTICLE}<form><p>Subscribe <input name=q></p></form></main><section id='comments'><p>{P[1]} says a reader</p><p>{P[2]} says another</p></section></div><div class='sidebar'><p>{P[3]}</p></div></body>",
     "adverts inside": f"<body><article><h1>A title</h1><p>{P[0]}</p><div class='ad-slot'>Buy it now</div>{''.join(f'<p>{p}</p>' for p in P[1:])}<div class='reader-comments'><p>{P[0]}</p></div></article></body>",
     "unclosed": f"<body><div><p><b>A title<br>{''.join(f'<p>{p}' for p in P)}</div><div><ul><li><a href=/1>one</a><li><a href=/2>two</a></ul></div>",
+    "layout classes": f"<body><div class='left-sidebar'><p>{P[4]}</p></div><div class='page no-sidebar has-comments'><div id=story>{ARTICLE}</div></div><div id='commentList'><p>{P[0]}</p></div></body>",
     "hidden": f"<body><article>{ARTICLE}<p hidden>{P[0]}</p><div style='display: none'>{P[1]}</div><div aria-hidden='true'>{P[2]}</div></article></body>",
     "script text": f"<body><script>var a='</p><p>not text</p>';</script><article>{ARTICLE}<script>if (a < b) c('<p>')</script><!-- <p>note</p> --></article><noscript><p>{P[0]}</p></noscript></body>",
 }
