@@ -163,14 +163,15 @@ def _selected(tree: _Tree, chars: list[int]) -> list[int]:
     bodies = [i for i in nodes if tree.tag[i] == "body"] or [0]
     if not nodes:
         return [0] if total[0] else []
-    best = max(nodes, key=lambda i: (sums[i] if sums[i] else density[i] if i not in tree.parent else 0.0, -i))
+    parents = set(tree.parent)
+    # A node without children stands for its own density: a page may be one bare block.
+    best = max(nodes, key=lambda i: (density[i] if i not in parents else sums[i], -i))
     path = [best]
     while path[-1] not in (0, *bodies):
         path.append(tree.parent[path[-1]])
     for bound in BOUNDS:
         for i in reversed(path):
             if tree.tag[i] == bound:
-                # Articles next to the best one are part of the same page text if they are as dense.
                 return [i]
     threshold = min(density[i] for i in path)
     if tree.tag[best] in ("body", "html"):
