@@ -186,6 +186,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     own = found.select("id", F.explode(F.transform("base", _entity)).alias("entity")).distinct()
     to_hide = own.join(revealing, "entity").groupBy("id").agg(F.collect_set("term").alias("terms"))
     spans = found.dropDuplicates(["id"]).join(to_hide, "id", "left").select("id", "base", _term_spans(F.col("text"), F.col("terms"), F.col("base")).alias("added"))
+    # Written, so that the join below shuffles both sides and the copies of one text can be split.
+    spans = staged(spans)
 
     kept = without(docs, *RESULT, "__id")
     keyed = kept.withColumn("__id", F.xxhash64("text")).join(spans.withColumnRenamed("id", "__id"), "__id", "left")
