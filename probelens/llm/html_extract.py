@@ -5,7 +5,10 @@ by how much of the node and of the whole page is link text. The density sum of a
 node is the sum of its children's densities; the node with the largest sum holds
 the article. The smallest density on the path from it to the body is the
 threshold for its surroundings: siblings that reach it belong to the article too.
-If the node stands in an ``article`` or ``main`` element, that element bounds it.
+If the node stands in an ``article`` or ``main`` element, that element is the outer
+limit: up to it, what surrounds any node of the path is tried, and headings stay.
+Within the selection, lists below the threshold whose text is mostly links are left
+out, and so are articles nested in one with at least as much text of its own.
 
 Elements that are never article text (scripts, forms, menus, page headers and
 footers, sidebars) and elements whose class, id or role says that they are
@@ -57,6 +60,11 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements that hold the article if they are there; a hint on them is no reason to drop it.
 BOUNDS = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements within a run of text, unless they hold others.
+INLINE = frozenset("a abbr b bdi bdo big br cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements that are left out of the article where most of their text is in links.
+LISTS = frozenset("dl div ol section table ul".split())
 
 
 def _unwanted(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -126,8 +134,42 @@ class _Tree(HTMLParser):
         self.text.append((self.open[-1], data))
 
 
-def _densities(tree: _Tree, chars: list[int]) -> tuple[list[float], list[float], list[int]]:
-    """Composite text density and density sum of every node, and its characters."""
+def _nested(tree: _Tree, chars: list[int]) -> None:
+    """Drop articles inside an article that has at least as much text of its own: comments, in HTML5's terms.
+
+    What else holds them goes too, up to the article, if headings are its only other text.
+    """
+    n = len(tree.tag)
+    inside, own, bare, linked, headed = [-1] * n, [0] * n, [0] * n, [False] * n, [False] * n
+    for i in range(1, n):
+        up = tree.parent[i]
+        inside[i] = up if tree.tag[up] == "article" else inside[up]
+        linked[i] = linked[up] or tree.tag[i] == "a"
+        headed[i] = headed[up] or tree.tag[i] in HEADINGS
+        if not linked[i] and not headed[i]:
+            own[i if tree.tag[i] == "article" else inside[i]] += chars[i]
+    most = list(own)
+    for i in range(n - 1, 0, -1):
+        if tree.tag[i] == "article" and inside[i] >= 0:
+            most[inside[i]] = max(most[inside[i]], most[i])
+    # Text besides headings and nested articles, for each node.
+    for i in range(n - 1, 0, -1):
+        bare[i] += 0 if headed[i] else chars[i]
+        if tree.tag[i] != "article":
+            bare[tree.parent[i]] += bare[i]
+    for i in range(1, n):
+        outer = inside[i]
+        if tree.tag[i] == "article" and outer >= 0 and not tree.dropped[i] and own[outer] and own[outer] >= most[outer]:
+            while tree.parent[i] != outer and not bare[tree.parent[i]]:
+                i = tree.parent[i]
+            tree.dropped[i] = True
+    for i in range(1, n):
+        tree.dropped[i] = tree.dropped[i] or tree.dropped[tree.parent[i]]
+        chars[i] = 0 if tree.dropped[i] else chars[i]
+
+
+def _densities(tree: _Tree, chars: list[int]) -> tuple[list[float], list[float], list[int], list[int], list[bool]]:
+    """Composite text density and density sum of every node, its characters, those in links, and whether it is a phrase."""
     n = len(tree.tag)
     total, linked, tags, links = list(chars), [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -150,34 +192,54 @@ def _densities(tree: _Tree, chars: list[int]) -> tuple[list[float], list[float],
         base = math.log(c / max(1, c - linked[i]) * linked[i] + page_share * c + math.e)
         # A page without a link has base 1 and no logarithm to it: characters per tag alone.
         density[i] = c / t * (math.log(c * t / (lc * lt)) / math.log(base) if base > 1.0 + 1e-9 else 1.0)
+    phrase = [tag in INLINE for tag in tree.tag]
+    for i in range(n - 1, 0, -1):
+        phrase[tree.parent[i]] = phrase[tree.parent[i]] and phrase[i]
+    leaf = [True] * n
     for i in range(1, n):
-        if not tree.dropped[i]:
+        if not tree.dropped[i] and not phrase[i]:
             sums[tree.parent[i]] += density[i]
-    return density, sums, total
+            leaf[tree.parent[i]] = False
+    # A node of nothing but text and phrases stands for its own density: a page may be one bare
+    # block, and marking up a paragraph's words makes it no container. A phrase never does.
+    sums = [0.0 if p else d if alone else s for p, d, alone, s in zip(phrase, density, leaf, sums, strict=True)]
+    return density, sums, total, linked, phrase
 
 
-def _selected(tree: _Tree, chars: list[int]) -> list[int]:
-    """The nodes whose subtrees are the article."""
-    density, sums, total = _densities(tree, chars)
-    nodes = [i for i in range(1, len(tree.tag)) if not tree.dropped[i] and total[i]]
+def _selected(tree: _Tree, chars: list[int]) -> list[bool]:
+    """Whether a node's own text belongs to the article."""
+    density, sums, total, linked, phrase = _densities(tree, chars)
+    n = len(tree.tag)
+    wanted = [False] * n
+    nodes = [i for i in range(1, n) if not tree.dropped[i] and total[i]]
     bodies = [i for i in nodes if tree.tag[i] == "body"] or [0]
     if not nodes:
-        return [0] if total[0] else []
-    parents = set(tree.parent)
-    # A node without children stands for its own density: a page may be one bare block.
-    best = max(nodes, key=lambda i: (density[i] if i not in parents else sums[i], -i))
+        wanted[0] = bool(total[0])
+        return wanted
+    best = max(nodes, key=lambda i: (sums[i], density[i] if phrase[i] else 0.0, -i))
     path = [best]
     while path[-1] not in (0, *bodies):
         path.append(tree.parent[path[-1]])
-    for bound in BOUNDS:
-        for i in reversed(path):
-            if tree.tag[i] == bound:
-                return [i]
     threshold = min(density[i] for i in path)
-    if tree.tag[best] in ("body", "html"):
-        return [best]
-    up = tree.parent[best]
-    return [i for i in range(1, len(tree.tag)) if i == best or (tree.parent[i] == up and not tree.dropped[i] and total[i] and density[i] >= threshold)]
+    # The outermost article, or else the outermost main.
+    bound = max((k for k, i in enumerate(path) if tree.tag[i] in BOUNDS), key=lambda k: (tree.tag[path[k]] == BOUNDS[0], k), default=None)
+    # All on the path reach the threshold; up to the bound their surroundings are searched.
+    around = set() if tree.tag[best] in ("body", "html") else set(path[1 : bound + 1]) if bound is not None else {tree.parent[best]}
+    whole = [False] * n
+    for i in range(1, n):
+        up = tree.parent[i]
+        if tree.dropped[i]:
+            continue
+        list_of_links = tree.tag[i] in LISTS and total[i] and linked[i] * 2 > total[i] and density[i] < threshold
+        if whole[up]:
+            whole[i] = not list_of_links
+        elif i == best:
+            whole[i] = True
+        elif up in around and i not in around and total[i]:
+            part = bound is not None and (tree.tag[i] in HEADINGS or (phrase[i] and chars[up] > 0))
+            whole[i] = density[i] >= threshold or part
+        wanted[i] = whole[i] or (bound is not None and i in around)
+    return wanted
 
 
 def main_text(html: str | None) -> str:
@@ -192,14 +254,12 @@ def main_text(html: str | None) -> str:
     for node, data in tree.text:
         if not tree.dropped[node]:
             chars[node] += len(data.strip())
-    wanted = [False] * len(tree.tag)
-    for i in _selected(tree, chars):
-        wanted[i] = True
+    _nested(tree, chars)
+    wanted = _selected(tree, chars)
     # The block of a node is its nearest block-level ancestor or itself; a run of
     # text goes on until the block changes or another block has come in between.
     block = [0] * len(tree.tag)
     for i in range(1, len(tree.tag)):
-        wanted[i] = wanted[i] or wanted[tree.parent[i]]
         block[i] = i if tree.tag[i] in BLOCKS else block[tree.parent[i]]
     blocks: list[list[str]] = []
     last, seen = -1, 0

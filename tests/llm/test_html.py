@@ -33,6 +33,24 @@ PAGES = {
 }
 
 
+TEASERS = "".join(f"<div><h3><a href=/t{i}>Teaser {i}</a></h3><p>Short {i}</p></div>" for i in range(9))
+REPLIES = "".join(f"<article><p>Reader {i}</p><p>{P[i % 6]}</p></article>" for i in range(12))
+INSIDE = {
+    "link list": f"<body><article><h1>A title</h1>{''.join(f'<p>{p}</p>' for p in P[:3])}<div>{MENU}</div>{''.join(f'<p>{p}</p>' for p in P[3:])}</article></body>",
+    "advert": f"<body><article><h1>A title</h1><div><div>{''.join(f'<p>{p}</p>' for p in P)}</div></div><div><p>Buy <a href=/b>now</a></p><p><a href=/c>or later</a></p></div></article></body>",
+    "teasers": f"<body><main><h1>A title</h1><div>{''.join(f'<p>{p}</p>' for p in P)}</div><div>{TEASERS}</div></main></body>",
+    "nested": f"<body><article>{ARTICLE}<section><h2>Readers say</h2>{REPLIES}</section></article></body>",
+    "nested in main": f"<body><main><article>{ARTICLE}{REPLIES}</article></main></body>",
+    "wrapper": f"<body><article><article>{ARTICLE}</article></article></body>",
+}
+
+
+@pytest.mark.parametrize("name", INSIDE)
+def test_selection_inside_article_or_main(name):
+    """Junk without a hint, inside the element that bounds the article."""
+    assert main_text(INSIDE[name]) == EXPECTED
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_article_only(name):
     assert main_text(PAGES[name]) == EXPECTED
