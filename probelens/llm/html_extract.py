@@ -11,8 +11,11 @@ Within the selection, lists below the threshold whose text is mostly links are l
 out, and so are articles nested in one with at least as much text of its own.
 
 Elements that are never article text (scripts, forms, menus, page headers and
-footers, sidebars) and elements whose class, id or role says that they are
-notices, adverts or reader comments are left out before densities are computed.
+footers, sidebars) are left out before densities are computed. So are elements whose
+class, id or role says that they are notices, adverts or reader comments, if they are
+mostly links or at most ``SMALL`` of the page's text, or named by nothing but the hint
+and beside an article or main; what holds a main or the article with the most text of
+its own stays. Ids of headings and of the article's sections are no hints.
 
 Text is split into blocks at block-level tags; character references are decoded,
 white space within a block becomes one space, and blocks are joined in page order
@@ -43,7 +46,7 @@ from probelens.llm.common import ship
 ship(__name__)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("head script style noscript template iframe object svg canvas math form button select option textarea input label fieldset nav header footer aside menu dialog audio video map".split())
+NEVER = frozenset("head script style noscript template iframe object svg canvas form button select option textarea input label fieldset nav header footer aside menu dialog audio video map".split())
 BLOCKS = frozenset("address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"} | {"form", "header", "footer", "nav", "aside", "fieldset", "menu"}
@@ -57,9 +60,12 @@ HINTS = frozenset(
     "sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_ABOUT_REPLIES = re.compile(r"^(?:user|reader)?[-_]?(?:comments?|commentlist|disqus|repl(?:y|ies)|respond|responses)$", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements that hold the article if they are there; a hint on them is no reason to drop it.
 BOUNDS = ("article", "main")
+#: Share of the page's text up to which an element with a hint is dropped.
+SMALL = 0.25
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements within a run of text, unless they hold others.
 INLINE = frozenset("a abbr b bdi bdo big br cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -67,17 +73,21 @@ INLINE = frozenset("a abbr b bdi bdo big br cite code del dfn em font i img ins
 LISTS = frozenset("dl div ol section table ul".split())
 
 
-def _unwanted(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _unwanted(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> int:
+    """3 for what is never article text; 2 for a hint alone and 1 for one among other words; ``inside`` an article or main."""
     if tag in NEVER:
-        return True
+        return 3
     if tag in ("html", "body", *BOUNDS) or not attrs:
-        return False
+        return 0
+    found = 0
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value)):
-            return True
+            return 3
         if name in ("class", "id", "role") and value and any(_hinted(word) for word in value.split()):
-            return True
-    return False
+            # The id of a heading, or of a section of the article, is often made of its title.
+            slug = name == "id" and (tag in HEADINGS or (tag == "section" and inside and not _ABOUT_REPLIES.search(value)))
+            found = found if slug else max(found, 2 if any(word.lower() in HINTS for word in value.split()) else 1)
+    return found
 
 
 def _hinted(word: str) -> bool:
@@ -91,7 +101,7 @@ class _Tree(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parent, self.tag, self.dropped = [-1], ["#page"], [False]
+        self.parent, self.tag, self.dropped, self.hinted = [-1], ["#page"], [False], [0]
         self.open = [0]
         self.text: list[tuple[int, str]] = []
 
@@ -115,7 +125,9 @@ class _Tree(HTMLParser):
         up = self.open[-1]
         self.parent.append(up)
         self.tag.append(tag)
-        self.dropped.append(self.dropped[up] or _unwanted(tag, attrs))
+        unwanted = _unwanted(tag, attrs, any(self.tag[i] in BOUNDS for i in self.open) if attrs and tag == "section" else False)
+        self.dropped.append(self.dropped[up] or unwanted == 3)
+        self.hinted.append(unwanted % 3)
         if tag in VOID:
             self.text.append((len(self.tag) - 1, "\n"))
         else:
@@ -134,6 +146,43 @@ class _Tree(HTMLParser):
         self.text.append((self.open[-1], data))
 
 
+def _heeded(tree: _Tree, chars: list[int]) -> None:
+    """Drop what a hint speaks against, where its text agrees.
+
+    It does if it is mostly links or at most ``SMALL`` of the page's text, or if the hint stands
+    alone and the page has an article or main beside it. What holds a main or the article with
+    the most text of its own stays.
+    """
+    if not any(tree.hinted):
+        return
+    n = len(tree.tag)
+    total, linked, inside, own, in_link = list(chars), [0] * n, [-1] * n, [0] * n, [False] * n
+    for i in range(1, n):
+        up = tree.parent[i]
+        inside[i] = up if tree.tag[up] == "article" else inside[up]
+        in_link[i] = in_link[up] or tree.tag[i] == "a"
+        linked[i] = chars[i] if in_link[i] else 0
+        if not in_link[i]:
+            own[i if tree.tag[i] == "article" else inside[i]] += chars[i]
+    for i in range(n - 1, 0, -1):
+        total[tree.parent[i]] += total[i]
+        linked[tree.parent[i]] += linked[i]
+    articles = [i for i in range(1, n) if tree.tag[i] == "article" and own[i]]
+    held = {max(articles, key=lambda i: (own[i], -i))} if articles else set()
+    held |= {i for i in range(1, n) if tree.tag[i] == "main" and total[i]}
+    inner = [i in held for i in range(n)]
+    for i in list(held):
+        while i > 0:
+            held.add(i)
+            i = tree.parent[i]
+    for i in range(1, n):
+        inner[i] = inner[i] or inner[tree.parent[i]]
+        beside = tree.hinted[i] == 2 and len(held) > 0 and not inner[i]
+        agreed = linked[i] * 2 > total[i] or total[i] <= SMALL * total[0] or beside
+        tree.dropped[i] = tree.dropped[i] or tree.dropped[tree.parent[i]] or (tree.hinted[i] and i not in held and agreed)
+        chars[i] = 0 if tree.dropped[i] else chars[i]
+
+
 def _nested(tree: _Tree, chars: list[int]) -> None:
     """Drop articles inside an article that has at least as much text of its own: comments, in HTML5's terms.
 
@@ -254,6 +303,7 @@ def main_text(html: str | None) -> str:
     for node, data in tree.text:
         if not tree.dropped[node]:
             chars[node] += len(data.strip())
+    _heeded(tree, chars)
     _nested(tree, chars)
     wanted = _selected(tree, chars)
     # The block of a node is its nearest block-level ancestor or itself; a run of

@@ -33,6 +33,28 @@ PAGES = {
 }
 
 
+HINTED = {
+    "slug on a heading": f"<body><article><h1 id='social-history'>A title</h1>{''.join(f'<p>{p}</p>' for p in P)}</article></body>",
+    "slugs on sections": f"<body><article><h1>A title</h1><section id='share-prices'><p>{P[0]}</p></section><section id=privacy>{''.join(f'<p>{p}</p>' for p in P[1:5])}</section><section id='related-work'><p>{P[5]}</p></section></article></body>",
+    **{f"wrapper {c}": f"<body><div class='{c}'><nav>{MENU}</nav><article>{ARTICLE}</article></div></body>" for c in ("footer-fixed", "ad-free", "menu-open", "sidebar-left")},
+    "wrapper of main": f"<body><div id='sidebar-left'><main>{ARTICLE}</main></div></body>",
+    "wrapper of text": f"<body><div class='menu-open'><div>{ARTICLE}</div></div></body>",
+    "many comments": f"<body><article>{ARTICLE}</article><div class=comments>{''.join(f'<div class=comment><p>{p}</p></div>' for p in P * 3)}</div></body>",
+    "advert longer than the article": f"<body><div class=ad>{''.join(f'<p>{p}</p>' for p in P * 2)}</div><article>{ARTICLE}</article></body>",
+    "comments as articles": f"<body><main><article>{ARTICLE}</article><div id=comments>{''.join(f'<article class=comment><p>{p}</p></article>' for p in P)}</div></main></body>",
+    "section of comments": f"<body><article>{ARTICLE}<section id=comments><p>{P[0]}</p></section></article></body>",
+}
+
+
+@pytest.mark.parametrize("name", HINTED)
+def test_hints_need_the_text_to_agree(name):
+    assert main_text(HINTED[name]) == EXPECTED
+
+
+def test_formulas_stay():
+    assert main_text(f"<article><p>{P[0]}</p><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == f"{P[0]}\n\nwhere x=2 holds"
+
+
 TEASERS = "".join(f"<div><h3><a href=/t{i}>Teaser {i}</a></h3><p>Short {i}</p></div>" for i in range(9))
 REPLIES = "".join(f"<article><p>Reader {i}</p><p>{P[i % 6]}</p></article>" for i in range(12))
 INSIDE = {
