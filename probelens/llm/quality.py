@@ -39,12 +39,14 @@ from probelens.llm.common import HAS_WORD, let, lines, staged, without, words
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-COVERED, STEPS = 0.75, 6
+#: Half of a group, the least that may be covered: any smaller group of junk or copies can be left out.
+COVERED, STEPS = 0.5, 6
 MIN_GROUP, MIN_POOL = 100, 12
 #: Groups whose estimates (21 doubles each, 4 MB in all) may be broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 20_000
-#: Least standard deviation of each statistic, in thousandths of a log unit.
-FLOORS = (100, 50, 500, 500, 500)
+#: Least standard deviation of each statistic, in thousandths of a log unit, before the consistency
+#: factor; with it they are 119, 59 and 595.
+FLOORS = (86, 43, 430, 430, 430)
 #: Square of the distance that one in a thousand normal vectors exceeds (chi-square, 5 degrees).
 CUTOFF = 20.5
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -133,6 +133,13 @@ def test_symbols_make_an_outlier_and_clean_text_none(spark):
     assert not got[1000] and all(got[i] for i in range(300))
 
 
+def test_copies_of_junk_that_are_a_third_are_outliers(spark):
+    clean = [(i, " ".join(f"w{(i * 31 + k * 17) % 997}" for k in range(60 + i % 40)), "en", "a", 0) for i in range(200)]
+    junk = [(1000 + i, " ".join(f"w{k}###" for k in range(80)), "en", "a", 0) for i in range(100)]
+    got = {r.doc_id: r.kept for r in quality.judge(edge.documents(spark, clean + junk)).collect()}
+    assert not any(got[1000 + i] for i in range(100)) and all(got[i] for i in range(200))
+
+
 # --------------------------------------------------------------------- 4
 def test_repeats_of_earlier_documents(spark, table):
     for rows in both(table):
