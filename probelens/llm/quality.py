@@ -41,7 +41,7 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Half of a group, the least that may be covered: any smaller group of junk or copies can be left out.
 COVERED, STEPS = 0.5, 6
-MIN_GROUP, MIN_POOL = 100, 12
+MIN_GROUP, MIN_POOL = 30, 12
 #: Groups whose estimates (21 doubles each, 4 MB in all) may be broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 20_000
 #: Least standard deviation of each statistic, in thousandths of a log unit, before the consistency

@@ -140,6 +140,14 @@ def test_copies_of_junk_that_are_a_third_are_outliers(spark):
     assert not any(got[1000 + i] for i in range(100)) and all(got[i] for i in range(200))
 
 
+def test_a_small_source_is_judged_by_its_own_rows(spark):
+    text = lambda i, n: " ".join(f"w{(i * 31 + k * 17) % 997}" for k in range(n))
+    long = [(i, text(i, 60 + i % 40), "en", "a", 0) for i in range(60)]
+    short = [(100 + i, text(i, 15 + i % 5), "en", "b", 0) for i in range(40)]
+    got = {r.doc_id: r.kept for r in quality.judge(edge.documents(spark, [*long, *short, (200, text(7, 90), "en", "b", 0)])).collect()}
+    assert not got.pop(200) and all(got.values())
+
+
 # --------------------------------------------------------------------- 4
 def test_repeats_of_earlier_documents(spark, table):
     for rows in both(table):
