@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probelens.llm import decontaminate, html_extract, langid, line_dedup, lm_scoring, mixing, pii, quality, simhash, suffix_dedup
+from probelens.llm import bottom_k, centroids, decontaminate, html_extract, langid, lexical_search, line_dedup, lm_scoring, mixing, pii, quality, simhash, suffix_dedup
 from probelens.llm.common import NO_ID
 
 
@@ -91,6 +91,33 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminated_pairs(_documents(spark, sf_dir), items)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and squared distance of every vector, with inertia and digest of its centroid."""
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, and what they say of their likeness."""
+    found = bottom_k.fingerprints(_documents(spark, sf_dir))
+    own = F.col("sketch")
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        bottom_k.described(own).alias("fingerprint"),
+        bottom_k.described(F.col("edited_sketch")).alias("edited_fingerprint"),
+        bottom_k.resemblance(own, F.col("edited_sketch")).alias("near_edited"),
+        bottom_k.resemblance(own, F.col("next_sketch")).alias("near_next"),
+        bottom_k.containment(own, F.col("edited_sketch")).alias("contained_edited"),
+        bottom_k.n_distinct(own).alias("n_shingles"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,5 +131,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_simhash_near_dedup,
         op10_benchmark_decontamination,
+        op11_centroid_clustering,
+        op12_lexical_search,
+        op13_document_fingerprints,
     )
 }

@@ -1,6 +1,6 @@
 """DuckDB statements of the queries that SQL can express.
 
-Ops 3 and 5 to 7 and 9 and the pipeline have none (concentration steps, span
+Ops 3, 5 to 7, 9 and 13 and the pipeline have none (concentration steps, span
 positions, a DOM, zstandard sizes, XXH64); nor has op 4, whose statement over every
 50-byte window of whole texts is too slow. Their tests compare them with brute
 force or measure held-out accuracy.
@@ -119,9 +119,67 @@ FROM shingles JOIN items USING (s) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n_item) * 0.8::DOUBLE - 1e-9)
 """
 
+_ROUND = """, a{r} AS (
+  SELECT id, arg_min(c, d * 1000 + c) AS c, min(d) AS d
+  FROM (SELECT k.id, c{r}.c, list_sum(list_transform(list_zip(k.v, c{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept k, c{r})
+  GROUP BY id
+)"""
+_MOVE = """, c{n} AS (
+  SELECT c{r}.c, coalesce(m.v, c{r}.v) AS v
+  FROM c{r} LEFT JOIN (
+    SELECT c, list(s ORDER BY i) AS v
+    FROM (SELECT a.c, i, floor(sum(k.v[i]) / count(*))::BIGINT AS s FROM kept k JOIN a{r} a USING (id), range(1, 65) t(i) GROUP BY a.c, i)
+    GROUP BY c
+  ) m USING (c)
+)"""
+_CENTROIDS = (
+    """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM kept ORDER BY sha256('2:' || vec_id), v LIMIT 40
+)"""
+    + "".join(_ROUND.format(r=r) + _MOVE.format(r=r, n=r + 1) for r in range(5))
+    + _ROUND.format(r=5)
+    + """
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 a JOIN kept USING (id) JOIN c5 ON c5.c = a.c
+"""
+)
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_LEXICAL_SEARCH = f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, t FROM (SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0
+), sizes AS (
+  SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM docs
+), asked AS (
+  SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), found AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM found, sizes GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term), sizes GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_lm_scoring": _LM_SCORING,
     "op2_source_mixing": _MIXING,
     "op8_line_dedup": _LINE_DEDUP,
     "op10_benchmark_decontamination": _DECONTAMINATION,
+    "op11_centroid_clustering": _CENTROIDS,
+    "op12_lexical_search": _LEXICAL_SEARCH,
 }
