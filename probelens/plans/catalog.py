@@ -27,11 +27,11 @@ from probelens.operators import aggregate as A
 from probelens.operators import reports as R
 from probelens.operators import summary as S
 from probelens.operators.filters import FilterSpec
-from probelens.plans.pipeline import build_from_events, clean_readings, refresh
+from probelens.plans.pipeline import build_from_csv, build_from_events, clean_readings, load_summary, refresh
+from probelens.sources import csv_ingest as I
 from probelens.sources import tables as TB
-from probelens.sources.csv_ingest import load_probe_csv
 from probelens.sources.events import EVENTS_SCHEMA, events_path, raw_text_timestamp, read_event_readings, readings_from_events
-from probelens.sources.paths import shared_dir
+from probelens.sources.paths import make_folder, qualified, shared_dir
 
 # Fixed parameters of the registered queries.
 OVERVIEW_SPEC = FilterSpec(
@@ -61,8 +61,8 @@ UPSERT_OLD_STAMP = "2024-02-01T00:00:00"
 UPSERT_NEW_STAMP = "2024-02-02T00:00:00"
 UPSERT_PARTIAL_FROM = "2024-01-20 00:00:00"  # whole days: a daily row is replaced by a full day's figure
 NO_HOUR_BAND = "24-24"  # a band that no reading hour falls into
-# Shares of the events that text_time_readings spoils, by event_id modulus.
-BAD_TIME, NO_SPEED, NO_OPERATOR = 7, 11, 13
+# Shares of the events that text_time_readings and csv_rejected_rows spoil, by event_id modulus.
+BAD_TIME, NO_SPEED, NO_OPERATOR, NO_LONGITUDE = 7, 11, 13, 17
 
 
 def settle(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -268,11 +268,14 @@ def q_summary_load_report(spark, sf_dir):
     return S.load_report(_items(spark, sf_dir, UPSERT_OLD_STAMP))
 
 
+def _events_with_id(spark, sf_dir):
+    return spark.read.schema(T.StructType([*EVENTS_SCHEMA.fields, T.StructField("event_id", T.LongType())])).parquet(events_path(sf_dir))
+
+
 def q_text_time_readings(spark, sf_dir):
     """PRJ-1, VAL-3 on raw text times, with fixed shares of bad times and missing values."""
-    events = spark.read.schema(T.StructType([*EVENTS_SCHEMA.fields, T.StructField("event_id", T.LongType())])).parquet(events_path(sf_dir))
     spoiled = lambda n: F.col("event_id") % n == 0
-    typed = readings_from_events(events, keep=("event_id",))
+    typed = readings_from_events(_events_with_id(spark, sf_dir), keep=("event_id",))
     raw = raw_text_timestamp(typed).drop("timestamp_dt")
     raw = raw.withColumns(
         {
@@ -292,13 +295,16 @@ def q_text_time_readings(spark, sf_dir):
     )
 
 
+def _write_csv(raw, path: str) -> None:
+    """Raw readings as CSV text with the declared header; columns that are absent are empty."""
+    raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in C.RAW_SCHEMA.fields]).write.option("header", True).csv(path)
+
+
 def q_csv_route_hourly(spark, sf_dir):
     """SRC-1, VAL-1, VAL-2, VAL-3: the events as raw CSV text, scanned back and aggregated."""
-    raw = raw_text_timestamp(read_event_readings(spark, sf_dir))
-    cols = [(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in C.RAW_SCHEMA.fields]
     path = _new_place(spark, "csv")
-    raw.select(*cols).write.option("header", True).csv(path)
-    return settle(A.route_delay_by_hour(A.hourly_cell_base(clean_readings(load_probe_csv(spark, path).df))))
+    _write_csv(raw_text_timestamp(read_event_readings(spark, sf_dir)), path)
+    return settle(A.route_delay_by_hour(A.hourly_cell_base(clean_readings(I.load_probe_csv(spark, path).df))))
 
 
 def _built(spark, sf_dir):
@@ -324,7 +330,7 @@ def q_build_stop_hourly(spark, sf_dir):
 
 def _refreshed(spark, sf_dir):
     root = _new_place(spark, "refresh")
-    return refresh(spark, f"{root}/curated", sf_dir=sf_dir, summary_target=f"{root}/summary", updated_at=UPSERT_OLD_STAMP)
+    return refresh(spark, f"{root}/curated", sf_dir=sf_dir, summary_root=f"{root}/summary", updated_at=UPSERT_OLD_STAMP)
 
 
 def q_refresh_summary(spark, sf_dir):
@@ -333,10 +339,63 @@ def q_refresh_summary(spark, sf_dir):
 
 
 def q_summary_load_report_by_grain(spark, sf_dir):
-    """SNK-4: the load report of a refresh, per grain (three counts each)."""
-    report = _refreshed(spark, sf_dir)["summary"]
-    rows = [(g, report[g]["success"], report[g]["failed"], report[g]["total"]) for g in S.GRAINS]
-    return spark.createDataFrame(rows, "grain string, success long, failed long, total long")
+    """SNK-4: the load report of a refresh, per grain, counted in the files it committed."""
+    return S.committed_report(spark, _refreshed(spark, sf_dir)["summary"]["path"])
+
+
+def q_summary_rejects(spark, sf_dir):
+    """SNK-4, D8: the rows a load could not store, with grain and reason."""
+    return settle(S.read_rejects(spark, _refreshed(spark, sf_dir)["summary"]["path"]))
+
+
+def q_summary_versions(spark, sf_dir):
+    """SNK-3: a full load and a load of 2024-01-20 and later, written and published; what readers see."""
+    root = _new_place(spark, "versions")
+    build_from_events(spark, sf_dir, f"{root}/curated")
+    load_summary(spark, f"{root}/curated", f"{root}/summary", UPSERT_OLD_STAMP)
+    since = F.col("aggregation_date") >= F.lit(UPSERT_PARTIAL_FROM).cast("date")
+    daily, hourly = TB.read_route_daily(spark, f"{root}/curated"), TB.read_route_hourly(spark, f"{root}/curated")
+    S.write_upsert(spark, f"{root}/summary", {"daily": S.daily_items(daily.where(since), UPSERT_NEW_STAMP), "hourly": S.hourly_items(hourly.where(since), UPSERT_NEW_STAMP)})
+    return settle(S.read_summary(spark, f"{root}/summary"))
+
+
+def _mounted(spark, folder: str) -> str:
+    """A folder under another scheme: a mount table of its own that maps to it."""
+    name = f"probelens{uuid.uuid4().hex[:12]}"
+    spark.conf.set(f"fs.viewfs.mounttable.{name}.link./store", qualified(spark, make_folder(spark, folder)))
+    return f"viewfs://{name}/store"
+
+
+def q_mounted_route_hourly(spark, sf_dir):
+    """SRC-2, SNK-2: CSV, build and read-back through a file system that is not local."""
+    store = _mounted(spark, _new_place(spark, "mounted"))
+    _write_csv(raw_text_timestamp(read_event_readings(spark, sf_dir)), f"{store}/raw")
+    build_from_csv(spark, f"{store}/raw", f"{store}/curated")
+    return settle(TB.read_route_hourly(spark, f"{store}/curated"))
+
+
+def q_mounted_summary(spark, sf_dir):
+    """SNK-2, SNK-3: a refresh and a second load through a file system that is not local."""
+    store = _mounted(spark, _new_place(spark, "mounted"))
+    refresh(spark, f"{store}/curated", sf_dir=sf_dir, summary_root=f"{store}/summary", updated_at=UPSERT_NEW_STAMP)
+    load_summary(spark, f"{store}/curated", f"{store}/summary", UPSERT_OLD_STAMP)
+    return settle(S.read_summary(spark, f"{store}/summary"))
+
+
+def q_csv_rejected_rows(spark, sf_dir):
+    """VAL-3, N1: the rows of spoiled CSV text that are dropped, counted by reason."""
+    spoiled = lambda n: F.col("event_id") % n == 0
+    raw = raw_text_timestamp(readings_from_events(_events_with_id(spark, sf_dir), keep=("event_id",)))
+    raw = raw.withColumns(
+        {
+            "Speed": F.when(spoiled(NO_SPEED), F.lit("fast")).otherwise(F.col("Speed").cast("string")),
+            "Operatorname": F.when(~spoiled(NO_OPERATOR), F.col("Operatorname")),
+            "Longitude": F.when(~spoiled(NO_LONGITUDE), F.col("Longitude")),
+        }
+    )
+    path = _new_place(spark, "csv")
+    _write_csv(raw, path)
+    return I.rejected_rows(spark, path).groupBy("reason").agg(F.count("*").alias("n_rows"), F.count("record").alias("n_records"))
 
 
 def _placed(df):
@@ -458,6 +517,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_stop_hourly": q_build_stop_hourly,
     "refresh_summary": q_refresh_summary,
     "summary_load_report_by_grain": q_summary_load_report_by_grain,
+    "summary_rejects": q_summary_rejects,
+    "summary_versions": q_summary_versions,
+    "mounted_route_hourly": q_mounted_route_hourly,
+    "mounted_summary": q_mounted_summary,
+    "csv_rejected_rows": q_csv_rejected_rows,
     "overview_by_date_in_order": q_overview_by_date_in_order,
     "overview_by_hour_in_order": q_overview_by_hour_in_order,
     "overview_kpis_from_cells": q_overview_kpis_from_cells,

@@ -471,12 +471,35 @@ FROM items GROUP BY grain"""
     ),
 }
 
+ORACLE_SQL |= {
+    "summary_rejects": _q(
+        f"""
+SELECT {_ITEM_COLS}, CASE WHEN grain = 0 THEN 'daily' ELSE 'hourly' END AS grain,
+    concat_ws(',', CASE WHEN route_id IS NULL THEN 'route_id missing' END,
+        CASE WHEN time_bucket IS NULL THEN 'time_bucket missing' END,
+        CASE WHEN operator IS NULL THEN 'operator missing' END) AS reason
+FROM (SELECT *, CASE WHEN length(time_bucket) = 10 THEN 0 ELSE 1 END AS grain FROM {_items('2024-02-01T00:00:00')} AS i) AS items
+WHERE NOT ({_VALID})"""
+    ),
+    "csv_rejected_rows": """
+WITH raw AS (
+    SELECT event_id % 11 = 0 AS speed, event_id % 13 = 0 AS operator, event_id % 17 = 0 AS longitude FROM events
+)
+SELECT concat_ws(', ', CASE WHEN longitude THEN 'Longitude missing' END, CASE WHEN speed THEN 'Speed unreadable' END,
+        CASE WHEN operator THEN 'Operatorname missing' END) AS reason,
+    count(*) AS n_rows, count(*) FILTER (WHERE speed) AS n_records
+FROM raw WHERE speed OR operator OR longitude GROUP BY ALL""",
+}
+
 # Queries that reach the same rows by another way: written tables read back,
 # CSV text, roll-ups of shared state, widget values.
 ORACLE_SQL |= {
     name: ORACLE_SQL[same]
     for name, same in {
         "csv_route_hourly": "route_delay_by_hour",
+        "mounted_route_hourly": "route_delay_by_hour",
+        "mounted_summary": "refresh_summary",
+        "summary_versions": "summary_upsert",
         "build_route_hourly": "route_delay_by_hour",
         "build_route_daily": "route_delay_daily",
         "build_stop_hourly": "stop_congestion_hourly",

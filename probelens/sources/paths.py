@@ -30,6 +30,57 @@ def inside(spark: SparkSession, path: str, other: str) -> bool:
     return a.startswith(b) or b.startswith(a)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's content; None where it does not exist."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet."""
+    fs, p = _hadoop(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move ``source`` to ``target`` in one step: readers find the old file or the new one."""
+    jvm = spark.sparkContext._jvm
+    _, src = _hadoop(spark, source)
+    _, dst = _hadoop(spark, target)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(src.toUri(), conf).rename(src, dst, how)
+
+
+def move_to_new(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a place that must not exist yet."""
+    fs, src = _hadoop(spark, source)
+    _, dst = _hadoop(spark, target)
+    if fs.exists(dst):
+        raise FileExistsError(f"output exists, write to a new place: {target}")
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+    return path
+
+
 def refuse_existing(spark: SparkSession, *paths: str) -> None:
     """A job writes to new places only, so what was there before stays readable."""
     found = [p for p in paths if exists(spark, p)]

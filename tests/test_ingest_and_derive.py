@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 
 import pytest
-from fixtures import CASES, HEADER, plan_text, write_csv
+from fixtures import CASES, HEADER, plan_text, row, write_csv
 
 from probelens.plans.pipeline import build_from_csv, clean_readings
 from probelens.sources import csv_ingest as I
@@ -67,7 +68,7 @@ def test_quality_observation_counts_all_columns(spark, tmp_path):
     d = str(tmp_path / "raw")
     write_csv(d, "part1.csv", CASES)
     out = str(tmp_path / "out")
-    report = build_from_csv(spark, d, out)
+    report = build_from_csv(spark, d, out, check_all_columns=True)
     assert report["raw_rows"] == 6
     assert report["cleaned_rows"] == 4
     assert report["null_counts"]["Speed"] == 1
@@ -84,9 +85,64 @@ def test_reordered_header_fails_whatever_columns_are_kept(spark, tmp_path):
     names[i], names[j] = names[j], names[i]
     write_csv(d, "good.csv", CASES)
     write_csv(d, "bad.csv", CASES[:1], header=",".join(names))
-    raw = I.load_probe_csv(spark, d)
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        raw.df.select("Timestamp").collect()
+    with pytest.raises(I.DataValidationError, match="bad.csv"):
+        I.load_probe_csv(spark, d)
+
+
+def test_headers_are_checked_before_any_data_is_scanned(spark, tmp_path, monkeypatch):
+    d, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    for n in range(40):
+        write_csv(d, f"good{n:02d}.csv", CASES * 50)
+    write_csv(d, "empty.csv", [], header=None)
+    write_csv(d, "cased.csv", CASES, header=HEADER.upper())
+    write_csv(d, "marked.csv", CASES, header="\ufeff" + HEADER)
+    with gzip.open(f"{d}/packed é.csv.gz", "wt") as fh:
+        fh.write(HEADER + "\n" + CASES[0] + "\n")
+    headers = list(I.file_headers(spark, d))
+    assert len(headers) == 43
+    assert {I._names(h)[0] for _, h in headers} == {"timestamp"}
+    I.check_headers(spark, d)
+    for name, header in (("short.csv", HEADER.rsplit(",", 1)[0]), ("long.csv", HEADER + ",more"), ("none.csv", CASES[0])):
+        write_csv(f"{d}/{name}.d", name, CASES, header=header)
+        monkeypatch.setattr(I, "read_raw_csv", lambda *a: pytest.fail("data was scanned"))
+        with pytest.raises(I.DataValidationError, match=name):
+            build_from_csv(spark, [d, f"{d}/{name}.d"], out)
+        monkeypatch.undo()
+
+
+def test_header_check_runs_no_job(spark, tmp_path):
+    d = str(tmp_path / "raw")
+    for n in range(3):
+        write_csv(d, f"part{n}.csv", CASES * 1000)
+    spark.sparkContext.setJobGroup("headers", "")
+    try:
+        I.check_headers(spark, d)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _metric(plan, name):
+    """The sum of a metric over the scans of an executed plan."""
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply(name).value() for i in range(leaves.size()))
+
+
+def test_rejected_rows_by_file_and_reason(spark, tmp_path):
+    d, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_csv(d, "a.csv", CASES)
+    write_csv(d, "b.csv", [row("", "x", "", "1", lon="east"), CASES[0]])
+    report = build_from_csv(spark, d, out, keep_rejected=True)
+    rows = spark.read.parquet(report["rejected_path"]).collect()
+    found = {(r["file"].rsplit("/", 1)[1], r["reason"], r["record"]) for r in rows}
+    assert found == {
+        ("a.csv", "Speed unreadable", CASES[2]),
+        ("a.csv", "Operatorname missing", None),
+        ("b.csv", "Timestamp missing, Longitude unreadable, Speed unreadable, Operatorname missing", row("", "x", "", "1", lon="east")),
+    }
+    assert report["rejected_rows"] == len(rows) == report["raw_rows"] - report["cleaned_rows"]
 
 
 def test_empty_directory_fails(spark, tmp_path):
@@ -129,8 +185,8 @@ def test_all_rows_dropped_raises(spark, tmp_path):
 def test_required_only_observation_prunes_radio_columns(spark, tmp_path):
     d = str(tmp_path / "raw")
     write_csv(d, "part1.csv", CASES)
-    full = I.load_probe_csv(spark, d)
-    lean = I.load_probe_csv(spark, d, check_all_columns=False)
+    full = I.load_probe_csv(spark, d, check_all_columns=True)
+    lean = I.load_probe_csv(spark, d)
     from probelens.operators.aggregate import hourly_cell_base
 
     def read_schema(raw):

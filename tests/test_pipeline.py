@@ -87,40 +87,27 @@ def test_date_filter_prunes_partitions(spark, built):
 
 def test_summary_load_and_upsert_idempotent(spark, built, tmp_path):
     out, _ = built
-    v1 = str(tmp_path / "summary" / "v1")
-    v2 = str(tmp_path / "summary" / "v2")
-    r1 = load_summary(spark, out, v1, updated_at="2024-02-01T00:00:00")
+    root = str(tmp_path / "summary")
+    r1 = load_summary(spark, out, root, updated_at="2024-02-01T00:00:00")
     items = S.summary_items(TB.read_route_daily(spark, out), TB.read_route_hourly(spark, out), "x")
     expected = S.load_report(items).first().asDict()
     assert {k: r1[k] for k in ("success", "failed", "total")} == expected
     assert r1["failed"] > 0  # null-route rows are set aside (D8)
-    r2 = load_summary(spark, out, v2, current=v1, updated_at="2024-02-01T00:00:00")
-    assert r2["success"] == r1["success"]
-    a, b = S.read_summary(spark, v1), S.read_summary(spark, v2)
+    r2 = load_summary(spark, out, root, updated_at="2024-02-01T00:00:00")
+    assert r2["success"] == r1["success"] and r2["version"] > r1["version"]
+    a, b = S.read_summary(spark, root, r1["version"]), S.read_summary(spark, root)
     assert a.count() == b.count() == r1["success"]
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     keys = a.groupBy("route_id", "time_bucket").count().where("count > 1").count()
     assert keys == 0
 
 
-def test_summary_never_overwrites(spark, built, tmp_path):
+def test_summary_lies_apart_from_its_inputs(spark, built, tmp_path):
     out, _ = built
-    v1 = str(tmp_path / "s" / "v1")
-    load_summary(spark, out, v1, updated_at="t0")
-    before = S.read_summary(spark, v1).count()
     daily = TB.read_route_daily(spark, out).count()
-    for target, current in (
-        (v1, None),  # exists
-        (v1, v1),
-        (f"{tmp_path}/s/./v1/", v1),
-        (f"file://{tmp_path}/s/x/../v1", v1),
-        (f"{v1}/inner", v1),
-        (f"{out}/{C.ROUTE_DAILY}", None),  # an input of every load
-        (f"file:{out}//{C.ROUTE_HOURLY}/new", None),
-    ):
-        with pytest.raises((ValueError, FileExistsError)):
-            load_summary(spark, out, target, current=current, updated_at="t1")
-    assert S.read_summary(spark, v1).count() == before
+    for root in (out, f"{out}/{C.ROUTE_DAILY}", f"file:{out}//{C.ROUTE_HOURLY}/new", f"file://{out}/x/.."):
+        with pytest.raises(ValueError, match="overlap"):
+            load_summary(spark, out, root, updated_at="t1")
     assert TB.read_route_daily(spark, out).count() == daily
 
 
@@ -134,19 +121,22 @@ def test_load_report_per_grain(spark, built, tmp_path):
 
 
 def test_only_touched_dates_are_merged(spark, built, tmp_path):
+    import os
+
     out, _ = built
-    v1, v2 = str(tmp_path / "v1"), str(tmp_path / "v2")
-    load_summary(spark, out, v1, updated_at="t0")
+    root = str(tmp_path / "v")
+    first = load_summary(spark, out, root, updated_at="t0")
+    old = S.read_summary(spark, root)
     day = S.daily_items(TB.read_route_daily(spark, out).where("aggregation_date = DATE'2024-01-09'"), "t1")
-    S.write_upsert(spark, v1, {"daily": day}, v2)
-    old, new = S.read_summary(spark, v1), S.read_summary(spark, v2)
+    second = S.write_upsert(spark, root, {"daily": day})
+    new = S.read_summary(spark, root)
     assert new.count() == old.count()
     changed = new.where("updated_at = 't1'").select("time_bucket").distinct().collect()
     assert [r[0] for r in changed] == ["2024-01-09"]
-    touched = S.upsert_layout(S._stored(spark, v1).where("bucket_date = '2024-01-09'").drop("bucket_date"), day, "upsert_dates_test")
-    from fixtures import plan_text
-
-    assert "PartitionFilters: [isnotnull(bucket_date" in plan_text(touched)
+    written = os.listdir(f"{root}/data/load={second['version']}")
+    assert [d for d in written if "=" in d] == ["bucket_date=2024-01-09"]
+    dates = S.manifest(spark, root, second["version"])["dates"]
+    assert set(dates.values()) == {first["version"], second["version"]} and dates["2024-01-09"] == second["version"]
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
@@ -225,7 +215,7 @@ def test_upsert_replaces_and_keeps(spark):
 
 def test_refresh_report(spark, tmp_path):
     out = str(tmp_path / "cur")
-    rep = refresh(spark, out, sf_dir="/root/testdata/sf0.001", summary_target=str(tmp_path / "sum" / "v1"))
+    rep = refresh(spark, out, sf_dir="/root/testdata/sf0.001", summary_root=str(tmp_path / "sum"))
     assert rep["success"] and rep["etl"]["cleaned_rows"] > 0
     assert rep["summary"]["total"] == rep["summary"]["success"] + rep["summary"]["failed"]
     with pytest.raises(ValueError):
@@ -261,7 +251,7 @@ def test_cli_success_and_failure(spark, tmp_path, capsys):
     from probelens.plans.pipeline import main
 
     out = str(tmp_path / "cli")
-    code = main(["--events-dir", "/root/testdata/sf0.001", "--out", out, "--summary-target", str(tmp_path / "sv1")])
+    code = main(["--events-dir", "/root/testdata/sf0.001", "--out", out, "--summary-root", str(tmp_path / "sv1")])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and report["success"] and report["summary"]["success"] > 0
     code = main(["--raw", str(tmp_path / "missing"), "--out", str(tmp_path / "cli2")])
