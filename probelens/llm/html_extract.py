@@ -12,10 +12,11 @@ out, and so are articles nested in one with at least as much text of its own.
 
 Elements that are never article text (scripts, forms, menus, page headers and
 footers, sidebars) are left out before densities are computed. So are elements whose
-class, id or role says that they are notices, adverts or reader comments, if they are
-mostly links or at most ``SMALL`` of the page's text, or named by nothing but the hint
-and beside an article or main; what holds a main or the article with the most text of
-its own stays. Ids of headings and of the article's sections are no hints.
+class, id or role says that they are notices, adverts, sidebars or reader comments,
+however much of the page they hold. A hint never drops the article: what holds a main,
+or the article with the most text of its own outside comments, stays, and where such an
+element is missing and a hint may be about the layout ("menu-open"), the element with the
+densest node stays. Ids of headings and of the article's sections are no hints.
 
 Text is split into blocks at block-level tags; character references are decoded,
 white space within a block becomes one space, and blocks are joined in page order
@@ -64,8 +65,14 @@ _ABOUT_REPLIES = re.compile(r"^(?:user|reader)?[-_]?(?:comments?|commentlist|dis
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements that hold the article if they are there; a hint on them is no reason to drop it.
 BOUNDS = ("article", "main")
-#: Share of the page's text up to which an element with a hint is dropped.
-SMALL = 0.25
+#: Hints that are about reader comments.
+REPLIES = frozenset("comment comments commentlist disqus replies respond responses".split())
+#: Words that make a hint before them one about the layout.
+STATES = frozenset("active closed disabled enabled fixed free off on open".split())
+#: How strongly an element's names speak: a hint among other words, alone, one about comments; never article text.
+AMONG, ALONE, REPLY, NOT_TEXT = 1, 2, 3, 4
+#: Characters outside all hinted elements that make a page's text likely to be there.
+LEAST = 80
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements within a run of text, unless they hold others.
 INLINE = frozenset("a abbr b bdi bdo big br cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -74,26 +81,32 @@ LISTS = frozenset("dl div ol section table ul".split())
 
 
 def _unwanted(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> int:
-    """3 for what is never article text; 2 for a hint alone and 1 for one among other words; ``inside`` an article or main."""
+    """``NOT_TEXT`` for what is never article text, else the strongest hint; ``inside`` an article or main."""
     if tag in NEVER:
-        return 3
+        return NOT_TEXT
     if tag in ("html", "body", *BOUNDS) or not attrs:
         return 0
     found = 0
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _HIDDEN.search(value)):
-            return 3
-        if name in ("class", "id", "role") and value and any(_hinted(word) for word in value.split()):
+            return NOT_TEXT
+        if name in ("class", "id", "role") and value:
             # The id of a heading, or of a section of the article, is often made of its title.
             slug = name == "id" and (tag in HEADINGS or (tag == "section" and inside and not _ABOUT_REPLIES.search(value)))
-            found = found if slug else max(found, 2 if any(word.lower() in HINTS for word in value.split()) else 1)
+            found = found if slug else max(found, *map(_hint, value.split()), 0)
     return found
 
 
-def _hinted(word: str) -> bool:
-    """Whether one class name is a hint: "left-sidebar" is, "no-sidebar" is not."""
+def _hint(word: str) -> int:
+    """How strongly one class name speaks: "comment-list" as reader comments, "sidebar" alone, "left-sidebar" among others, "no-sidebar" not at all."""
     parts = [p.lower() for p in _PARTS.findall(word)]
-    return any(p in HINTS and (not n or parts[n - 1] not in ("no", "non", "has", "with", "without")) for n, p in enumerate(parts))
+    found = 0
+    for n, p in enumerate(parts):
+        if p not in HINTS or (n and parts[n - 1] in ("no", "non", "has", "with", "without")):
+            continue
+        state = n + 1 < len(parts) and parts[n + 1] in STATES
+        found = max(found, AMONG if state else REPLY if p in REPLIES else ALONE if word.lower() in HINTS else AMONG)
+    return max(found, ALONE if word.lower() in HINTS - REPLIES else REPLY if word.lower() in REPLIES else 0)
 
 
 class _Tree(HTMLParser):
@@ -126,8 +139,8 @@ class _Tree(HTMLParser):
         self.parent.append(up)
         self.tag.append(tag)
         unwanted = _unwanted(tag, attrs, any(self.tag[i] in BOUNDS for i in self.open) if attrs and tag == "section" else False)
-        self.dropped.append(self.dropped[up] or unwanted == 3)
-        self.hinted.append(unwanted % 3)
+        self.dropped.append(self.dropped[up] or unwanted == NOT_TEXT)
+        self.hinted.append(unwanted % NOT_TEXT)
         if tag in VOID:
             self.text.append((len(self.tag) - 1, "\n"))
         else:
@@ -146,43 +159,79 @@ class _Tree(HTMLParser):
         self.text.append((self.open[-1], data))
 
 
-def _heeded(tree: _Tree, chars: list[int]) -> None:
-    """Drop what a hint speaks against, where its text agrees.
-
-    It does if it is mostly links or at most ``SMALL`` of the page's text, or if the hint stands
-    alone and the page has an article or main beside it. What holds a main or the article with
-    the most text of its own stays.
-    """
-    if not any(tree.hinted):
-        return
+def _held(tree: _Tree, chars: list[int]) -> tuple[set[int], list[bool]]:
+    """What holds a main, or the article with the most text of its own (outside comments), and what lies in them."""
     n = len(tree.tag)
-    total, linked, inside, own, in_link = list(chars), [0] * n, [-1] * n, [0] * n, [False] * n
+    total, inside, own, in_link, reply = list(chars), [-1] * n, [0] * n, [False] * n, [False] * n
     for i in range(1, n):
         up = tree.parent[i]
         inside[i] = up if tree.tag[up] == "article" else inside[up]
         in_link[i] = in_link[up] or tree.tag[i] == "a"
-        linked[i] = chars[i] if in_link[i] else 0
+        reply[i] = reply[up] or tree.hinted[i] == REPLY
         if not in_link[i]:
             own[i if tree.tag[i] == "article" else inside[i]] += chars[i]
     for i in range(n - 1, 0, -1):
         total[tree.parent[i]] += total[i]
-        linked[tree.parent[i]] += linked[i]
     articles = [i for i in range(1, n) if tree.tag[i] == "article" and own[i]]
+    articles = [i for i in articles if not reply[i]] or articles
     held = {max(articles, key=lambda i: (own[i], -i))} if articles else set()
     held |= {i for i in range(1, n) if tree.tag[i] == "main" and total[i]}
     inner = [i in held for i in range(n)]
+    for i in range(1, n):
+        inner[i] = inner[i] or inner[tree.parent[i]]
     for i in list(held):
         while i > 0:
             held.add(i)
             i = tree.parent[i]
+    return held, inner
+
+
+def _heeded(tree: _Tree, chars: list[int]) -> None:
+    """Drop what a hint speaks against, whatever its size; the article is never dropped.
+
+    What holds a main or the article stays. Of the outermost other elements with a hint the one
+    that holds the densest node stays, and those in it are tried in turn, where the hint may be
+    about the layout: if it is one word among others and the page has no article or main, if it
+    stands alone and next to nothing is outside, or if nothing at all is.
+    """
+    if not any(tree.hinted):
+        return
+    n = len(tree.tag)
+    held, inner = _held(tree, chars)
+    hint = [0 if i in held else tree.hinted[i] for i in range(n)]
+    plain = [True] * n
     for i in range(1, n):
-        inner[i] = inner[i] or inner[tree.parent[i]]
-        beside = tree.hinted[i] == 2 and len(held) > 0 and not inner[i]
-        agreed = linked[i] * 2 > total[i] or total[i] <= SMALL * total[0] or beside
-        tree.dropped[i] = tree.dropped[i] or tree.dropped[tree.parent[i]] or (tree.hinted[i] and i not in held and agreed)
+        plain[i] = plain[tree.parent[i]] and tree.tag[i] != "a" and tree.tag[i] not in HEADINGS
+    while True:
+        outer = [0] * n
+        for i in range(1, n):
+            outer[i] = outer[tree.parent[i]] or (i if hint[i] else 0)
+        rest = sum(chars[i] for i in range(n) if plain[i] and not outer[i] and (inner[i] or not held))
+        may_stay = {AMONG: not held or not rest, ALONE: not rest or (not held and rest < LEAST), REPLY: not rest}
+        tried = [bool(outer[i]) and may_stay[hint[outer[i]]] for i in range(n)]
+        if not any(tried):
+            break
+        trial = _Trial(tree, [False] * n)
+        for i in range(1, n):
+            below = hint[i] and outer[i] != i
+            trial.dropped[i] = trial.dropped[tree.parent[i]] or tree.dropped[i] or below or (bool(outer[i]) and not tried[i])
+        left = [0 if d else c for c, d in zip(chars, trial.dropped, strict=True)]
+        best = _densest(trial, left, *_densities(trial, left))
+        if not outer[best]:
+            break
+        hint[outer[best]] = 0
+    for i in range(1, n):
+        tree.dropped[i] = tree.dropped[i] or tree.dropped[tree.parent[i]] or bool(hint[i])
         chars[i] = 0 if tree.dropped[i] else chars[i]
 
 
+class _Trial:
+    """A tree with other elements dropped."""
+
+    def __init__(self, tree: _Tree, dropped: list[bool]) -> None:
+        self.tag, self.parent, self.dropped = tree.tag, tree.parent, dropped
+
+
 def _nested(tree: _Tree, chars: list[int]) -> None:
     """Drop articles inside an article that has at least as much text of its own: comments, in HTML5's terms.
 
@@ -255,6 +304,12 @@ def _densities(tree: _Tree, chars: list[int]) -> tuple[list[float], list[float],
     return density, sums, total, linked, phrase
 
 
+def _densest(tree, chars, density, sums, total, linked, phrase) -> int:
+    """The node with the largest density sum; the first of equal ones, the page itself if there is none."""
+    nodes = [i for i in range(1, len(tree.tag)) if not tree.dropped[i] and total[i]]
+    return max(nodes, key=lambda i: (sums[i], density[i] if phrase[i] else 0.0, -i), default=0)
+
+
 def _selected(tree: _Tree, chars: list[int]) -> list[bool]:
     """Whether a node's own text belongs to the article."""
     density, sums, total, linked, phrase = _densities(tree, chars)
@@ -265,7 +320,7 @@ def _selected(tree: _Tree, chars: list[int]) -> list[bool]:
     if not nodes:
         wanted[0] = bool(total[0])
         return wanted
-    best = max(nodes, key=lambda i: (sums[i], density[i] if phrase[i] else 0.0, -i))
+    best = _densest(tree, chars, density, sums, total, linked, phrase)
     path = [best]
     while path[-1] not in (0, *bodies):
         path.append(tree.parent[path[-1]])

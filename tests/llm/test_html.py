@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import math
 import os
+import random
 import re
 import sys
 from collections import Counter
@@ -57,6 +59,122 @@ def test_formulas_stay():
 
 TEASERS = "".join(f"<div><h3><a href=/t{i}>Teaser {i}</a></h3><p>Short {i}</p></div>" for i in range(9))
 REPLIES = "".join(f"<article><p>Reader {i}</p><p>{P[i % 6]}</p></article>" for i in range(12))
+
+
+def _layout(name, said):
+    """A page of six paragraphs and ``said`` comments, in one of the usual layouts."""
+    items = [f"<li><p>Reader {i} says: {P[i % 6]}</p></li>" for i in range(said)]
+    flat = "".join(f"<div class=comment><p>Reader {i} says: {P[i % 6]}</p></div>" for i in range(said))
+    return {
+        "list in article": f"<body><article>{ARTICLE}<ol id='comments'>{''.join(items)}</ol></article></body>",
+        "section in article": f"<body><article>{ARTICLE}<section class='comments'>{flat}</section></article></body>",
+        "main": f"<body><nav>{MENU}</nav><main>{ARTICLE}<div class='comments'>{flat}</div></main></body>",
+        "beside": f"<body><div id='content'>{ARTICLE}</div><div id='comments'>{flat}</div></body>",
+        "wrapper": f"<body><div class='page'>{ARTICLE}<div class='comment-list'>{flat}</div></div></body>",
+        "layout wrapper": f"<body><div class='comments-open'><div>{ARTICLE}</div><div id='disqus_thread'>{flat}</div></div><p>All rights reserved.</p></body>",
+    }[name]
+
+
+@pytest.mark.parametrize("said", [1, 2, 3, 5, 9, 60])
+@pytest.mark.parametrize("name", ["list in article", "section in article", "main", "beside", "wrapper", "layout wrapper"])
+def test_comments_go_whatever_their_share(name, said):
+    assert main_text(_layout(name, said)) == EXPECTED
+
+
+def test_other_hints_of_any_size():
+    short = f"<body><article><p>{P[0]}</p><div class='promo-box'><p>{P[1]}</p><p>{P[2]}</p></div></article></body>"
+    assert main_text(short) == P[0]
+    side = f"<body><div class=sidebar>{''.join(f'<p>{p}</p>' for p in P * 2)}</div><div>{ARTICLE}</div></body>"
+    assert main_text(side) == EXPECTED
+    # A page that is nothing else is kept.
+    assert main_text(f"<body><div class=widget>{ARTICLE}</div><p>Imprint</p></body>") == EXPECTED
+    assert main_text(f"<body><div id=comments>{ARTICLE}</div></body>") == EXPECTED
+
+
+# ------------------------------------------- density alone, by brute force
+def _random_page(rng):
+    """Nested divs with paragraphs and links: no article, no hint, no list."""
+
+    def node(depth):
+        kids = []
+        for _ in range(rng.randint(1, 4)):
+            if depth and rng.random() < 0.6:
+                kids.append(node(depth - 1))
+            else:
+                said = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 90)))
+                linked = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 30))) if rng.random() < 0.4 else ""
+                kids.append(("p", [said] + ([("a", [linked])] if linked else [])))
+        return ("div", kids)
+
+    return ("body", [node(3) for _ in range(rng.randint(1, 3))])
+
+
+def _markup(node):
+    return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(_markup, node[1]))}</{node[0]}>"
+
+
+def _measure(node, in_link=False):
+    """(characters, characters in links, tags below, links below) of a node, by recursion."""
+    if isinstance(node, str):
+        return len(node), len(node) * in_link, 0, 0
+    parts = [_measure(k, in_link or node[0] == "a") for k in node[1]]
+    below = [k for k in node[1] if not isinstance(k, str)]
+    return sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts) + len(below), sum(p[3] for p in parts) + sum(k[0] == "a" for k in below)
+
+
+def _brute_selection(page):
+    c0, l0, _, _ = _measure(page)
+
+    def density(node):
+        c, lc, t, lt = _measure(node)
+        base = math.log(c / max(1, c - lc) * lc + l0 / c0 * c + math.e)
+        t, lc, lt = max(1, t), max(1, lc), max(1, lt)
+        return c / t * (math.log(c * t / (lc * lt)) / math.log(base) if base > 1 + 1e-9 else 1.0)
+
+    def total(node):
+        return density(node) if node[0] == "p" else sum(density(k) for k in node[1])
+
+    found = []
+
+    def walk(node, path):
+        found.append((total(node), node, path))
+        for k in node[1]:
+            if not isinstance(k, str) and k[0] != "a":
+                walk(k, [*path, node])
+
+    walk(page, [])
+    best = max(found, key=lambda f: f[0])  # the first in page order
+    threshold = min(density(n) for n in [best[1], *best[2]])
+    taken = [best[1]] if best[1][0] == "body" or not best[2] else [k for k in best[2][-1][1] if k is best[1] or density(k) >= threshold]
+    out = []
+
+    def texts(node):
+        if node[0] == "p":
+            out.append("".join(k if isinstance(k, str) else k[1][0] for k in node[1]))
+        elif not (node is not best[1] and node in taken_lists and density(node) < threshold):
+            for k in node[1]:
+                texts(k)
+
+    def mostly_links(node):
+        c, lc, _, _ = _measure(node)
+        return node[0] == "div" and lc * 2 > c
+
+    taken_lists = [n for _, n, _ in found if mostly_links(n)]
+    for node in taken:
+        texts(node)
+    return "\n\n".join(out)
+
+
+def test_density_alone_against_brute_force():
+    rng, cut = random.Random(11), 0
+    for _ in range(400):
+        page = _random_page(rng)
+        got = main_text(_markup(page))
+        assert got == _brute_selection(page)
+        cut += len(got.replace("\n", "")) < _measure(page)[0]
+    assert cut > 200  # the selection decides
+
+
 INSIDE = {
     "link list": f"<body><article><h1>A title</h1>{''.join(f'<p>{p}</p>' for p in P[:3])}<div>{MENU}</div>{''.join(f'<p>{p}</p>' for p in P[3:])}</article></body>",
     "advert": f"<body><article><h1>A title</h1><div><div>{''.join(f'<p>{p}</p>' for p in P)}</div></div><div><p>Buy <a href=/b>now</a></p><p><a href=/c>or later</a></p></div></article></body>",
