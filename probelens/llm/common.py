@@ -87,8 +87,13 @@ def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Co
     return df.withColumnsRenamed(clash), [F.col(f"`{clash.get(c, c)}`").alias(c) for c in df.columns]
 
 
+def identity(*columns: Column | str) -> Column:
+    """128 bits that stand for the values: two hashes, so that no two of 10^10 texts share them by chance."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(7), *columns).alias("b"))
+
+
 def row_key(df: DataFrame) -> Column:
-    """A hash over all columns of a row; which of them are null counts too."""
+    """128 bits over all columns of a row; which of them are null counts too."""
     columns = [F.col(f"`{c}`") for c in df.columns]
     plain = [F.to_json(F.struct(c)) if "map<" in kind or kind in ("void", "variant") else c for c, (_, kind) in zip(columns, df.dtypes, strict=True)]
-    return F.xxhash64(*plain, F.concat(*[c.isNull().cast("string") for c in columns]))
+    return identity(*plain, F.concat(*[c.isNull().cast("string") for c in columns]))

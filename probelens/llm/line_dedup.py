@@ -1,7 +1,8 @@
 r"""Line deduplication by site-relative frequency.
 
 A line is boilerplate on a host when it stands on more than ``ratio`` of the
-host's pages. Pages are the host's distinct texts, so exact copies of one page
+host's pages, and on ``min_seen`` different ones at least: a guard against chance
+(and against a few near copies of one page) that holds for hosts of every size. Pages are the host's distinct texts, so exact copies of one page
 count once and do not turn its content into boilerplate; lines are compared
 after trimming ASCII white space.
 
@@ -12,9 +13,8 @@ a hot host or a line that stands on every page is pre-aggregated in each task.
 The boilerplate hashes are gathered per page (never per host) and joined to the
 documents on the page hash; the join can be split when one page has many copies.
 
-Defined cases: a null host or null text is left as it is; hosts with fewer than
-``min_pages`` distinct pages have no meaningful ratio and are left as they are;
-lines without a word are kept; a page whose every line is dropped keeps an empty
+Defined cases: a null host or null text is left as it is; a host with fewer than
+``min_seen`` distinct pages can have no boilerplate; lines without a word are kept; a page whose every line is dropped keeps an empty
 text; an empty table gives an empty result. Input columns named as result
 columns are replaced by them.
 """
@@ -24,29 +24,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probelens.llm.common import HAS_WORD, lines, staged, without
+from probelens.llm.common import HAS_WORD, identity, lines, staged, without
 
 BLANKS = " \t\n\u000b\f\r"
 RESULT = ("n_lines", "n_dropped")
-RATIO = 0.1
-MIN_PAGES = 20
+RATIO = 0.02
+MIN_SEEN = 5
 
 
 def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(BLANKS)))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_seen: int = MIN_SEEN) -> DataFrame:
     """``docs`` with ``text`` cleaned, plus n_lines and n_dropped (lines of the input text)."""
     docs = without(docs, *RESULT)
-    page = F.xxhash64(F.col(host), F.col(text))
+    page = identity(F.col(host), F.col(text))
     spoken = F.filter(lines(F.col(text)), lambda x: x.rlike(HAS_WORD))
     usable = docs.where(F.col(host).isNotNull() & F.col(text).isNotNull())
     on_page = staged(usable.select(F.col(host).alias("host"), page.alias("page"), F.explode_outer(F.array_distinct(F.transform(spoken, _line_hash))).alias("line")).distinct())
 
     pages = on_page.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     seen = on_page.where("line is not null").groupBy("host", "line").agg(F.count("*").alias("seen"))
-    common = seen.join(pages, "host").where((F.col("pages") >= min_pages) & (F.col("seen") > F.col("pages") * F.lit(ratio))).select("host", "line")
+    common = seen.join(pages, "host").where((F.col("seen") >= min_seen) & (F.col("seen") > F.col("pages") * F.lit(ratio))).select("host", "line")
     # Written, so that the join below shuffles both sides and the copies of one page can be split.
     drops = staged(on_page.join(common, ["host", "line"]).groupBy("page").agg(F.collect_set("line").alias("__drops")))
 

@@ -89,7 +89,7 @@ WITH pages AS (
   WHERE {_HAS_WORD} GROUP BY ALL
 ), common AS (
   SELECT source, list(line) AS drops FROM seen JOIN totals USING (source)
-  WHERE pages >= 20 AND seen > pages * 0.1::DOUBLE GROUP BY source
+  WHERE seen >= 5 AND seen > pages * 0.02::DOUBLE GROUP BY source
 ), cut AS (
   SELECT d.*, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
          list_filter(string_split(text, chr(10)), lambda l: NOT ({_HAS_WORD} AND list_contains(coalesce(drops, []), {_TRIMMED}))) AS kept
@@ -104,15 +104,15 @@ _DECONTAMINATION = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE text IS NOT NULL
 ), items AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words)
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, least(len(w), 5) AS k FROM item_words WHERE len(w) > 0))
 ), sizes AS (
   SELECT item_id, count(*) AS n_item FROM items GROUP BY item_id
 ), doc_words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL
 ), shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words)
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, (SELECT DISTINCT k FROM items))
 )
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item, count(*) / any_value(n_item) AS containment
 FROM shingles JOIN items USING (s) JOIN sizes USING (item_id)

@@ -116,7 +116,7 @@ def components(prints, radius=4):
     return [root(i) for i in range(len(prints))]
 
 
-def boilerplate(rows, ratio=0.1, min_pages=20):
+def boilerplate(rows, ratio=0.02, min_seen=5):
     """Texts of (host, text) rows without the lines on over ``ratio`` of the host's distinct texts."""
     pages = defaultdict(set)
     for host, text in rows:
@@ -125,25 +125,26 @@ def boilerplate(rows, ratio=0.1, min_pages=20):
     out = []
     seen = {h: Counter(x for t in p for x in {y.strip(BLANK) for y in t.split("\n")} if x) for h, p in pages.items()}
     for host, text in rows:
-        if host is None or text is None or len(pages[host]) < min_pages:
+        if host is None or text is None:
             out.append(text)
             continue
         limit = len(pages[host]) * ratio
-        out.append("\n".join(x for x in text.split("\n") if not x.strip(BLANK) or seen[host][x.strip(BLANK)] <= limit))
+        out.append("\n".join(x for x in text.split("\n") if not x.strip(BLANK) or seen[host][x.strip(BLANK)] <= limit or seen[host][x.strip(BLANK)] < min_seen))
     return out
 
 
 def leaks(texts, items, threshold=0.8):
     """(text number, item number) pairs by comparing every text with every item."""
 
-    def shingles(t):
+    def shingles(t, n=5):
         w = words((t or "").lower())
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
 
-    sets = [shingles(t) for t in items]
+    sets = [shingles(t, max(1, min(5, len(words(t))))) for t in items]
+    short = {len(next(iter(s))) for s in sets if s}
     out = set()
     for n, t in enumerate(texts):
-        has = shingles(t)
+        has = set().union(*[shingles(t, n) for n in short])
         out |= {(n, k) for k, s in enumerate(sets) if s and len(s & has) >= threshold * len(s) - 1e-9}
     return out
 
