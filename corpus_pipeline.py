@@ -25,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop lines that stand on more than a tenth of their source's documents."""
+    """Drop lines that stand on over a fiftieth of their source's pages, five at least."""
     rest, columns = set_aside(docs, line_dedup.RESULT)
     cleaned = line_dedup.drop_boilerplate(rest)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
