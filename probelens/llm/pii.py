@@ -1,30 +1,40 @@
 r"""Information-theoretic sanitisation of personal data.
 
 Personal data of fixed form (e-mail, IP, card and phone numbers) are found by
-patterns. The values found are the entities to protect. A term that keeps
-company with an entity can give it away although the entity itself is masked, so
-the corpus is asked how strongly: with lines as contexts, the pointwise mutual
-information of entity ``e`` and term ``t`` over the information content of ``e``,
-
+patterns. The values found are the entities to protect. A name that keeps company
+with an entity can give it away although the entity itself is masked, also in a
+document that never mentions the entity. The corpus is asked how strongly. A term
+stands beside an entity where it is on the entity's line, the line before or the
+line after (a signature block). Over documents, with ``n(e)`` that hold the entity,
+``n(t)`` that hold the term anywhere and ``n(e, t)`` where it stands beside it,
+
+    p(e | t)         = (n(e, t) + PRIOR * p(e)) / (n(t) + PRIOR)
     disclosure(e, t) = log(p(e | t) / p(e)) / log(1 / p(e)),
 
-is 1 when the term always stands beside the entity and near 0 when it is
-independent of it. A term whose disclosure reaches ``DISCLOSURE``, on
-``MIN_SUPPORT`` different lines at least, is sanitised in every document that
-holds the entity: a term with a digit is removed, any other generalised to
-``[TERM]``. One or two lines tell nothing about a term, and copies of one line
-count as one, so a term is never condemned for a single text and its copies.
-
-Plan: patterns run once per text. Only lines of texts with an entity are
-exploded for entities, and only entities on ``MIN_SUPPORT`` different lines meet
-terms. Term frequencies are counted over every line of the corpus, pre-aggregated
-in each task. All joins are on entity, term or text hash, and can be split where
-one of them is hot; texts are joined only to a list of their own terms.
+the pointwise mutual information over the information content of the entity. The
+prior shrinks what is known from few documents towards independence. A term gives
+the entity away when its disclosure reaches ``DISCLOSURE`` and ``p(e | t)`` reaches
+``CERTAINTY``: a word that is used elsewhere fails. So does a term that is explained
+by the template that entities of a kind share ("Mail:", "Tel."): of the documents where
+it stands beside any entity of the kind, less than ``SHARED`` have it beside this one.
+Candidates are names and codes: terms that start with a capital or a letter of a
+script without case, or hold a digit. Words that are written small are never hidden.
+
+A term that gives any entity away is sanitised in every document of the corpus: a
+term with a digit is removed, any other generalised to ``[TERM]``.
+
+Plan: patterns run once per text, and once more on the lines of texts with an
+entity. Only these texts give pairs. The corpus is cut into terms twice, each time
+against a small table in the same stage (candidates, to count ``n(t)`` with a partial
+aggregation; then the terms that give something away, to find who holds them); the
+tables' rows are counted, up to ``BROADCAST_ROWS`` they are broadcast and beyond that
+joined by shuffling. Neither is run where no text has an entity. Places of terms are
+found by cutting the few texts that hold one, not by patterns made of terms.
 
 Defined cases: a null or empty text has no spans; matches that fail their check
-are dropped without a retry; a term inside a pattern's span adds no span of its
-own; repeated rows agree; an empty table gives an empty result. Input columns
-named as result columns are replaced by them.
+are dropped without a retry; a term that overlaps a pattern's span adds no span of
+its own; repeated rows count each and agree; an empty table gives an empty result.
+Input columns named as result columns are replaced by them.
 """
 
 from __future__ import annotations
@@ -32,10 +42,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probelens.llm.common import let, staged, without
+from probelens.llm.common import identity, let, staged, without
 
-DISCLOSURE = 0.9
-MIN_SUPPORT = 3
+DISCLOSURE, CERTAINTY, SHARED, PRIOR = 0.5, 0.4, 0.9, 0.5
+#: Terms that may be broadcast: some 32 bytes each, 32 MB.
+BROADCAST_ROWS = 1_000_000
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Each pattern finds what its plain form finds; the look-behind (or the end of
 #: the match before) and the possessive loops only keep long runs linear.
@@ -48,7 +59,11 @@ PATTERNS = {
 #: A character without which a pattern cannot match, where there is one.
 NEEDS = {"email": "@", "phone": "+"}
 _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
+_TERM = r"[\p{L}\p{N}]+"
 _TERM_GAP = r"[^\p{L}\p{N}]+"
+#: Two characters at least, and a name or a code by its looks.
+_NAME = r"^(?=..)(?:[\p{Lu}\p{Lt}\p{Lo}]|.*\p{N})"
+_STEP = 256
 RESULT = ("base_spans", "all_spans", "n_email", "n_ip", "n_card", "n_phone", "sanitised")
 
 
@@ -83,15 +98,29 @@ def _possible(kind: str, text: Column) -> Column:
     return F.contains(text, F.lit(NEEDS[kind])) & pattern if kind in NEEDS else pattern
 
 
+def _running(lengths: Column, begin: Column) -> Column:
+    """The sums of what comes before each length, from ``begin``."""
+    step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+    return F.aggregate(lengths, F.struct(begin.cast("int").alias("at"), F.array().cast("array<int>").alias("out")), step, lambda a: a["out"])
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of what comes before each length, in steps: an array grows within a step only."""
+    steps = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / F.lit(_STEP)).cast("int"))
+    part = lambda c: F.slice(lengths, c * _STEP + 1, _STEP)
+    sums = F.transform(steps, lambda c: F.aggregate(part(c), F.lit(0), lambda a, x: a + x))
+    return let(_running(sums, F.lit(0)), lambda begins: F.flatten(F.transform(steps, lambda c: _running(part(c), F.get(begins, c)))))
+
+
 def _placed(text: Column, pattern: Column, matches: Column) -> Column:
     """(start, end, value) of matches, from the lengths of what lies between them."""
 
     def cut(gaps: Column, got: Column) -> Column:
-        # What a lambda's struct holds is one value, so both arrays are evaluated once.
-        step = lambda a, k: F.struct((a["at"] + F.length(F.get(gaps, k)) + F.length(F.get(got, k))).alias("at"), F.concat(a["starts"], F.array(a["at"] + F.length(F.get(gaps, k)))).alias("starts"))
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-        starts = F.aggregate(F.sequence(F.lit(0), F.size(got) - 1), begin, step, lambda a: a["starts"])
-        return let(starts, lambda s: F.transform(s, lambda x, k: F.struct(x.alias("start"), (x + F.length(F.get(got, k))).alias("end"), F.get(got, k).alias("value"))))
+        # A match and the gap before it are one step; a match starts behind its gap.
+        lengths = F.transform(got, lambda x, k: F.length(F.get(gaps, k)) + F.length(x))
+        begins = let(lengths, _starts)
+        start = lambda s, k: s + F.length(F.get(gaps, k))
+        return F.transform(begins, lambda s, k: F.struct(start(s, k).alias("start"), (start(s, k) + F.length(F.get(got, k))).alias("end"), F.get(got, k).alias("value")))
 
     return let(F.struct(F.split(text, pattern, -1).alias("gaps"), matches.alias("got")), lambda x: cut(x["gaps"], x["got"]))
 
@@ -135,38 +164,53 @@ def _without_matches(line: Column) -> Column:
     return line
 
 
-def revealing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = DISCLOSURE, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(entity, term) whose disclosure reaches the threshold.
+def _beside(holders: DataFrame) -> DataFrame:
+    """(id, times, entities, near) of each line with an entity: its entities and the names near it."""
+    lines = F.split("text", "\n")
+    at = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.array_contains(F.array(*[_possible(k, F.get("lines", i)) for k in PATTERNS]), True))
+    around = F.transform(at, lambda i: F.struct(F.get("lines", i).alias("line"), F.concat_ws("\n", F.slice("lines", F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3))).alias("window")))
+    rows = holders.select("id", "times", lines.alias("lines")).select("id", "times", F.explode(around).alias("x")).select("id", "times", "x.line", "x.window")
+    found = rows.select("id", "times", "window", F.array_distinct(F.transform(base_spans(F.col("line")), _entity)).alias("entities")).where(F.size("entities") > 0)
+    names = F.filter(F.split(_without_matches(F.col("window")), _TERM_GAP), lambda x: x.rlike(_NAME))
+    return found.select("id", "times", "entities", F.array_distinct(F.transform(names, lambda x: F.lower(x))).alias("near"))
+
 
-    ``texts`` has every text of the corpus (text), ``holders`` those with an entity.
+def _small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def revealing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = DISCLOSURE, certainty: float = CERTAINTY, shared: float = SHARED, prior: float = PRIOR) -> DataFrame:
+    """(term, disclosure) of every term that gives an entity away, with the highest value it has for one.
+
+    ``texts`` has every row of the corpus (text), ``holders`` the different texts
+    with an entity (id, text, times: rows that have it).
     """
-    every_line = texts.where("text is not null").select(F.explode(F.split("text", "\n")).alias("line"))
-    beside = holders.select(F.explode(F.split("text", "\n")).alias("line")).select("line", F.array_distinct(F.transform(base_spans(F.col("line")), _entity)).alias("entities")).where(F.size("entities") > 0)
-    lines = staged(beside.groupBy("line").agg(F.count("*").alias("times"), F.first("entities").alias("entities")).withColumn("id", F.xxhash64("line")))
-    met = lines.select("id", "times", "line", F.explode("entities").alias("entity"))
-    known = met.groupBy("entity").agg(F.count("*").alias("lines"), F.sum("times").alias("c_e")).where(F.col("lines") >= min_support)
-    pairs = met.join(known, "entity").select("entity", "c_e", "times", F.explode(_terms(_without_matches(F.col("line")))).alias("term"))
-    pairs = pairs.groupBy("entity", "c_e", "term").agg(F.count("*").alias("lines"), F.sum("times").alias("c_et")).where(F.col("lines") >= min_support)
-    # The empty term stands for every line.
-    counted = F.concat(_terms(F.col("line")), F.array(F.lit("")))
-    counts = staged(every_line.select(F.explode(counted).alias("term")).groupBy("term").agg(F.count("*").alias("c_t")))
-    total = counts.where("term = ''").select("c_t").first()
-    n = F.lit(float(total["c_t"] if total else 1))
-    share = F.log(F.col("c_et") * n / (F.col("c_t") * F.col("c_e")))
-    certain = F.log(n / F.col("c_e"))
-    return pairs.join(counts, "term").where((certain > 0) & (share >= certain * F.lit(disclosure))).select("entity", "term")
+    beside = staged(_beside(holders))
+    by_entity = beside.select("id", "times", F.explode("entities").alias("entity"), "near")
+    c_e = by_entity.select("id", "times", "entity").distinct().groupBy("entity").agg(F.sum("times").alias("c_e"))
+    near = by_entity.select("id", "times", "entity", F.substring_index("entity", ":", 1).alias("kind"), F.explode("near").alias("term"))
+    met = staged(near.distinct().groupBy("entity", "kind", "term").agg(F.sum("times").alias("c_et")))
+    company = near.drop("entity").distinct().groupBy("kind", "term").agg(F.sum("times").alias("c_kt"))
+    candidates = staged(met.select("term").distinct())
+    held = texts.where("text is not null").select(F.explode(_terms(F.col("text"))).alias("term"))
+    c_t = held.join(_small(candidates), "term").groupBy("term").agg(F.count("*").alias("c_t"))
+    n = F.lit(float(max(1, texts.where("text is not null").count())))
+
+    known = met.join(c_t, "term").join(c_e, "entity").join(company, ["term", "kind"])
+    p_e = F.col("c_e") / n
+    p = (F.col("c_et") + F.lit(prior) * p_e) / (F.col("c_t") + F.lit(prior))
+    own = F.col("c_et") >= F.lit(shared) * F.col("c_kt")
+    scored = known.where((p_e < 1) & own).select("term", p.alias("p"), (F.log(p / p_e) / F.log(F.lit(1.0) / p_e)).alias("disclosure"))
+    return scored.where((F.col("p") >= certainty) & (F.col("disclosure") >= disclosure)).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Spans of the listed terms outside the pattern spans."""
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.sort_array(terms, False), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-
-    def outside(p: Column) -> Column:
-        placed = F.when(F.regexp_like(text, p), _placed(text, p, F.regexp_extract_all(text, p, F.lit(0))))
-        free = F.filter(placed, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        return F.transform(free, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
-
-    return F.when(terms.isNotNull(), F.coalesce(let(pattern, outside), _no_spans())).otherwise(_no_spans())
+    placed = _placed(text, F.lit(_TERM), F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)))
+    mine = F.filter(placed, lambda s: F.array_contains(terms, F.lower(s["value"])))
+    free = F.filter(mine, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    shaped = F.transform(free, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+    return F.when(terms.isNotNull(), shaped).otherwise(_no_spans())
 
 
 def _masked(text: Column, spans: Column) -> Column:
@@ -181,18 +225,27 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with base_spans, all_spans (structs), counts per kind and the sanitised text."""
-    found = staged(docs.select("text").where("text is not null").select("text", base_spans(F.col("text")).alias("base")).where(F.size("base") > 0).select(F.xxhash64("text").alias("id"), "text", "base"))
-    revealing = revealing_terms(docs.select("text"), found.select("text"), **options)
-    own = found.select("id", F.explode(F.transform("base", _entity)).alias("entity")).distinct()
-    to_hide = own.join(revealing, "entity").groupBy("id").agg(F.collect_set("term").alias("terms"))
-    spans = found.dropDuplicates(["id"]).join(to_hide, "id", "left").select("id", "base", _term_spans(F.col("text"), F.col("terms"), F.col("base")).alias("added"))
+    texts = docs.select("text").where("text is not null")
+    found = texts.select("text", base_spans(F.col("text")).alias("base")).where(F.size("base") > 0)
+    found = staged(found.groupBy(identity("text").alias("id")).agg(F.count("*").alias("times"), F.first("text").alias("text"), F.first("base").alias("base")))
+    marks = found.select("id", "base", F.lit(None).cast("array<string>").alias("terms"))
+    if not found.isEmpty():
+        terms = staged(revealing_terms(texts, found.select("id", "text", "times"), **options).select("term"))
+        hold = texts.select(identity("text").alias("id"), F.explode(_terms(F.col("text"))).alias("term")).join(_small(terms), "term")
+        own = hold.distinct().groupBy("id").agg(F.collect_list("term").alias("terms"))
+        both = marks.unionByName(own.select("id", F.lit(None).cast(marks.schema["base"].dataType).alias("base"), "terms"))
+        marks = both.groupBy("id").agg(F.first("base", ignorenulls=True).alias("base"), F.first("terms", ignorenulls=True).alias("terms"))
     # Written, so that the join below shuffles both sides and the copies of one text can be split.
-    spans = staged(spans)
-
-    kept = without(docs, *RESULT, "__id")
-    keyed = kept.withColumn("__id", F.xxhash64("text")).join(spans.withColumnRenamed("id", "__id"), "__id", "left")
-    base, added = F.coalesce("base", _no_spans()), F.coalesce("added", _no_spans())
-    of_kind = lambda n: F.filter(base, lambda s: s["kind"] == n)
+    marks = staged(marks)
+
+    kept = without(docs, *RESULT, "__id", "base", "terms", "added")
+    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT])
+    names = {c: f"__own_{n}" for n, c in enumerate(plain.columns) if c not in kept.columns}
+    keyed = plain.withColumnsRenamed(names).withColumn("__id", F.when(F.col("text").isNotNull(), identity("text")))
+    joined = keyed.join(marks.withColumnRenamed("id", "__id"), "__id", "left").withColumn("base", F.coalesce("base", _no_spans()))
+    joined = joined.withColumn("added", _term_spans(F.col("text"), F.col("terms"), F.col("base")))
+    of_kind = lambda n: F.filter("base", lambda s: s["kind"] == n)
     counts = [F.size(of_kind(KINDS.index(k))).cast("long").alias(f"n_{k}") for k in PATTERNS]
-    everything = F.sort_array(F.concat(base, added))
-    return keyed.select(*[F.col(f"`{c}`") for c in kept.columns], base.alias("base_spans"), everything.alias("all_spans"), *counts, F.when(F.col("text").isNotNull(), _masked(F.col("text"), everything)).alias("sanitised"))
+    everything = F.sort_array(F.concat("base", "added"))
+    own = [F.col(f"`{names.get(c, c)}`").alias(c) for c in plain.columns]
+    return joined.select(*own, F.col("base").alias("base_spans"), everything.alias("all_spans"), *counts, F.when(F.col("text").isNotNull(), _masked(F.col("text"), everything)).alias("sanitised"))

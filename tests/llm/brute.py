@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
+import regex
 import xxhash
 
 BLANK = " \t\n\x0b\f\r"
@@ -149,6 +151,48 @@ def leaks(texts, items, threshold=0.8):
     return out
 
 
+def _name(term):
+    return len(term) > 1 and (unicodedata.category(term[0]) in ("Lu", "Lt", "Lo") or any(unicodedata.category(c)[0] == "N" for c in term))
+
+
+def _cut(text):
+    return list(regex.finditer(r"[\p{L}\p{N}]+", text or ""))
+
+
+def revealing(texts, disclosure=0.5, certainty=0.4, shared=0.9, prior=0.5):
+    """Lower-cased terms that give away an entity, from counts over documents."""
+    texts = [t for t in texts if t is not None]
+    c_t = Counter(t for x in texts for t in {m[0].lower() for m in _cut(x)})
+    c_e, c_et, c_kt = Counter(), Counter(), Counter()
+    for text in texts:
+        lines, has, near = text.split("\n"), set(), set()
+        for i, line in enumerate(lines):
+            spans = pii(line)[0]
+            entities = {(k, line[a:b].lower() if k == 0 else re.sub("[^0-9]", "", line[a:b])) for a, k, b in spans}
+            has |= entities
+            if entities:
+                clean = "\n".join(lines[max(0, i - 1) : i + 2])
+                for kind, (pattern, _) in PII.items():
+                    keep = lambda m, kind=kind: m[0] if kind == "card" and len(re.sub("[^0-9]", "", m[0])) < 12 else " "
+                    clean = re.sub(pattern, keep, clean)
+                near |= {(e, m[0].lower()) for e in entities for m in _cut(clean) if _name(m[0])}
+        c_e.update(has)
+        c_et.update(near)
+        c_kt.update({(e[0], t) for e, t in near})
+    out = set()
+    for (e, t), n in c_et.items():
+        p_e = c_e[e] / len(texts)
+        p = (n + prior * p_e) / (c_t[t] + prior)
+        if p_e < 1 and n >= shared * c_kt[e[0], t] and p >= certainty and math.log(p / p_e) / math.log(1 / p_e) >= disclosure:
+            out.add(t)
+    return out
+
+
+def term_spans(text, terms):
+    taken = [(a, b) for a, _, b in pii(text)[0]]
+    return [m.span() for m in _cut(text) if m[0].lower() in terms and not any(a < m.end() and m.start() < b for a, b in taken)]
+
+
 def targets(sizes, cycle=(5, 2, 1), cap=3):
     """Water filling of {source: size} by repeatedly fixing what is above its cap."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
