@@ -47,11 +47,11 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     pages = on_page.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     seen = on_page.where("line is not null").groupBy("host", "line").agg(F.count("*").alias("seen"))
     common = seen.join(pages, "host").where((F.col("seen") >= min_seen) & (F.col("seen") > F.col("pages") * F.lit(ratio))).select("host", "line")
-    # Written, so that the join below shuffles both sides and the copies of one page can be split.
+    # Written and merged, not broadcast: they grow with the pages, and the copies of one page can be split.
     drops = staged(on_page.join(common, ["host", "line"]).groupBy("page").agg(F.collect_set("line").alias("__drops")))
 
     keyed = docs.withColumn("__page", F.when(F.col(host).isNotNull() & F.col(text).isNotNull(), page))
-    found = keyed.join(drops.withColumnRenamed("page", "__page"), "__page", "left")
+    found = keyed.join(drops.withColumnRenamed("page", "__page").hint("merge"), "__page", "left")
     gone = lambda x: x.rlike(HAS_WORD) & F.array_contains(F.col("__drops"), _line_hash(x))
     kept = F.filter(lines(F.col(text)), lambda x: ~gone(x))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines(F.col(text)))).cast("long")
