@@ -235,14 +235,14 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
         own = hold.distinct().groupBy("id").agg(F.collect_list("term").alias("terms"))
         both = marks.unionByName(own.select("id", F.lit(None).cast(marks.schema["base"].dataType).alias("base"), "terms"))
         marks = both.groupBy("id").agg(F.first("base", ignorenulls=True).alias("base"), F.first("terms", ignorenulls=True).alias("terms"))
-    # Written, so that the join below shuffles both sides and the copies of one text can be split.
+    # Written and merged, not broadcast: they grow with the texts, and the copies of one text can be split.
     marks = staged(marks)
 
     kept = without(docs, *RESULT, "__id", "base", "terms", "added")
     plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT])
     names = {c: f"__own_{n}" for n, c in enumerate(plain.columns) if c not in kept.columns}
     keyed = plain.withColumnsRenamed(names).withColumn("__id", F.when(F.col("text").isNotNull(), identity("text")))
-    joined = keyed.join(marks.withColumnRenamed("id", "__id"), "__id", "left").withColumn("base", F.coalesce("base", _no_spans()))
+    joined = keyed.join(marks.withColumnRenamed("id", "__id").hint("merge"), "__id", "left").withColumn("base", F.coalesce("base", _no_spans()))
     joined = joined.withColumn("added", _term_spans(F.col("text"), F.col("terms"), F.col("base")))
     of_kind = lambda n: F.filter("base", lambda s: s["kind"] == n)
     counts = [F.size(of_kind(KINDS.index(k))).cast("long").alias(f"n_{k}") for k in PATTERNS]
