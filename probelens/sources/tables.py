@@ -59,8 +59,10 @@ _SORT_KEYS = {
 
 # Column with a bloom filter per row group: a route or stop that a file does not
 # hold, though it lies between the file's bounds, is skipped without reading pages.
+# Parquet writes one where a row group has too many keys for a dictionary; with few
+# keys the dictionary itself is the filter, and no bloom filter is written.
 _BLOOM = {C.ROUTE_DAILY: "Journey_Pattern_ID", C.ROUTE_HOURLY: "Journey_Pattern_ID", C.STOP_HOURLY: "Stop_ID"}
-#: Different keys expected in a row group; a filter of this size takes 128 KiB.
+#: Different keys expected in a row group.
 BLOOM_KEYS = 100_000
 
 
@@ -107,8 +109,8 @@ def write_curated(df: DataFrame, root: str, name: str, laid_out: bool = False) -
 
     Partitioned by ``aggregation_date`` (see :func:`_by_date` for the task
     layout); rows are sorted within each file, the route or stop first, for
-    tight row-group and page statistics, and that column has bloom filters
-    (FLT-3 over SRC-3).
+    tight row-group and page statistics, and that column may have bloom
+    filters (FLT-3 over SRC-3).
     """
     path = table_path(root, name)
     keys = _SORT_KEYS[name]
