@@ -16,9 +16,12 @@ however many rows a group holds. A group that holds a third of all rows is
 summed in every task that has some of it, and its estimate goes to its rows as a
 broadcast while groups number at most ``BROADCAST_GROUPS``.
 
-Groups of fewer than ``MIN_GROUP`` judged rows are pooled by language, and pools
-that are still smaller are pooled together; a pool of fewer than ``MIN_POOL``
-rows judges nobody. Scatter gets a floor (``FLOORS``), since most clean texts have
+A group of fewer than ``FULL`` judged rows has too few to speak for itself. Its
+estimate is mixed with that of all such small groups of its language, that one with
+the estimate over all small groups, and that one with a wide scatter (``PRIOR``); each
+counts for its number of rows in ``FULL``. The mixture has the mean and the covariance
+of a population drawn from both, so a group unlike its pool is judged mildly, and no
+row goes unjudged. Scatter gets a floor (``FLOORS``), since most clean texts have
 no symbol or repeat at all and their variance would be zero.
 
 Defined cases: a null text has no words and fails the base rules; null language
@@ -41,17 +44,24 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Half of a group, the least that may be covered: any smaller group of junk or copies can be left out.
 COVERED, STEPS = 0.5, 6
-MIN_GROUP, MIN_POOL = 30, 12
-#: Groups whose estimates (21 doubles each, 4 MB in all) may be broadcast; more are joined by shuffle.
+#: Judged rows from which a group or pool counts in full.
+FULL = 30
+#: Groups whose estimates (20 doubles each, 4 MB in all) may be broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 20_000
 #: Least standard deviation of each statistic, in thousandths of a log unit, before the consistency
 #: factor; with it they are 119, 59 and 595.
 FLOORS = (86, 43, 430, 430, 430)
+#: Standard deviation of each statistic, in the same unit, where no rows tell.
+PRIOR = (1000, 250, 1500, 1500, 1500)
 #: Square of the distance that one in a thousand normal vectors exceeds (chi-square, 5 degrees).
 CUTOFF = 20.5
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _DIM = range(len(FLOORS))
 _LOWER = [(i, j) for i in _DIM for j in range(i + 1)]
+_MEANS = [f"m{i}" for i in _DIM]
+_COVARIANCES = [f"c{i}{j}" for i, j in _LOWER]
+#: Names the pool of all small groups.
+REST = "rest"
 
 
 # --------------------------------------------------------------- statistics
@@ -121,17 +131,14 @@ def consistency(covered: float = COVERED) -> float:
     return covered / below(low, True)
 
 
-def _grouped(judged: DataFrame) -> DataFrame:
-    """Adds ``gid``: language and source, or the pool that a small group belongs to."""
-    gid = lambda level, *names: F.to_json(F.struct(F.lit(level).alias("level"), *[F.col(n) for n in names]))
-    sizes = judged.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    own = F.when(F.col("n") >= MIN_GROUP, gid(0, "s.lang", "s.source"))
-    pools = sizes.where(F.col("n") < MIN_GROUP).groupBy("lang").agg(F.sum("n").alias("pool"))
-    s, p = sizes.alias("s"), pools.alias("p")
-    pooled = F.when(F.col("pool") >= MIN_GROUP, gid(1, "s.lang")).otherwise(F.lit("rest"))
-    named = _kept(s.join(p, F.col("s.lang").eqNullSafe(F.col("p.lang")), "left").select("s.lang", "s.source", F.coalesce(own, pooled).alias("gid")))
-    j, n = judged.alias("j"), named.alias("n")
-    return j.join(n, F.col("j.lang").eqNullSafe(F.col("n.lang")) & F.col("j.source").eqNullSafe(F.col("n.source"))).select("j.*", "n.gid")
+def _gid(level: int, *names: str) -> Column:
+    return F.to_json(F.struct(F.lit(level).alias("level"), *[F.col(n) for n in names]))
+
+
+def _beside(per_group: DataFrame) -> DataFrame:
+    """The per-group table, broadcast if its size allows: a hot group's rows then stay where they are."""
+    small = per_group.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    return F.broadcast(per_group) if small else per_group
 
 
 def _kept(per_group: DataFrame) -> DataFrame:
@@ -152,22 +159,29 @@ def _distance(factor: float = 1.0) -> Column:
 
 def _start(rows: DataFrame) -> DataFrame:
     """Per group: medians, and one over the MAD (at least the floor) on the diagonal."""
-    medians = rows.groupBy("gid").agg(F.count("*").alias("n"), *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in _DIM])
+    medians = rows.groupBy("gid").agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in _DIM])
     spread = rows.join(medians, "gid").groupBy("gid").agg(*[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i in _DIM])
     scale = lambda i: F.greatest(F.col(f"d{i}") * 1.4826, F.lit(float(FLOORS[i])))
     weights = [(1 / scale(i) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i, j in _LOWER]
-    return medians.join(spread, "gid").where(F.col("n") >= MIN_POOL).select("gid", *[f"m{i}" for i in _DIM], *weights)
+    return medians.join(spread, "gid").select("gid", *[f"m{i}" for i in _DIM], *weights)
 
 
 def _estimate(rows: DataFrame) -> DataFrame:
-    """Per group: means, and the inverse Cholesky factor of the floored covariance."""
-    sums = rows.groupBy("gid").agg(F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in _DIM], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in _LOWER])
-    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in _DIM})
+    """Per group of rows (gid, n, x0 to x4): n, means and the floored covariance."""
+    sums = rows.groupBy("gid").agg(F.first("n").alias("n"), F.count("*").alias("held"), *[F.sum(f"x{i}").alias(f"s{i}") for i in _DIM], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in _LOWER])
+    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("held") for i in _DIM})
+
+    def covariance(i: int, j: int) -> Column:
+        cov = F.col(f"s{i}{j}") / F.col("held") - F.col(f"m{i}") * F.col(f"m{j}")
+        return F.greatest(cov, F.lit(0.0)) + F.lit(float(FLOORS[i] ** 2)) if i == j else cov
+
+    return out.select("gid", "n", *_MEANS, *[covariance(i, j).alias(f"c{i}{j}") for i, j in _LOWER])
+
+
+def _inverted(out: DataFrame) -> DataFrame:
+    """Adds the inverse Cholesky factor of the covariance."""
     for i, j in _LOWER:
-        cov = F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
-        if i == j:
-            cov = F.greatest(cov, F.lit(0.0)) + F.lit(float(FLOORS[i] ** 2))
-        rest = cov
+        rest = F.col(f"c{i}{j}")
         for k in range(j):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1.0))) if i == j else rest / F.col(f"l{j}{j}"))
@@ -176,39 +190,65 @@ def _estimate(rows: DataFrame) -> DataFrame:
         for k in range(j, i):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
         out = out.withColumn(f"w{i}{j}", rest / F.col(f"l{i}{i}"))
-    return _kept(out.select("gid", *[f"m{i}" for i in _DIM], *[f"w{i}{j}" for i, j in _LOWER]))
+    return out.drop(*[f"l{i}{j}" for i, j in _LOWER])
 
 
 def mcd(rows: DataFrame, steps: int = STEPS, covered: float = COVERED) -> DataFrame:
-    """Robust centre and inverse factor per ``gid`` of rows (gid, x0 to x4)."""
-    now = _kept(_start(rows))
-    small = now.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-    # Row by row against the group's estimate: a hot group's rows stay where they are.
-    beside = lambda df: F.broadcast(df) if small else df
+    """Robust estimate per ``gid`` of rows (gid, x0 to x4): n, centre m*, covariance c** of the covered share."""
+    beside = _beside(_kept(_start(rows)))
     rank = F.floor(F.log(_distance() + F.lit(1e-6)) * 64).cast("long")
     for _ in range(steps):
-        ranked = rows.join(beside(now), "gid").select("gid", *[f"x{i}" for i in _DIM], rank.alias("rank"))
-        limit = ranked.groupBy("gid").agg(F.percentile("rank", F.lit(covered)).alias("limit"))
-        now = _estimate(ranked.join(beside(limit), "gid").where("rank <= limit"))
-    return now
+        ranked = rows.join(beside, "gid").select("gid", *[f"x{i}" for i in _DIM], rank.alias("rank"))
+        limit = ranked.groupBy("gid").agg(F.percentile("rank", F.lit(covered)).alias("limit"), F.count("*").alias("n"))
+        now = _kept(_inverted(_estimate(ranked.join(_beside(limit), "gid").where("rank <= limit"))))
+        beside = _beside(now.select("gid", *_MEANS, *[f"w{i}{j}" for i, j in _LOWER]))
+    return now.select("gid", "n", *_MEANS, *_COVARIANCES)
+
+
+def _mixed(own: DataFrame, pool: DataFrame) -> DataFrame:
+    """``own`` (gid, n, up, m*, c**) mixed with the estimate of its pool, ``up``."""
+    share = F.least(F.col("n") / FULL, F.lit(1.0))
+    both = own.join(pool.select(F.col("gid").alias("up"), *[F.col(c).alias(f"p{c}") for c in (*_MEANS, *_COVARIANCES)]), "up")
+    apart = {i: F.col(f"m{i}") - F.col(f"pm{i}") for i in _DIM}
+    means = [(share * F.col(m) + (1 - share) * F.col(f"p{m}")).alias(m) for m in _MEANS]
+    within = {f"c{i}{j}": share * F.col(f"c{i}{j}") + (1 - share) * F.col(f"pc{i}{j}") for i, j in _LOWER}
+    return both.select("gid", *means, *[(within[f"c{i}{j}"] + share * (1 - share) * apart[i] * apart[j]).alias(f"c{i}{j}") for i, j in _LOWER])
+
+
+def fitted(rows: DataFrame) -> DataFrame:
+    """What judges each group of rows (gid, lang, source, x0 to x4): centre m* and inverse factor w**."""
+    vector = [f"x{i}" for i in _DIM]
+    sizes = _kept(rows.groupBy("gid", "lang").agg(F.count("*").alias("n")))
+    small = sizes.where(F.col("n") < FULL).select("gid", _gid(1, "lang").alias("pool"))
+    lone = rows.select("gid", *vector).join(_beside(small), "gid")
+    pooled = lone.select(F.explode(F.array("pool", F.lit(REST))).alias("gid"), *vector)
+    found = staged(mcd(rows.select("gid", *vector).unionByName(pooled)).repartition(1))
+
+    share = F.least(F.col("n") / FULL, F.lit(1.0))
+    wide = {f"c{i}{i}": share * F.col(f"c{i}{i}") + (1 - share) * F.lit(PRIOR[i] ** 2 / consistency()) for i in _DIM}
+    narrow = {f"c{i}{j}": share * F.col(f"c{i}{j}") for i, j in _LOWER if i != j}
+    rest = found.where(F.col("gid") == REST).withColumns(wide | narrow)
+    of_language = _mixed(found.join(small.select(F.col("pool").alias("gid")).distinct(), "gid").withColumn("up", F.lit(REST)), rest)
+    of_small = _mixed(found.join(small.withColumnRenamed("pool", "up"), "gid"), of_language)
+    full = found.join(sizes.where(F.col("n") >= FULL).select("gid"), "gid").select(of_small.columns)
+    return _kept(_inverted(full.unionByName(of_small)).select("gid", *_MEANS, *[f"w{i}{j}" for i, j in _LOWER]))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang, source): ``STATS``, base_failed, distance, kept.
 
-    ``distance`` is the squared robust distance, null where nobody judges.
+    ``distance`` is the squared robust distance, null where the base rules fail.
     """
     found = docs.select("doc_id", "lang", "source", statistics(F.col("text")).alias("s"))
     flat = found.select("doc_id", "lang", "source", "s.w.n_words", "s.w.word_chars", "s.n_symbols", "s.n_dup_lines", "s.w.n_repeat_words")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     table = staged(flat.withColumn("base_failed", failed))
     judged = table.where(~F.col("base_failed")).select("*", *[c.alias(f"x{i}") for i, c in enumerate(_vector())])
-    rows = staged(_grouped(judged))
-    fitted = mcd(rows.select("gid", *[f"x{i}" for i in _DIM]))
-    scored = rows.join(fitted, "gid", "left").withColumn("distance", _distance(consistency()))
+    rows = staged(judged.withColumn("gid", _gid(0, "lang", "source")))
+    scored = rows.join(_beside(fitted(rows)), "gid").withColumn("distance", _distance(consistency()))
     shown = ["doc_id", "lang", "source", *STATS, "base_failed", "distance"]
     every = scored.select(*shown).unionByName(table.where("base_failed").withColumn("distance", F.lit(None).cast("double")).select(*shown))
-    return every.withColumn("kept", ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF)))
+    return every.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= CUTOFF))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -148,6 +148,58 @@ def test_a_small_source_is_judged_by_its_own_rows(spark):
     assert not got.pop(200) and all(got.values())
 
 
+def robust(x):
+    """Centre and covariance of the covered half, with matrices."""
+    floors = np.array(quality.FLOORS, float)
+    centre = np.median(x, 0)
+    cov = np.diag(np.maximum(1.4826 * np.median(abs(x - centre), 0), floors) ** 2)
+    for _ in range(quality.STEPS):
+        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+        rank = np.floor(64 * np.log(d + 1e-6))
+        near = x[rank <= np.quantile(rank, quality.COVERED)]
+        centre = near.mean(0)
+        cov = np.cov(near.T, bias=True) + np.diag(floors**2)
+    return centre, cov
+
+
+def test_small_groups_are_mixed_with_their_pools(spark):
+    """Against the same mixture in numpy: two languages, of which each has small sources and one a full one."""
+    sizes = {("en", "a"): 40, ("en", "b"): 29, ("en", "c"): 1, ("en", None): 7, ("de", "a"): 5, ("de", "b"): 12, (None, None): 2}
+    groups = [g for g, n in sizes.items() for _ in range(n)]
+    rng = np.random.default_rng(11)
+    text = lambda i: " ".join(f"w{k}" + "x" * (i % 3) + "#" * (i % 5 == 0) for k in rng.integers(0, 9999, 20 + 3 * (i % 9)))
+    rows = [(i, text(i), lang, source, 0) for i, (lang, source) in enumerate(groups)]
+    got = {r.doc_id: r for r in quality.judge(edge.documents(spark, rows)).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    n, c, sym, dup, rep = np.array([[got[i][s] for s in quality.STATS] for i in range(len(rows))], float).T
+    x = np.floor(1000 * np.stack([np.log1p(n), np.log(c / n), np.log1p(100 * sym / c), np.log1p(100 * dup / n), np.log1p(100 * rep / n)], 1) + 0.5)
+
+    def mixed(members, pool):
+        share, (m, cov), (pm, pc) = min(1, len(members) / quality.FULL), robust(x[members]), pool(members)
+        return share * m + (1 - share) * pm, share * cov + (1 - share) * pc + share * (1 - share) * np.outer(m - pm, m - pm)
+
+    small = [i for i, g in enumerate(groups) if sizes[g] < quality.FULL]
+    prior = np.diag(np.array(quality.PRIOR, float) ** 2) / quality.consistency()
+    rest = mixed(small, lambda members: (robust(x[members])[0], prior))
+    for g in sizes:
+        members = [i for i, other in enumerate(groups) if other == g]
+        language = mixed([i for i in small if groups[i][0] == g[0]], lambda _: rest) if sizes[g] < quality.FULL else None
+        m, cov = mixed(members, lambda _: language or robust(x[members]))
+        d = np.einsum("ij,jk,ik->i", x[members] - m, np.linalg.inv(cov), x[members] - m) / quality.consistency()
+        assert np.allclose([got[i].distance for i in members], d, rtol=1e-6), g
+        assert all(got[i].kept == (v <= quality.CUTOFF) for i, v in zip(members, d))
+
+
+def test_few_rows_are_judged_by_their_number(spark):
+    """Junk among clean rows of one tiny source: no size at which judging starts, only more weight to the rows."""
+    clean = lambda n: [(i, " ".join(f"w{(i * 31 + k * 17) % 997}" for k in range(60 + i % 40)), "en", "a", 0) for i in range(n)]
+    junk = (1000, " ".join(f"w{k}###" for k in range(80)), "en", "a", 0)
+    found = [{r.doc_id: r for r in quality.judge(edge.documents(spark, [*clean(n), junk])).collect()} for n in (1, 8, 16, 27)]
+    distances = [f[1000].distance for f in found]
+    assert distances == sorted(distances) and not found[-1][1000].kept
+    assert all(r.kept for f in found for i, r in f.items() if i < 1000)
+
+
 # --------------------------------------------------------------------- 4
 def test_repeats_of_earlier_documents(spark, table):
     for rows in both(table):
