@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probelens.llm import bottom_k, centroids, decontaminate, html_extract, langid, lexical_search, line_dedup, lm_scoring, mixing, pii, quality, simhash, suffix_dedup
-from probelens.llm.common import NO_ID
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,19 +32,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 50 bytes of an earlier one, removed."""
     docs = _documents(spark, sf_dir)
-    digest = lambda kept: F.sha2(kept, 256)
-    found = suffix_dedup.by_text(docs).select("id", "owner", "n_bytes", F.size("spans").cast("long").alias("n_spans"), (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), digest(F.col("kept")).alias("kept_sha256"))
-    rows = docs.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("id"))
-    joined = rows.join(found, "id", "left")
-    copy = (F.coalesce("doc_id", F.lit(NO_ID)) > F.col("owner")) & (F.col("n_bytes") >= suffix_dedup.LENGTH)
+    size, digest = F.col("n_bytes"), F.sha2(F.col("kept"), 256)
+    n_removed, n_spans = size - F.octet_length("kept"), F.size("spans").cast("long")
+    found = suffix_dedup.by_text(docs).select("id", "id2", "owner", "n_bytes", n_removed.alias("n_removed"), n_spans.alias("n_spans"), digest.alias("kept_sha256"))
+    nothing = F.sha2(F.lit(b""), 256)
+    whole = {"n_bytes": F.col("__n_bytes"), "n_removed": F.col("__n_bytes"), "n_spans": F.lit(1).cast("long"), "kept_sha256": nothing}
+    rows = suffix_dedup.of_documents(docs.select("doc_id", "text"), found, whole)
     zero = F.lit(0).cast("long")
-    return joined.select(
-        "doc_id",
-        F.coalesce("n_bytes", zero).alias("n_bytes"),
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
-        F.when(copy | F.col("n_bytes").isNull(), digest(F.lit(b""))).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
-    )
+    return rows.select("doc_id", *[F.coalesce(c, zero).alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.coalesce("kept_sha256", nothing).alias("kept_sha256"))
 
 
 def op5_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,10 +37,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probelens.llm.common import NO_ID, ship, staged, without
+from probelens.llm.common import NO_ID, identity, ship, staged, without
 
 ship(__name__)
 
@@ -99,8 +99,8 @@ def _text_minimizers(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             sets = [np.unique(minimizers(_bytes_of(x), length)[0]) for x in part.column("text")]
-            ids = np.repeat(part.column("id").to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids)], names=["h", "id"])
+            row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), part.column("id").take(row), part.column("id2").take(row)], names=["h", "id", "id2"])
 
 
 def _hot_suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ def _hot_suffixes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
                         keys[n] = (keys[n] ^ grams[starts + k]) * np.uint64(factor)
                         keys[n] ^= keys[n] >> np.uint64(32)
             same = lambda name: pa.array(np.full(len(starts), part.column(name)[0].as_py(), np.int64))
-            yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in keys], same("id"), same("owner"), pa.array(starts)], names=["s", "t", "id", "owner", "a"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in keys], same("id"), same("id2"), same("owner"), pa.array(starts)], names=["s", "t", "id", "id2", "owner", "a"])
 
 
 # ----------------------------------------------------------- suffix sorting
@@ -134,8 +134,8 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
-            hs, ids, owners, places, strings = [], [], [], [], []
-            for text, wanted, i, owner in zip(part.column("text"), part.column("wanted"), part.column("id").to_pylist(), part.column("owner").to_pylist(), strict=True):
+            hs, rows, places, strings = [], [], [], []
+            for row, (text, wanted) in enumerate(zip(part.column("text"), part.column("wanted"), strict=True)):
                 data, raw = _bytes_of(text), text.as_buffer().to_pybytes()
                 h, first, last = minimizers(data, length)
                 keep = np.flatnonzero(np.isin(h, wanted.values.to_numpy().view(np.uint64)))
@@ -149,10 +149,10 @@ def _runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
                 hs.append(h[new])
                 places += found.values()
                 strings += found
-                ids += [i] * len(new)
-                owners += [owner] * len(new)
+                rows += [row] * len(new)
             if strings:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(strings, pa.binary())], names=["h", "id", "owner", "places", "run"])
+                of_text = [part.column(name).take(pa.array(rows)) for name in ("id", "id2", "owner")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), *of_text, pa.array(places, pa.list_(pa.int64())), pa.array(strings, pa.binary())], names=["h", "id", "id2", "owner", "places", "run"])
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -192,7 +192,7 @@ def reaches(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: in
 def _spans_of_runs(table: pa.Table, length: int) -> pa.RecordBatch:
     """Removed spans (id, a, b) of whole parts."""
     flat = table.combine_chunks().to_batches()[0]
-    ids, owners = flat.column("id").to_numpy(), flat.column("owner").to_numpy()
+    owners = flat.column("owner").to_numpy()
     run, places = flat.column("run"), flat.column("places")
     offsets = np.frombuffer(run.buffers()[1], np.int32)[run.offset : run.offset + len(run) + 1].astype(np.int64)
     data = np.frombuffer(run.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
@@ -212,7 +212,8 @@ def _spans_of_runs(table: pa.Table, length: int) -> pa.RecordBatch:
     times = np.diff(place_of)[row[begin]]
     span = np.repeat(np.arange(len(begin)), times)
     at = values[place_of[row[begin]][span] + _count_up(times)]
-    return pa.RecordBatch.from_arrays([pa.array(ids[row[begin]][span]), pa.array(at + within[begin][span]), pa.array(at + within[end][span] + length)], names=["id", "a", "b"])
+    of_text = [flat.column(name).take(pa.array(row[begin][span])) for name in ("id", "id2")]
+    return pa.RecordBatch.from_arrays([*of_text, pa.array(at + within[begin][span]), pa.array(at + within[end][span] + length)], names=["id", "id2", "a", "b"])
 
 
 def _count_up(count: np.ndarray) -> np.ndarray:
@@ -262,44 +263,56 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 merged.append(out)
                 kept.append(b"".join(pieces))
             spans = pa.array(merged, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("owner"), pa.array([len(x.as_buffer()) for x in part.column("text")], pa.int64()), spans, pa.array(kept, pa.binary())], names=["id", "owner", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("id2"), part.column("owner"), pa.array([len(x.as_buffer()) for x in part.column("text")], pa.int64()), spans, pa.array(kept, pa.binary())], names=["id", "id2", "owner", "n_bytes", "spans", "kept"])
+
+
+def _text_ids() -> list[Column]:
+    """The two hashes that stand for a text, 128 bits; null for a null text."""
+    both = identity("text")
+    return [F.when(F.col("text").isNotNull(), both[bits]).alias(name) for bits, name in (("a", "id"), ("b", "id2"))]
 
 
 def by_text(docs: DataFrame, length: int = LENGTH, hot_texts: int = HOT_TEXTS) -> DataFrame:
-    """One row per distinct non-null text: id (its hash), owner (its first document), n_bytes, spans (a, b), kept (binary).
+    """One row per distinct non-null text: id and id2 (its hashes), owner (its first document), n_bytes, spans (a, b), kept (binary).
 
-    This is the outcome for the first document with that text; later ones lose
-    all of it if it is at least ``length`` bytes long.
+    This is the outcome for the first document with that text; see :func:`of_documents` for later ones.
     """
     if length < 2 * K:
         raise ValueError(f"length must be at least {2 * K}")
-    held = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("id"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    seen = held.where(F.octet_length("text") >= length).select("id", "text").mapInArrow(partial(_text_minimizers, length=length), "h long, id long").repartition("h")
-    shared = seen.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("low < high")
+    key = ["id", "id2"]
+    held = docs.where(F.col("text").isNotNull()).select(*_text_ids(), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    seen = held.where(F.octet_length("text") >= length).select(*key, "text").mapInArrow(partial(_text_minimizers, length=length), "h long, id long, id2 long").repartition("h")
+    shared = seen.groupBy("h").agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"), F.count("*").alias("n")).where("low < high")
     of_text = lambda hot: F.collect_set(F.when(F.col("hot") == hot, F.col("h")))
-    wanted = seen.join(shared.select("h", (F.col("n") > hot_texts).alias("hot")), "h").groupBy("id").agg(of_text(False).alias("wanted"), of_text(True).alias("hot"))
+    wanted = seen.join(shared.select("h", (F.col("n") > hot_texts).alias("hot")), "h").groupBy(*key).agg(of_text(False).alias("wanted"), of_text(True).alias("hot"))
     wanted = staged(wanted)
 
-    texts = held.groupBy("id").agg(F.min("doc_id").alias("owner"), F.first("text").alias("text"))
-    runs = texts.join(wanted.where(F.size("wanted") > 0), "id").select("id", "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, owner long, places array<long>, run binary")
-    removed = runs.repartition("h").sortWithinPartitions("h").mapInArrow(partial(_removed, length=length), "id long, a long, b long")
+    texts = held.groupBy(*key).agg(F.min("doc_id").alias("owner"), F.first("text").alias("text"))
+    runs = texts.join(wanted.where(F.size("wanted") > 0), key).select(*key, "owner", "text", "wanted").mapInArrow(partial(_runs, length=length), "h long, id long, id2 long, owner long, places array<long>, run binary")
+    removed = runs.repartition("h").sortWithinPartitions("h").mapInArrow(partial(_removed, length=length), "id long, id2 long, a long, b long")
     if not wanted.where(F.size("hot") > 0).isEmpty():
-        suffixes = staged(texts.join(wanted.where(F.size("hot") > 0), "id").select("id", "owner", "text", "hot").mapInArrow(partial(_hot_suffixes, length=length), "s long, t long, id long, owner long, a long"))
+        suffixes = staged(texts.join(wanted.where(F.size("hot") > 0), key).select(*key, "owner", "text", "hot").mapInArrow(partial(_hot_suffixes, length=length), "s long, t long, id long, id2 long, owner long, a long"))
         firsts = suffixes.groupBy("s", "t").agg(F.min("owner").alias("first"))
         later = suffixes.join(firsts, ["s", "t"]).where(F.col("first") < F.col("owner"))
-        removed = removed.union(later.select("id", "a", (F.col("a") + length).alias("b")))
-    gathered = removed.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("removed"))
-    return texts.join(gathered, "id", "left").select("id", "owner", "text", "removed").mapInArrow(_cut, "id long, owner long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")
+        removed = removed.union(later.select(*key, "a", (F.col("a") + length).alias("b")))
+    gathered = removed.groupBy(*key).agg(F.collect_list(F.struct("a", "b")).alias("removed"))
+    return texts.join(gathered, key, "left").select(*key, "owner", "text", "removed").mapInArrow(_cut, "id long, id2 long, owner long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")
+
+
+def of_documents(docs: DataFrame, found: DataFrame, whole: dict[str, Column], length: int = LENGTH) -> DataFrame:
+    """``docs`` with the columns of ``found``, a selection of :func:`by_text`.
+
+    A later copy of a text of at least ``length`` bytes loses all of it: there the
+    columns are as in ``whole``, which may refer to ``__n_bytes``. Null for a null text.
+    """
+    rest = without(docs, *whole, *(f"__{c}" for c in found.columns))
+    keyed = rest.select(*[F.col(f"`{c}`") for c in rest.columns], *[c.alias(f"__{name}") for c, name in zip(_text_ids(), ("id", "id2"), strict=True)])
+    joined = keyed.join(found.withColumnsRenamed({c: f"__{c}" for c in found.columns}), ["__id", "__id2"], "left")
+    copy = (F.coalesce("doc_id", F.lit(NO_ID)) > F.col("__owner")) & (F.col("__n_bytes") >= length)
+    return joined.select(*[F.col(f"`{c}`") for c in rest.columns], *[F.when(copy, gone).otherwise(F.col(f"__{c}")).alias(c) for c, gone in whole.items()])
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with ``kept`` (binary; null for a null text) and ``spans`` of the removed bytes."""
-    rest = without(docs, "kept", "spans", "__id", "__first")
-    keyed = rest.withColumn("__id", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    found = by_text(docs, length)
-    found = found.select(*[F.col(c).alias(f"__{c}") for c in found.columns])
-    first = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__owner")) | (F.col("__n_bytes") < length)
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("__n_bytes").alias("b")))
-    joined = keyed.join(found, "__id", "left")
-    there = F.col("__id").isNotNull()
-    return joined.select(*[F.col(f"`{c}`") for c in rest.columns], F.when(there & first, F.col("__kept")).when(there, F.lit(b"")).alias("kept"), F.when(there & first, F.col("__spans")).when(there, whole).alias("spans"))
+    every = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("__n_bytes").alias("b")))
+    return of_documents(docs, by_text(docs, length), {"kept": F.lit(b""), "spans": every}, length)

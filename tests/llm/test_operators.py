@@ -216,7 +216,7 @@ def test_repeats_of_earlier_documents(spark, table):
 
 def test_hot_minimizers_give_the_same(spark, table):
     rows = [(i, r[1], None, None, None) for i, r in enumerate(edge.ROWS + table[:60])] + [(500 + i, f"{i} unlike {i * i} {edge.PASSAGE} unlike {i}", None, None, None) for i in range(9)]
-    show = lambda hot: Counter(repr((r.id, r.owner, r.spans, r.kept)) for r in suffix_dedup.by_text(edge.documents(spark, rows), hot_texts=hot).collect())
+    show = lambda hot: Counter(repr((r.id, r.id2, r.owner, r.spans, r.kept)) for r in suffix_dedup.by_text(edge.documents(spark, rows), hot_texts=hot).collect())
     usual = show(10**9)
     assert show(0) == show(4) == usual
 
