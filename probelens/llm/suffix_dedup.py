@@ -282,7 +282,7 @@ def by_text(docs: DataFrame, length: int = LENGTH, hot_texts: int = HOT_TEXTS) -
     key = ["id", "id2"]
     held = docs.where(F.col("text").isNotNull()).select(*_text_ids(), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
     seen = held.where(F.octet_length("text") >= length).select(*key, "text").mapInArrow(partial(_text_minimizers, length=length), "h long, id long, id2 long").repartition("h")
-    shared = seen.groupBy("h").agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"), F.count("*").alias("n")).where("low < high")
+    shared = seen.groupBy("h").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in key for f in (F.min, F.max)], F.count("*").alias("n")).where("min_id < max_id or min_id2 < max_id2")
     of_text = lambda hot: F.collect_set(F.when(F.col("hot") == hot, F.col("h")))
     wanted = seen.join(shared.select("h", (F.col("n") > hot_texts).alias("hot")), "h").groupBy(*key).agg(of_text(False).alias("wanted"), of_text(True).alias("hot"))
     wanted = staged(wanted)

@@ -107,6 +107,13 @@ def test_stages_take_empty_and_cluttered_tables(spark, corpus):
         assert rows and all(r[c] == "x" for r in rows for c in extra)
 
 
+def test_registered_suffix_dedup_matches_brute_force(spark, corpus):
+    """The query's own columns, which it derives from the operator's."""
+    root, rows = corpus
+    got = QUERIES["op4_suffix_dedup"](spark, root).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == Counter((r[0], *w) for r, w in zip(rows, brute.repeats([r[:2] for r in rows])))
+
+
 NATIVE = ("op3_quality_rules", "op5_pii_sanitisation", "op8_line_dedup", "op10_benchmark_decontamination", "op13_document_fingerprints")
 
 
