@@ -1,22 +1,23 @@
 r"""Language-model scores by stupid backoff, computed relationally.
 
-Words are counted over the whole corpus, pairs over the other documents: a
-document's own pairs cannot vouch for themselves, which in a model of the same
-corpus would hide every backoff. A pair that others use scores
-log(c(u v) / c(u)); one that nobody else uses backs off to
-log(``BACKOFF`` * c(v) / N). The score of a document is the mean over its words;
-the first, which ends no pair, scores log(c(v) / N).
+Words are counted over the whole corpus, longer n-grams (up to ``ORDER`` words) over
+the other documents: a document's own n-grams cannot vouch for themselves, which in
+a model of the same corpus would hide every backoff. A word is scored by the longest
+n-gram ending there that others use: log(c(t u v) / c(t u)), else with one factor
+``BACKOFF`` for each step log(c(u v) / c(u)), else log(c(v) / N). The first word of a
+text has no context and no step. The score of a document is the mean over its words.
 
 Plan: documents are dealt into blocks of about ``BLOCK_BYTES`` by hash. (1) Every
-block explodes its n-grams (words and pairs, as 64-bit hashes) and sends each
-distinct one with its count to the bucket of its hash. (2) A bucket is one part of
-the count table: it adds the counts of all blocks and answers each block in the
-block's own order, so an answer needs no keys. (3) Answers and blocks are joined
-on the block, where the same n-grams are exploded again, scored and summed per
-document.
-
-A frequent n-gram is one entry per block, never one per occurrence, so no bucket
-is hot; blocks and buckets are as many as the text asks for, and each is bounded.
+block explodes its n-grams (as 64-bit hashes) and sends each distinct one with its
+count to the bucket of its hash. (2) A bucket is one part of the count table: it adds
+the counts of all blocks and answers each block in the block's own order, so an
+answer needs no keys. (3) Answers and blocks are joined on the block, where the same
+n-grams are exploded again, scored and summed per document.
+
+A frequent n-gram is one entry per block, never one per occurrence, so no bucket is
+hot. Blocks are as many as the text asks for and buckets as many as its n-grams do,
+in powers of two, so that a bucket is a prefix of the hash; each is bounded. What a
+block sends to one bucket is one row, packed and unpacked without a loop over them.
 All of it is one lazy plan over two shuffles of n-grams and one of texts; what is
 shuffled grows with the corpus and nothing but the total size passes the driver.
 
@@ -42,7 +43,11 @@ from probelens.llm.common import ship
 ship(__name__)
 
 BACKOFF = 0.4
+#: Words of the longest n-gram.
+ORDER = 3
 BLOCK_BYTES = 8 << 20
+#: Text bytes, for each word of the order, whose n-grams share a bucket.
+BUCKET_BYTES = 16 << 20
 #: Bytes that are hashed at once.
 STEP = 1 << 20
 #: The entry that counts all words.
@@ -106,126 +111,193 @@ def exploded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(numbers)
 
 
-def paired(words: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place of the second word) of all pairs within a text."""
-    second = np.flatnonzero(numbers[1:] == numbers[:-1]) + 1
-    u, v = words[second - 1], words[second]
-    return _mixed(u * np.uint64(0xC2B2AE3D27D4EB4F) + (v ^ (v >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)), second
+def longer(words: np.ndarray, numbers: np.ndarray, shorter: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place of the last word) of the n-grams of one word more than ``shorter``, which end at ``ends``."""
+    fits = ends + 1 < len(words)
+    fits[fits] = numbers[ends[fits] + 1] == numbers[ends[fits]]
+    last = ends[fits] + 1
+    u, v = shorter[fits], words[last]
+    return _mixed(u * np.uint64(0xC2B2AE3D27D4EB4F) + (v ^ (v >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)), last
 
 
-def _entries(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """The block's n-grams: distinct keys in order, their counts, and the words and pairs in terms of them."""
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, the place of each value among them, and their counts."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    begin = np.flatnonzero(new)
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[begin], place, np.diff(np.append(begin, len(values)))
+
+
+def _entries(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The block's n-grams: distinct keys in order, their counts, the text number of each
+    word, and per order (which key, place of the last word)."""
     with np.errstate(over="ignore"):
         words, numbers = exploded(texts)
-        pairs, second = paired(words, numbers)
-    keys, inverse, counts = np.unique(np.concatenate([[TOTAL], words, pairs]), return_inverse=True, return_counts=True)
+        grams = [(words, np.arange(len(words)))]
+        for _ in range(order - 1):
+            grams.append(longer(words, numbers, *grams[-1]))
+    keys, place, counts = _distinct(np.concatenate([np.array([TOTAL]), *[h for h, _ in grams]]))
     counts[0] = len(words)
-    return keys, counts, inverse[1 : len(words) + 1], numbers, inverse[len(words) + 1 :], second
+    cuts = np.cumsum([1] + [len(h) for h, _ in grams])
+    return keys, counts, numbers, [(place[i:j], last) for i, j, (_, last) in zip(cuts, cuts[1:], grams)]
 
 
 # ------------------------------------------------------------------- buckets
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the sorted keys go over to the next bucket; buckets are ranges of the hash."""
-    bounds = [(b << 64) // buckets for b in range(1, buckets)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)]])
-
-
-def _packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A column of bytes, cut at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))])
+
+
+def _bytes(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column and the length of each of its values."""
+    column = table.column(name).cast(pa.binary()).combine_chunks()
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    data, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for c in chunks:
+        _, offsets, values = c.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[c.offset : c.offset + len(c) + 1].astype(np.int64)
+        data.append(np.frombuffer(values or b"", np.uint8)[offsets[0] : offsets[-1]])
+        sizes.append(np.diff(offsets))
+    return np.concatenate(data), np.concatenate(sizes)
+
+
+def _packed(counts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
     """Counts as one byte each; 255 stands for the next of the large ones, which follow apart."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype(np.int64).tobytes()
+    large = counts >= 255
+    before = np.concatenate([[0], np.cumsum(large)])
+    return {
+        "counts": _binaries(np.minimum(counts, 255).astype(np.uint8), ends),
+        "large": _binaries(counts[large].astype(np.int64), before[ends] * 8),
+    }
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All counts of the rows, and how many each row has."""
+    small, sizes = _bytes(table, "counts")
+    large, _ = _bytes(table, "large")
+    counts = small.astype(np.int64)
+    counts[small == 255] = large.view(np.int64)
+    return counts, sizes
+
+
+def _gaps(keys: np.ndarray, begin: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Sorted keys as gaps to the one before, from the bucket's bound on: 6 bytes each where all fit, else 8."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    gaps[begin] = keys[begin] - low
+    width = 6 if not len(gaps) or int(gaps.max()) >> 48 == 0 else 8
+    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _from_gaps(data: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The keys again; rows of ``sizes`` keys start anew at ``low``."""
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    wide = np.zeros((int(sizes.sum()), 8), np.uint8)
+    wide[:, : len(data) // len(wide)] = data.reshape(len(wide), -1)
+    gaps = wide.view("<u8").ravel().astype(np.uint64)
+    with np.errstate(over="ignore"):
+        sums = np.cumsum(gaps, dtype=np.uint64)
+        begin = np.cumsum(sizes) - sizes
+        return sums + np.repeat(low - (sums[begin] - gaps[begin]), sizes)
 
 
-def _unpacked(table: pa.Table) -> list[np.ndarray]:
-    out = []
-    for small, large in zip(table.column("counts"), table.column("large"), strict=True):
-        counts = np.frombuffer(small.as_buffer(), np.uint8).astype(np.int64)
-        counts[counts == 255] = np.frombuffer(large.as_buffer(), np.int64)
-        out.append(counts)
-    return out
+def _low(bucket: np.ndarray, bits: int) -> np.ndarray:
+    """Least key of a bucket, which is the first ``bits`` bits of the hash."""
+    return bucket.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(bucket), np.uint64)
 
 
-_ASKED = "bucket int, block int, keys binary, counts binary, large binary"
+_ASKED = "bucket int, block int, wide boolean, keys binary, counts binary, large binary"
 _ANSWERED = "bucket int, block int, counts binary, large binary"
 
 
-def _ask(table: pa.Table, buckets: int) -> pa.Table:
+def _ask(table: pa.Table, bits: int, order: int) -> pa.Table:
     """What a block sends to each bucket."""
-    keys, counts, *_ = _entries(table.column("text").to_pylist())
-    cuts = _cuts(keys, buckets)
-    some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+    keys, counts, *_ = _entries(table.column("text").to_pylist(), order)
+    bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    ends, some = np.append(begin[1:], len(keys)), bucket[begin]
+    gaps = _gaps(keys, begin, _low(some, bits))
     block = table.column("block")[0].as_py()
-    packed = [_packed(counts[cuts[b] : cuts[b + 1]]) for b in some]
     return pa.table(
         {
-            "bucket": pa.array(some, pa.int32()),
-            "block": pa.array([block] * len(some), pa.int32()),
-            "keys": pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
-            "counts": pa.array([small for small, _ in packed], pa.binary()),
-            "large": pa.array([large for _, large in packed], pa.binary()),
+            "bucket": pa.array(some.astype(np.int32)),
+            "block": pa.array(np.full(len(some), block, np.int32)),
+            "wide": pa.array(np.full(len(some), gaps.shape[1] == 8)),
+            "keys": _binaries(gaps.ravel(), ends * gaps.shape[1]),
+            **_packed(counts, ends),
         }
     )
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _answer(table: pa.Table, bits: int) -> pa.Table:
     """A bucket's sums over all blocks, to each block in the order it asked."""
-    keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")]
-    every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")
-    ordered = every[order]
-    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(np.concatenate(_unpacked(table))[order], begin)
-    totals = np.empty(len(every), np.int64)
-    totals[order] = np.repeat(sums, np.diff(np.append(begin, len(every))))
-    ends = np.cumsum([len(k) for k in keys])[:-1]
-    packed = [_packed(x) for x in np.split(totals, ends)]
-    return pa.table(
-        {
-            "bucket": table.column("bucket"),
-            "block": table.column("block"),
-            "counts": pa.array([small for small, _ in packed], pa.binary()),
-            "large": pa.array([large for _, large in packed], pa.binary()),
-        }
-    )
+    table = table.sort_by("wide")
+    counts, sizes = _unpacked(table)
+    data, size_bytes = _bytes(table, "keys")
+    low = _low(table.column("bucket").to_numpy(), bits)
+    narrow = table.num_rows - int(np.count_nonzero(table.column("wide").to_numpy()))
+    cut = int(size_bytes[:narrow].sum())
+    every = np.concatenate([_from_gaps(data[:cut], sizes[:narrow], low[:narrow]), _from_gaps(data[cut:], sizes[narrow:], low[narrow:])])
+    distinct, place, _ = _distinct(every)
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, place, counts)
+    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), **_packed(sums[place], np.cumsum(sizes))})
 
 
-_SCORED = "doc_id long, n_words long, n_seen long, score double"
+_SCORED = "doc_id long, n_words long, n_seen long, n_longest long, score double"
 
 
-def _score(block: pa.Table, answers: pa.Table, backoff: float) -> pa.Table:
+def _score(block: pa.Table, answers: pa.Table, backoff: float, order: int) -> pa.Table:
     """Scores of a block's documents from the corpus counts of its n-grams."""
-    keys, _, word, number, pair, second = _entries(block.column("text").to_pylist())
-    totals = np.concatenate(_unpacked(answers.sort_by("bucket")))
+    keys, _, number, grams = _entries(block.column("text").to_pylist(), order)
+    totals, _ = _unpacked(answers.sort_by("bucket"))
     if len(totals) != len(keys):
         raise RuntimeError("a block's answers do not fit its n-grams")
     # Rows equal in id and text are one document.
     _, document = np.unique(block.column("k").to_numpy(), return_inverse=True)
     n_rows = block.num_rows
-    of_pair = document[number[second]] * np.int64(len(keys)) + pair
-    _, same, own = np.unique(of_pair, return_inverse=True, return_counts=True)
-    others = totals[pair] - own[same]
-    seen = others > 0
-    log_n = math.log(max(int(totals[0]), 1))
-    log_c = np.log(np.maximum(totals[word], 1))
-    gain = log_c - log_n
-    backed = math.log(backoff) + gain[second]
-    gain[second] = np.where(seen, np.log(np.maximum(others, 1)) - log_c[second - 1], backed)
+    context = np.log(np.maximum(totals[grams[0][0]], 1))
+    gain = context - math.log(max(int(totals[0]), 1))
+    n_seen = [np.zeros(n_rows, np.int64)]
+    for key, last in grams[1:]:
+        _, same, own = _distinct(document[number[last]] * np.int64(len(keys)) + key) if len(key) else (key, key, key)
+        others = totals[key] - own[same]
+        seen = others > 0
+        found = np.log(np.maximum(others, 1))
+        gain[last] = np.where(seen, found - context[last - 1], math.log(backoff) + gain[last])
+        context = np.zeros(len(number))
+        context[last] = found
+        n_seen.append(np.bincount(number[last], weights=seen, minlength=n_rows).astype(np.int64))
     size = np.bincount(number, minlength=n_rows)
     total = np.bincount(number, weights=gain, minlength=n_rows)
-    n_seen = np.bincount(number[second], weights=seen, minlength=n_rows).astype(np.int64)
-    mean = pa.array(total / np.maximum(size, 1), mask=size == 0)
-    return pa.table({"doc_id": block.column("doc_id"), "n_words": pa.array(size.astype(np.int64)), "n_seen": pa.array(n_seen), "score": mean})
+    return pa.table(
+        {
+            "doc_id": block.column("doc_id"),
+            "n_words": pa.array(size.astype(np.int64)),
+            "n_seen": pa.array(n_seen[min(1, order - 1)]),
+            "n_longest": pa.array(n_seen[-1]),
+            "score": pa.array(total / np.maximum(size, 1), mask=size == 0),
+        }
+    )
 
 
-def score(docs: DataFrame, backoff: float = BACKOFF, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_seen, score) per row of ``docs`` (doc_id, text).
+def score(docs: DataFrame, backoff: float = BACKOFF, order: int = ORDER, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, n_words, n_seen, n_longest, score) per row of ``docs`` (doc_id, text).
 
-    ``n_seen`` is the number of pairs found elsewhere in the corpus, ``score`` the
-    mean natural logarithm per word.
+    ``n_seen`` is the number of pairs found elsewhere in the corpus, ``n_longest`` that
+    of n-grams of ``order`` words, ``score`` the mean natural logarithm per word.
     """
+    if order < 1:
+        raise ValueError("order is the number of words of the longest n-gram, one at least")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
+    bits = max(0, -(-size * order // bucket_bytes) - 1).bit_length()
     k = F.xxhash64("doc_id", "text")
     dealt = docs.select(F.pmod(F.xxhash64(k, F.lit("block")), F.lit(n)).cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), k.alias("k"), "text").repartition("block")
-    asked = dealt.groupBy("block").applyInArrow(lambda t: _ask(t, n), _ASKED)
-    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t), _ANSWERED)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda b, a: _score(b, a, backoff), _SCORED)
+    asked = dealt.groupBy("block").applyInArrow(lambda t: _ask(t, bits, order), _ASKED)
+    answers = asked.groupBy("bucket").applyInArrow(lambda t: _answer(t, bits), _ANSWERED)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda b, a: _score(b, a, backoff, order), _SCORED)

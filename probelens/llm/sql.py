@@ -13,24 +13,33 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LM_SCORING = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, i, w[i] AS v, CASE WHEN i > 1 THEN w[i - 1] END AS u, CASE WHEN i > 2 THEN w[i - 2] END AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs)
 ), pairs AS (
-  SELECT doc_id, w[i] AS u, w[i + 1] AS v, count(*) AS own
-  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM docs) GROUP BY ALL
-), counted AS (
-  SELECT *, sum(own) OVER (PARTITION BY u, v) - own AS others FROM pairs
+  SELECT doc_id, u, v, sum(count(*)) OVER (PARTITION BY u, v) - count(*) AS others
+  FROM places WHERE i > 1 GROUP BY doc_id, u, v
+), triples AS (
+  SELECT doc_id, t, u, v, sum(count(*)) OVER (PARTITION BY t, u, v) - count(*) AS others
+  FROM places WHERE i > 2 GROUP BY doc_id, t, u, v
 ), vocabulary AS (
-  SELECT w, count(*) AS c FROM (SELECT unnest(w) AS w FROM docs) GROUP BY w
+  SELECT v AS word, count(*) AS c FROM places GROUP BY v
 ), total AS (
   SELECT sum(c)::DOUBLE AS n FROM vocabulary
 ), worth AS (
-  SELECT doc_id, CASE WHEN others > 0 THEN own ELSE 0 END AS seen,
-         own * CASE WHEN others > 0 THEN ln(others) - ln(vu.c) ELSE ln(0.4) + ln(vv.c) - ln(n) END AS gain
-  FROM counted JOIN vocabulary vu ON u = vu.w JOIN vocabulary vv ON v = vv.w, total
-  UNION ALL
-  SELECT doc_id, 0, ln(c) - ln(n) FROM docs JOIN vocabulary v ON docs.w[1] = v.w, total
+  SELECT p.doc_id, p.i, coalesce(b.others, 0) > 0 AS seen, coalesce(a.others, 0) > 0 AS longest,
+         CASE WHEN a.others > 0 THEN ln(a.others) - ln(context.others)
+              ELSE CASE WHEN p.i > 2 THEN ln(0.4) ELSE 0 END
+                + CASE WHEN b.others > 0 THEN ln(b.others) - ln(vu.c)
+                       ELSE CASE WHEN p.i > 1 THEN ln(0.4) ELSE 0 END + ln(vv.c) - ln(n) END END AS gain
+  FROM places p CROSS JOIN total JOIN vocabulary vv ON p.v = vv.word
+  LEFT JOIN vocabulary vu ON p.u = vu.word
+  LEFT JOIN pairs b ON b.doc_id = p.doc_id AND b.u = p.u AND b.v = p.v
+  LEFT JOIN pairs context ON context.doc_id = p.doc_id AND context.u = p.t AND context.v = p.u
+  LEFT JOIN triples a ON a.doc_id = p.doc_id AND a.t = p.t AND a.u = p.u AND a.v = p.v
 )
-SELECT d.doc_id, len(any_value(d.w))::BIGINT AS n_words, coalesce(sum(seen), 0)::BIGINT AS n_seen,
-       round(sum(gain) / len(any_value(d.w)), 6) AS score
+SELECT d.doc_id, len(any_value(d.w))::BIGINT AS n_words, coalesce(sum(seen::INT), 0)::BIGINT AS n_seen,
+       coalesce(sum(longest::INT), 0)::BIGINT AS n_longest, round(sum(gain) / len(any_value(d.w)), 6) AS score
 FROM docs d LEFT JOIN worth USING (doc_id) GROUP BY d.doc_id
 """
 

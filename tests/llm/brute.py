@@ -27,21 +27,30 @@ def statistics(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(spoken) - len(set(spoken)), len(inside)
 
 
-def lm_scores(rows, backoff=0.4):
+def lm_scores(rows, backoff=0.4, order=3):
     docs = [words((t or "").lower()) for _, t in rows]
     equal = Counter(rows)
-    vocabulary = Counter(w for d in docs for w in d)
-    pairs = Counter(p for d in docs for p in zip(d, d[1:]))
-    n, out = sum(vocabulary.values()), []
+
+    def grams(d, k):
+        return [tuple(d[i - k + 1 : i + 1]) for i in range(k - 1, len(d))]
+
+    counts = Counter(g for d in docs for k in range(1, order + 1) for g in grams(d, k))
+    n, out = sum(map(len, docs)), []
     for row, d in zip(rows, docs):
-        own = Counter(list(zip(d, d[1:])) * equal[row])
-        total = math.log(vocabulary[d[0]] / n) if d else 0.0
-        seen = 0
-        for u, v in zip(d, d[1:]):
-            others = pairs[u, v] - own[u, v]
-            seen += others > 0
-            total += math.log(others / vocabulary[u]) if others else math.log(backoff * vocabulary[v] / n)
-        out.append((len(d), seen, total / len(d) if d else None))
+        own = Counter([g for k in range(2, order + 1) for g in grams(d, k)] * equal[row])
+        total, seen = 0.0, Counter()
+
+        def worth(gram):
+            if len(gram) == 1:
+                return counts[gram] / n
+            others = counts[gram] - own[gram]
+            return others / (counts[gram[:-1]] - own[gram[:-1]]) if others else backoff * worth(gram[1:])
+
+        for i in range(len(d)):
+            total += math.log(worth(tuple(d[max(0, i - order + 1) : i + 1])))
+        for k in (2, order):
+            seen[k] = sum(counts[g] > own[g] for g in grams(d, k)) if 1 < k else 0
+        out.append((len(d), seen[2] if order > 1 else 0, seen[order], total / len(d) if d else None))
     return out
 
 

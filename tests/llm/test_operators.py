@@ -35,29 +35,45 @@ def same(got, expected):
 
 
 # ------------------------------------------------------------------ 1, 2
-def test_lm_scores(spark, table):
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_lm_scores(spark, table, order):
     for rows in both(table):
-        got = lm_scoring.score(edge.cluttered(spark, rows), block_bytes=100_000).collect()
-        want = brute.lm_scores([tuple(r[:2]) for r in rows])
-        show = lambda i, n, s, x: (i, n, s, None if x is None else round(x, 6))
-        same([show(r.doc_id, r.n_words, r.n_seen, r.score) for r in got], [show(r[0], *w) for r, w in zip(rows, want)])
+        got = lm_scoring.score(edge.cluttered(spark, rows), order=order, block_bytes=100_000).collect()
+        want = brute.lm_scores([tuple(r[:2]) for r in rows], order=order)
+        show = lambda i, n, s, t, x: (i, n, s, t, None if x is None else round(x, 6))
+        same([show(r.doc_id, r.n_words, r.n_seen, r.n_longest, r.score) for r in got], [show(r[0], *w) for r, w in zip(rows, want)])
 
 
-def test_lm_scores_do_not_depend_on_blocks(spark, table, monkeypatch):
+def test_lm_scores_do_not_depend_on_blocks_or_buckets(spark, table, monkeypatch):
     docs = edge.documents(spark, table)
-    show = lambda df: Counter(repr((r.doc_id, r.n_seen, round(r.score or 0, 6))) for r in df.collect())
+    show = lambda df: Counter(repr((r.doc_id, r.n_seen, r.n_longest, round(r.score or 0, 6))) for r in df.collect())
     one = show(lm_scoring.score(docs))
     monkeypatch.setattr(lm_scoring, "STEP", 5000)
     assert one == show(lm_scoring.score(docs, block_bytes=20_000))
+    assert one == show(lm_scoring.score(docs, block_bytes=50_000, bucket_bytes=2_000))
 
 
-def test_packed_counts():
+def test_packed_counts_and_keys():
     import pyarrow as pa
 
-    for counts in ([], [1], [254, 255, 256, 1, 10**12, 255], [300] * 5):
-        small, large = lm_scoring._packed(np.array(counts, np.int64))
-        back = lm_scoring._unpacked(pa.table({"counts": pa.array([small], pa.binary()), "large": pa.array([large], pa.binary())}))
-        assert back[0].tolist() == counts
+    runs = [[], [1], [254, 255, 256, 1, 10**12, 255], [300] * 5, []]
+    ends = np.cumsum([len(r) for r in runs])
+    packed = pa.table(lm_scoring._packed(np.array(sum(runs, []), np.int64), ends))
+    counts, sizes = lm_scoring._unpacked(packed)
+    assert counts.tolist() == sum(runs, []) and sizes.tolist() == [len(r) for r in runs]
+    counts, sizes = lm_scoring._unpacked(packed.slice(1, 2))
+    assert counts.tolist() == runs[1] + runs[2] and sizes.tolist() == [1, 6]
+
+    top = (1 << 64) - 1
+    for bits, keys, width in [(0, [0, 5, 1 << 47], 6), (0, [0, 5, top], 8), (1, [7, 9, 1 << 63, (1 << 63) + 3], 6), (2, [1 << 61, top], 8)]:
+        keys = np.array(keys, np.uint64)
+        bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        low = lm_scoring._low(bucket[begin], bits)
+        gaps = lm_scoring._gaps(keys, begin, low)
+        assert gaps.shape[1] == width
+        back = lm_scoring._from_gaps(gaps.ravel(), np.diff(np.append(begin, len(keys))), low)
+        assert back.tolist() == keys.tolist()
 
 
 def test_targets_follow_water_filling(spark, table):
