@@ -10,14 +10,14 @@ text has no context and no step. The score of a document is the mean over its wo
 Plan: documents are dealt into blocks of about ``BLOCK_BYTES`` by hash. (1) Every
 block explodes its n-grams (as 64-bit hashes) and sends each distinct one with its
 count to the bucket of its hash. (2) A bucket is one part of the count table: it adds
-the counts of all blocks and answers each block in the block's own order, so an
-answer needs no keys. (3) Answers and blocks are joined on the block, where the same
+the counts of all blocks and tells each block what the others count, in the block's
+own order, so an answer needs no keys. (3) Answers and blocks are joined on the block, where the same
 n-grams are exploded again, scored and summed per document.
 
 A frequent n-gram is one entry per block, never one per occurrence, so no bucket is
 hot. Blocks are as many as the text asks for and buckets as many as its n-grams do,
 in powers of two, so that a bucket is a prefix of the hash; each is bounded. What a
-block sends to one bucket is one row, packed and unpacked without a loop over them.
+block sends to one bucket is one row: keys as gaps of six bytes, counts compressed.
 All of it is one lazy plan over two shuffles of n-grams and one of texts; what is
 shuffled grows with the corpus and nothing but the total size passes the driver.
 
@@ -45,9 +45,11 @@ ship(__name__)
 BACKOFF = 0.4
 #: Words of the longest n-gram.
 ORDER = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 #: Text bytes, for each word of the order, whose n-grams share a bucket.
 BUCKET_BYTES = 16 << 20
+#: Least bytes that are worth compressing.
+SQUEEZED = 64
 #: Bytes that are hashed at once.
 STEP = 1 << 20
 #: The entry that counts all words.
@@ -152,17 +154,29 @@ def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data).view(np.uint8))])
 
 
-def _bytes(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a column and the length of each of its values."""
+def _bytes(table: pa.Table, name: str) -> np.ndarray:
+    """All bytes of a column."""
     column = table.column(name).cast(pa.binary()).combine_chunks()
-    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    data, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
-    for c in chunks:
+    data = [np.zeros(0, np.uint8)]
+    for c in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         _, offsets, values = c.buffers()
-        offsets = np.frombuffer(offsets, np.int32)[c.offset : c.offset + len(c) + 1].astype(np.int64)
+        offsets = np.frombuffer(offsets, np.int32)[c.offset : c.offset + len(c) + 1]
         data.append(np.frombuffer(values or b"", np.uint8)[offsets[0] : offsets[-1]])
-        sizes.append(np.diff(offsets))
-    return np.concatenate(data), np.concatenate(sizes)
+    return np.concatenate(data)
+
+
+def _squeezed(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A column of bytes, cut at ``ends``; values of ``SQUEEZED`` bytes or more are compressed."""
+    values = [data[i:j].tobytes() for i, j in zip(np.append(0, ends), ends)]
+    return pa.array([x if len(x) < SQUEEZED else pa.compress(x, codec="zstd", asbytes=True) for x in values], pa.binary())
+
+
+def _unsqueezed(table: pa.Table, name: str) -> np.ndarray:
+    """All bytes of a squeezed column whose values have the sizes in column ``n``."""
+    out = [np.zeros(0, np.uint8)]
+    for x, n in zip(table.column(name), table.column("n").to_pylist()):
+        out.append(np.frombuffer(x.as_buffer() if n < SQUEEZED else pa.decompress(x.as_buffer(), n, codec="zstd"), np.uint8))
+    return np.concatenate(out)
 
 
 def _packed(counts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
@@ -170,35 +184,51 @@ def _packed(counts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
     large = counts >= 255
     before = np.concatenate([[0], np.cumsum(large)])
     return {
-        "counts": _binaries(np.minimum(counts, 255).astype(np.uint8), ends),
+        "n": pa.array(np.diff(ends, prepend=0).astype(np.int32)),
+        "counts": _squeezed(np.minimum(counts, 255).astype(np.uint8), ends),
         "large": _binaries(counts[large].astype(np.int64), before[ends] * 8),
     }
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All counts of the rows, and how many each row has."""
-    small, sizes = _bytes(table, "counts")
-    large, _ = _bytes(table, "large")
+def _unpacked(table: pa.Table) -> np.ndarray:
+    """All counts of the rows."""
+    small = _unsqueezed(table, "counts")
     counts = small.astype(np.int64)
-    counts[small == 255] = large.view(np.int64)
-    return counts, sizes
+    counts[small == 255] = _bytes(table, "large").view(np.int64)
+    return counts
 
 
-def _gaps(keys: np.ndarray, begin: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Sorted keys as gaps to the one before, from the bucket's bound on: 6 bytes each where all fit, else 8."""
+def _packed_keys(keys: np.ndarray, begin: np.ndarray, low: np.ndarray) -> dict[str, pa.Array]:
+    """Sorted keys as gaps to the one before, from the bucket's bound on.
+
+    A gap is five bytes and a sixth apart, which is small and squeezed; if one needs
+    more, all are eight bytes and the rows are ``wide``.
+    """
     gaps = np.diff(keys, prepend=np.uint64(0))
     gaps[begin] = keys[begin] - low
-    width = 6 if not len(gaps) or int(gaps.max()) >> 48 == 0 else 8
-    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    ends = np.append(begin[1:], len(keys))
+    wide = int(gaps.max()) >> 48 > 0
+    columns = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)
+    width = 8 if wide else 5
+    return {
+        "wide": pa.array(np.full(len(begin), wide)),
+        "keys": _binaries(columns[:, :width].ravel(), ends * width),
+        "sixth": pa.array([b""] * len(begin), pa.binary()) if wide else _squeezed(columns[:, 5], ends),
+    }
 
 
-def _from_gaps(data: np.ndarray, sizes: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """The keys again; rows of ``sizes`` keys start anew at ``low``."""
-    if not len(data):
+def _unpacked_keys(rows: pa.Table, low: np.ndarray) -> np.ndarray:
+    """The keys of rows that are all wide or all not; every row starts anew at its ``low``."""
+    if not rows.num_rows:
         return np.zeros(0, np.uint64)
-    wide = np.zeros((int(sizes.sum()), 8), np.uint8)
-    wide[:, : len(data) // len(wide)] = data.reshape(len(wide), -1)
-    gaps = wide.view("<u8").ravel().astype(np.uint64)
+    sizes = rows.column("n").to_numpy().astype(np.int64)
+    columns = np.zeros((int(sizes.sum()), 8), np.uint8)
+    if rows.column("wide")[0].as_py():
+        columns[:] = _bytes(rows, "keys").reshape(-1, 8)
+    else:
+        columns[:, :5] = _bytes(rows, "keys").reshape(-1, 5)
+        columns[:, 5] = _unsqueezed(rows, "sixth")
+    gaps = columns.view("<u8").ravel().astype(np.uint64)
     with np.errstate(over="ignore"):
         sums = np.cumsum(gaps, dtype=np.uint64)
         begin = np.cumsum(sizes) - sizes
@@ -210,8 +240,8 @@ def _low(bucket: np.ndarray, bits: int) -> np.ndarray:
     return bucket.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(bucket), np.uint64)
 
 
-_ASKED = "bucket int, block int, wide boolean, keys binary, counts binary, large binary"
-_ANSWERED = "bucket int, block int, counts binary, large binary"
+_ASKED = "bucket int, block int, wide boolean, keys binary, sixth binary, n int, counts binary, large binary"
+_ANSWERED = "bucket int, block int, n int, counts binary, large binary"
 
 
 def _ask(table: pa.Table, bits: int, order: int) -> pa.Table:
@@ -219,33 +249,29 @@ def _ask(table: pa.Table, bits: int, order: int) -> pa.Table:
     keys, counts, *_ = _entries(table.column("text").to_pylist(), order)
     bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
     begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    ends, some = np.append(begin[1:], len(keys)), bucket[begin]
-    gaps = _gaps(keys, begin, _low(some, bits))
+    some = bucket[begin]
     block = table.column("block")[0].as_py()
     return pa.table(
         {
             "bucket": pa.array(some.astype(np.int32)),
             "block": pa.array(np.full(len(some), block, np.int32)),
-            "wide": pa.array(np.full(len(some), gaps.shape[1] == 8)),
-            "keys": _binaries(gaps.ravel(), ends * gaps.shape[1]),
-            **_packed(counts, ends),
+            **_packed_keys(keys, begin, _low(some, bits)),
+            **_packed(counts, np.append(begin[1:], len(keys))),
         }
     )
 
 
 def _answer(table: pa.Table, bits: int) -> pa.Table:
-    """A bucket's sums over all blocks, to each block in the order it asked."""
+    """What the other blocks count, to each block in the order it asked."""
     table = table.sort_by("wide")
-    counts, sizes = _unpacked(table)
-    data, size_bytes = _bytes(table, "keys")
-    low = _low(table.column("bucket").to_numpy(), bits)
+    counts, low = _unpacked(table), _low(table.column("bucket").to_numpy(), bits)
     narrow = table.num_rows - int(np.count_nonzero(table.column("wide").to_numpy()))
-    cut = int(size_bytes[:narrow].sum())
-    every = np.concatenate([_from_gaps(data[:cut], sizes[:narrow], low[:narrow]), _from_gaps(data[cut:], sizes[narrow:], low[narrow:])])
+    every = np.concatenate([_unpacked_keys(table.slice(0, narrow), low[:narrow]), _unpacked_keys(table.slice(narrow), low[narrow:])])
     distinct, place, _ = _distinct(every)
     sums = np.zeros(len(distinct), np.int64)
     np.add.at(sums, place, counts)
-    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), **_packed(sums[place], np.cumsum(sizes))})
+    ends = np.cumsum(table.column("n").to_numpy().astype(np.int64))
+    return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), **_packed(sums[place] - counts, ends)})
 
 
 _SCORED = "doc_id long, n_words long, n_seen long, n_longest long, score double"
@@ -253,10 +279,11 @@ _SCORED = "doc_id long, n_words long, n_seen long, n_longest long, score double"
 
 def _score(block: pa.Table, answers: pa.Table, backoff: float, order: int) -> pa.Table:
     """Scores of a block's documents from the corpus counts of its n-grams."""
-    keys, _, number, grams = _entries(block.column("text").to_pylist(), order)
-    totals, _ = _unpacked(answers.sort_by("bucket"))
-    if len(totals) != len(keys):
+    keys, counts, number, grams = _entries(block.column("text").to_pylist(), order)
+    elsewhere = _unpacked(answers.sort_by("bucket"))
+    if len(elsewhere) != len(keys):
         raise RuntimeError("a block's answers do not fit its n-grams")
+    totals = elsewhere + counts
     # Rows equal in id and text are one document.
     _, document = np.unique(block.column("k").to_numpy(), return_inverse=True)
     n_rows = block.num_rows

@@ -56,24 +56,42 @@ def test_lm_scores_do_not_depend_on_blocks_or_buckets(spark, table, monkeypatch)
 def test_packed_counts_and_keys():
     import pyarrow as pa
 
-    runs = [[], [1], [254, 255, 256, 1, 10**12, 255], [300] * 5, []]
-    ends = np.cumsum([len(r) for r in runs])
-    packed = pa.table(lm_scoring._packed(np.array(sum(runs, []), np.int64), ends))
-    counts, sizes = lm_scoring._unpacked(packed)
-    assert counts.tolist() == sum(runs, []) and sizes.tolist() == [len(r) for r in runs]
-    counts, sizes = lm_scoring._unpacked(packed.slice(1, 2))
-    assert counts.tolist() == runs[1] + runs[2] and sizes.tolist() == [1, 6]
+    runs = [[], [1], [254, 255, 256, 1, 10**12, 255], [300] * 5, [2, 0] * 100, []]
+    packed = pa.table(lm_scoring._packed(np.array(sum(runs, []), np.int64), np.cumsum([len(r) for r in runs])))
+    assert lm_scoring._unpacked(packed).tolist() == sum(runs, [])
+    assert lm_scoring._unpacked(packed.slice(1, 2)).tolist() == runs[1] + runs[2]
 
     top = (1 << 64) - 1
-    for bits, keys, width in [(0, [0, 5, 1 << 47], 6), (0, [0, 5, top], 8), (1, [7, 9, 1 << 63, (1 << 63) + 3], 6), (2, [1 << 61, top], 8)]:
+    many = [i << 40 for i in range(300)]
+    for bits, keys, wide in [(0, [0, 5, 1 << 47], False), (0, many, False), (0, [0, 5, top], True), (1, [7, 9, 1 << 63, (1 << 63) + 3], False), (2, [1 << 61, top], True)]:
         keys = np.array(keys, np.uint64)
         bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
         begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        low = lm_scoring._low(bucket[begin], bits)
-        gaps = lm_scoring._gaps(keys, begin, low)
-        assert gaps.shape[1] == width
-        back = lm_scoring._from_gaps(gaps.ravel(), np.diff(np.append(begin, len(keys))), low)
-        assert back.tolist() == keys.tolist()
+        low, sizes = lm_scoring._low(bucket[begin], bits), np.diff(np.append(begin, len(keys)))
+        rows = pa.table(lm_scoring._packed_keys(keys, begin, low) | {"n": pa.array(sizes.astype(np.int32))})
+        assert rows.column("wide").to_pylist() == [wide] * len(begin)
+        assert lm_scoring._unpacked_keys(rows, low).tolist() == keys.tolist()
+        last = rows.slice(len(begin) - 1)
+        assert lm_scoring._unpacked_keys(last, low[-1:]).tolist() == keys[begin[-1] :].tolist()
+
+
+@pytest.mark.parametrize("bits", [0, 2])
+def test_buckets_tell_blocks_what_the_others_count(bits):
+    import pyarrow as pa
+
+    texts = {0: [" ".join(f"w{i}" for i in range(700_000)), "w1 w2 w3 only here"], 1: ["w1 w2 w3 w2", None], 2: ["w5 w1 w2", ""]}
+    asked = pa.concat_tables([lm_scoring._ask(pa.table({"text": pa.array(t, pa.string()), "block": [b] * len(t)}), bits, 3) for b, t in texts.items()])
+    assert set(asked.column("wide").to_pylist()) == {False, True}
+    entries = {b: lm_scoring._entries(t, 3)[:2] for b, t in texts.items()}
+    buckets = sorted(set(asked.column("bucket").to_pylist()))
+    answered = pa.concat_tables([lm_scoring._answer(asked.filter([x == b for x in asked.column("bucket").to_pylist()]), bits) for b in buckets])
+    for b in texts:
+        mine = answered.filter([x == b for x in answered.column("block").to_pylist()]).sort_by("bucket")
+        others = Counter()
+        for o, (keys, counts) in entries.items():
+            if o != b:
+                others.update(dict(zip(keys.tolist(), counts.tolist())))
+        assert lm_scoring._unpacked(mine).tolist() == [others[k] for k in entries[b][0].tolist()]
 
 
 def test_targets_follow_water_filling(spark, table):
