@@ -14,6 +14,10 @@ the counts of all blocks and tells each block what the others count, in the bloc
 own order, so an answer needs no keys. (3) Answers and blocks are joined on the block, where the same
 n-grams are exploded again, scored and summed per document.
 
+A task holds the hashes of one block once (8 bytes for each n-gram) or its distinct
+keys and their totals; sorting, counting and packing go range by range of the hash,
+exploding and scoring by ``STEP`` bytes of text.
+
 A frequent n-gram is one entry per block, never one per occurrence, so no bucket is
 hot. Blocks are as many as the text asks for and buckets as many as its n-grams do,
 in powers of two, so that a bucket is a prefix of the hash; each is bounded. What a
@@ -32,6 +36,7 @@ columns are left out, whatever their names.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +50,16 @@ ship(__name__)
 BACKOFF = 0.4
 #: Words of the longest n-gram.
 ORDER = 3
-BLOCK_BYTES = 12 << 20
+#: A little under a power of two, to which the buffers of the texts on their way to Python grow.
+BLOCK_BYTES = 15 << 20
 #: Text bytes, for each word of the order, whose n-grams share a bucket.
 BUCKET_BYTES = 16 << 20
 #: Least bytes that are worth compressing.
 SQUEEZED = 64
-#: Bytes that are hashed at once.
-STEP = 1 << 20
+#: Bytes that are hashed, and later scored, at once.
+STEP = 1 << 18
+#: A block's n-grams are sorted and packed in ranges of their first so many bits.
+RANGE_BITS = 4
 #: The entry that counts all words.
 TOTAL = np.uint64(0)
 _BASE = 0x100000001B3
@@ -89,28 +97,11 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, _mixed((sums[ends] - sums[starts]) * down[starts])
 
 
-def exploded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def exploded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of all words of the texts, in order."""
-    hashes, numbers = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    held: list[bytes] = []
-    first = size = 0
-
-    def settle(end: int) -> None:
-        data = np.frombuffer(b"\n".join(held), np.uint8)
-        starts, found = _word_hashes(data)
-        begins = np.cumsum([0, *[len(x) + 1 for x in held[:-1]]])
-        hashes.append(found)
-        numbers.append(first + np.searchsorted(begins, starts, "right") - 1)
-
-    for n, t in enumerate(texts):
-        held.append((t or "").lower().encode())
-        size += len(held[-1]) + 1
-        if size >= STEP:
-            settle(n + 1)
-            held, first, size = [], n + 1, 0
-    if held:
-        settle(len(texts))
-    return np.concatenate(hashes), np.concatenate(numbers)
+    starts, hashes = _word_hashes(np.frombuffer(b"\n".join(texts), np.uint8))
+    begins = np.cumsum([0, *[len(x) + 1 for x in texts[:-1]]])
+    return hashes, np.searchsorted(begins, starts, "right") - 1
 
 
 def longer(words: np.ndarray, numbers: np.ndarray, shorter: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,18 +124,66 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[begin], place, np.diff(np.append(begin, len(values)))
 
 
-def _entries(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """The block's n-grams: distinct keys in order, their counts, the text number of each
-    word, and per order (which key, place of the last word)."""
+def _steps(texts: Iterable[str | None], documents: np.ndarray | None = None) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first, texts) for ``STEP`` bytes at a time; texts of a document, which follow each other, stay together."""
+    first, size, held = 0, 0, []
+    for n, t in enumerate(texts):
+        if size >= STEP and (documents is None or documents[n] != documents[n - 1]):
+            yield first, held
+            first, size, held = n, 0, []
+        held.append((t or "").lower().encode())
+        size += len(held[-1]) + 1
+    if held:
+        yield first, held
+
+
+def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The text number of each word, and per order (hash, place of the last word) of the n-grams."""
     with np.errstate(over="ignore"):
         words, numbers = exploded(texts)
         grams = [(words, np.arange(len(words)))]
         for _ in range(order - 1):
             grams.append(longer(words, numbers, *grams[-1]))
-    keys, place, counts = _distinct(np.concatenate([np.array([TOTAL]), *[h for h, _ in grams]]))
-    counts[0] = len(words)
-    cuts = np.cumsum([1] + [len(h) for h, _ in grams])
-    return keys, counts, numbers, [(place[i:j], last) for i, j, (_, last) in zip(cuts, cuts[1:], grams)]
+    return numbers, grams
+
+
+def _ranges(texts: Iterable[str | None], order: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The block's distinct n-grams in order and their counts, for one value of the first ``bits`` bits after the other.
+
+    The hashes of the block are held once; what sorting and counting need besides is
+    that of a range.
+    """
+    runs, n_words = [], 0
+    for _, held in _steps(texts):
+        _, grams = _grams(held, order)
+        n_words += len(grams[0][0])
+        runs.append(np.concatenate([h for h, _ in grams]))
+        runs[-1].sort()
+    bounds = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    cuts = [[0, *np.searchsorted(r, bounds).tolist(), len(r)] for r in runs]
+    for i in range(1 << bits):
+        total = np.array([TOTAL] if i == 0 else [], np.uint64)
+        ordered = np.concatenate([total, *[r[c[i] : c[i + 1]] for r, c in zip(runs, cuts)]])
+        ordered.sort()
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+        counts = np.diff(np.append(begin, len(ordered))).astype(np.int32)
+        if i == 0:
+            counts[0] = n_words
+        yield ordered[begin], counts
+
+
+def _entries(texts: Iterable[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """All distinct n-grams of the block in order, and their counts."""
+    keys, counts = zip(*_ranges(texts, order, RANGE_BITS))
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def _places(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where the hashes stand among the keys; looked up in order, so that neighbours share memory."""
+    order = np.argsort(hashes)
+    place = np.empty(len(hashes), np.int64)
+    place[order] = np.searchsorted(keys, hashes[order])
+    return place
 
 
 # ------------------------------------------------------------------- buckets
@@ -235,6 +274,12 @@ def _unpacked_keys(rows: pa.Table, low: np.ndarray) -> np.ndarray:
         return sums + np.repeat(low - (sums[begin] - gaps[begin]), sizes)
 
 
+def _texts(table: pa.Table, rows: np.ndarray | None = None) -> Iterator[str | None]:
+    """The texts one by one, so that only a step of them is held as strings."""
+    column = table.column("text")
+    return (column[i].as_py() for i in (range(len(column)) if rows is None else rows.tolist()))
+
+
 def _low(bucket: np.ndarray, bits: int) -> np.ndarray:
     """Least key of a bucket, which is the first ``bits`` bits of the hash."""
     return bucket.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(bucket), np.uint64)
@@ -246,19 +291,25 @@ _ANSWERED = "bucket int, block int, n int, counts binary, large binary"
 
 def _ask(table: pa.Table, bits: int, order: int) -> pa.Table:
     """What a block sends to each bucket."""
-    keys, counts, *_ = _entries(table.column("text").to_pylist(), order)
-    bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
-    begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    some = bucket[begin]
     block = table.column("block")[0].as_py()
-    return pa.table(
-        {
-            "bucket": pa.array(some.astype(np.int32)),
-            "block": pa.array(np.full(len(some), block, np.int32)),
-            **_packed_keys(keys, begin, _low(some, bits)),
-            **_packed(counts, np.append(begin[1:], len(keys))),
-        }
-    )
+    asked = []
+    for keys, counts in _ranges(_texts(table), order, min(bits, RANGE_BITS)):
+        if not len(keys):
+            continue
+        bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        some = bucket[begin]
+        asked.append(
+            pa.table(
+                {
+                    "bucket": pa.array(some.astype(np.int32)),
+                    "block": pa.array(np.full(len(some), block, np.int32)),
+                    **_packed_keys(keys, begin, _low(some, bits)),
+                    **_packed(counts, np.append(begin[1:], len(keys))),
+                }
+            )
+        )
+    return pa.concat_tables(asked)
 
 
 def _answer(table: pa.Table, bits: int) -> pa.Table:
@@ -279,34 +330,46 @@ _SCORED = "doc_id long, n_words long, n_seen long, n_longest long, score double"
 
 def _score(block: pa.Table, answers: pa.Table, backoff: float, order: int) -> pa.Table:
     """Scores of a block's documents from the corpus counts of its n-grams."""
-    keys, counts, number, grams = _entries(block.column("text").to_pylist(), order)
-    elsewhere = _unpacked(answers.sort_by("bucket"))
-    if len(elsewhere) != len(keys):
+    keys, counts = _entries(_texts(block), order)
+    totals = _unpacked(answers.sort_by("bucket"))
+    if len(totals) != len(keys):
         raise RuntimeError("a block's answers do not fit its n-grams")
-    totals = elsewhere + counts
+    totals += counts
+    del counts
+    n_all = math.log(max(int(totals[0]), 1))
     # Rows equal in id and text are one document.
-    _, document = np.unique(block.column("k").to_numpy(), return_inverse=True)
-    n_rows = block.num_rows
-    context = np.log(np.maximum(totals[grams[0][0]], 1))
-    gain = context - math.log(max(int(totals[0]), 1))
-    n_seen = [np.zeros(n_rows, np.int64)]
-    for key, last in grams[1:]:
-        _, same, own = _distinct(document[number[last]] * np.int64(len(keys)) + key) if len(key) else (key, key, key)
-        others = totals[key] - own[same]
-        seen = others > 0
-        found = np.log(np.maximum(others, 1))
-        gain[last] = np.where(seen, found - context[last - 1], math.log(backoff) + gain[last])
-        context = np.zeros(len(number))
-        context[last] = found
-        n_seen.append(np.bincount(number[last], weights=seen, minlength=n_rows).astype(np.int64))
-    size = np.bincount(number, minlength=n_rows)
-    total = np.bincount(number, weights=gain, minlength=n_rows)
+    k = block.column("k").to_numpy()
+    rows = np.argsort(k, kind="stable")
+    documents = k[rows]
+    size, n_pairs, n_longest = (np.zeros(len(rows), np.int64) for _ in range(3))
+    total = np.zeros(len(rows))
+    for first, held in _steps(_texts(block, rows), documents):
+        number, grams = _grams(held, order)
+        own_rows = slice(first, first + len(held))
+        _, document = np.unique(documents[own_rows], return_inverse=True)
+        place = np.split(_places(keys, np.concatenate([h for h, _ in grams])), np.cumsum([len(h) for h, _ in grams])[:-1])
+        context = np.log(np.maximum(totals[place[0]], 1))
+        gain = context - n_all
+        for words, (key, (_, last)) in enumerate(zip(place[1:], grams[1:]), 2):
+            _, same, own = _distinct(document[number[last]] * np.int64(len(keys)) + key) if len(key) else (key, key, key)
+            others = totals[key] - own[same]
+            seen = others > 0
+            found = np.log(np.maximum(others, 1))
+            gain[last] = np.where(seen, found - context[last - 1], math.log(backoff) + gain[last])
+            context = np.zeros(len(number))
+            context[last] = found
+            n_seen = np.bincount(number[last], weights=seen, minlength=len(held)).astype(np.int64)
+            for which, column in ((2, n_pairs), (order, n_longest)):
+                if words == which:
+                    column[own_rows] = n_seen
+        size[own_rows] = np.bincount(number, minlength=len(held))
+        total[own_rows] = np.bincount(number, weights=gain, minlength=len(held))
     return pa.table(
         {
-            "doc_id": block.column("doc_id"),
-            "n_words": pa.array(size.astype(np.int64)),
-            "n_seen": pa.array(n_seen[min(1, order - 1)]),
-            "n_longest": pa.array(n_seen[-1]),
+            "doc_id": block.column("doc_id").take(pa.array(rows)),
+            "n_words": pa.array(size),
+            "n_seen": pa.array(n_pairs),
+            "n_longest": pa.array(n_longest),
             "score": pa.array(total / np.maximum(size, 1), mask=size == 0),
         }
     )

@@ -94,6 +94,52 @@ def test_buckets_tell_blocks_what_the_others_count(bits):
         assert lm_scoring._unpacked(mine).tolist() == [others[k] for k in entries[b][0].tolist()]
 
 
+def test_a_block_holds_its_ngrams_about_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.2, 3000) % 100_000) for _ in range(300)]
+    n_bytes, n_grams = sum(map(len, texts)), 3 * 3000 * len(texts)
+    block = pa.table({"block": [0] * len(texts), "doc_id": range(len(texts)), "k": range(len(texts)), "text": texts})
+    tracemalloc.start()
+    try:
+        lm_scoring._ask(block.slice(0, 1), 6, 3)  # powers
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        asked = lm_scoring._ask(block, 6, 3)
+        asking = tracemalloc.get_traced_memory()[1] - before
+        n = np.cumsum(asked.column("n").to_numpy().astype(np.int64))
+        answers = pa.table({"bucket": asked.column("bucket"), **lm_scoring._packed(np.ones(n[-1], np.int64), n)})
+        del asked
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        assert lm_scoring._score(block, answers, 0.4, 3).num_rows == len(texts)
+        scoring = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    most = 3 * 8 * n_grams + 2 * n_bytes
+    assert asking < most and scoring < most, (asking, scoring, most)
+
+
+def test_equal_rows_of_a_block_are_one_document_in_any_step(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["a b c a b", "x a b c", None, "a b c a b", "", "b c a", "a b c a b", "x a b c"]
+    ids = [1, 2, 3, 1, 4, 5, 6, 2]
+    numbers = {x: 7 * i % 11 for i, x in enumerate(dict.fromkeys(zip(ids, texts)))}
+    block = pa.table({"block": [0] * 8, "doc_id": ids, "k": [numbers[x] for x in zip(ids, texts)], "text": pa.array(texts, pa.string())})
+    want = Counter((i, w[0], w[1], w[2], None if w[3] is None else round(w[3], 6)) for i, w in zip(ids, brute.lm_scores(list(zip(ids, texts)))))
+    for step in (1, 12, 1 << 18):
+        monkeypatch.setattr(lm_scoring, "STEP", step)
+        asked = lm_scoring._ask(block, 2, 3)
+        n = np.cumsum(asked.column("n").to_numpy().astype(np.int64))
+        none = pa.table({"bucket": asked.column("bucket"), **lm_scoring._packed(np.zeros(n[-1], np.int64), n)})
+        got = lm_scoring._score(block, none, 0.4, 3).to_pylist()
+        assert want == Counter((r["doc_id"], r["n_words"], r["n_seen"], r["n_longest"], None if r["score"] is None else round(r["score"], 6)) for r in got)
+
+
 def test_targets_follow_water_filling(spark, table):
     for rows in both(table):
         got = mixing.mix(edge.cluttered(spark, rows)).collect()
